@@ -1,23 +1,42 @@
 """Scalar rules as built-in column expressions; nothing here leaves the JVM."""
 from __future__ import annotations
 
+from decimal import Decimal
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 from meterline.schemas import MONEY
 
 
-def not_finite(value: Column) -> Column:
-    """True for null, NaN and both infinities; never null."""
-    return value.isNull() | F.isnan(value) | (F.abs(value) == F.lit(float("inf")))
+INFINITY = float("inf")
+
+
+def finite(value: Column) -> Column:
+    """True for ordinary numbers, false for infinities and NaN, null for null.
+
+    One comparison does it: Spark orders NaN above infinity.
+    """
+    return F.abs(value) < F.lit(INFINITY)
+
 
+def finite_from(value: Column, least: Column) -> Column:
+    """Finite and not below `least`; the same null rule."""
+    return (value >= least) & (value < F.lit(INFINITY))
 
-def fractional(value: Column) -> Column:
-    """True when a finite double has a fractional part.
+
+def whole(value: Column) -> Column:
+    """True when a double has no fractional part.
 
     `rint` stays in doubles, where `floor` would go through bigint and turn
     NaN into 0.
     """
-    return value != F.rint(value)
+    return value == F.rint(value)
+
+
+def unless(condition: Column) -> Column:
+    """True where the condition is false or null."""
+    return ~F.coalesce(condition, F.lit(False))
 
 
 def or_false(condition: Column) -> Column:
@@ -25,11 +44,11 @@ def or_false(condition: Column) -> Column:
 
 
 def any_of(conditions) -> Column:
-    conditions = list(conditions)
-    result = conditions[0]
-    for condition in conditions[1:]:
-        result = result | condition
-    return result
+    return reduce(lambda a, b: a | b, conditions)
+
+
+def all_of(conditions) -> Column:
+    return reduce(lambda a, b: a & b, conditions)
 
 
 def wall_clock_second(ts: Column) -> Column:
@@ -59,7 +78,7 @@ def money(amount: Column) -> Column:
     finer than a cent (1.005 is stored below 1.005 and must become 1.00).
     """
     cents = F.round(amount * F.lit(100.0), 0).cast("decimal(18,0)")
-    return (cents / F.lit(100).cast("decimal(3,0)")).cast(MONEY)
+    return (cents * F.lit(Decimal("0.01"))).cast(MONEY)
 
 
 def days_in_month(date: Column) -> Column:

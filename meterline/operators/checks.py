@@ -161,12 +161,9 @@ def orphans(
 
 
 def relationship_findings(orphaned: DataFrame, names: Iterable[str], by=()) -> DataFrame:
-    per_relation = orphaned.groupBy(*by).pivot("relation", list(names)).agg(F.sum("row_count"))
-    if not by:
-        # A grand total keeps its row when there are no orphans at all.
-        per_relation = orphaned.agg(*[
-            F.sum(F.when(F.col("relation") == name, F.col("row_count"))).alias(name)
-            for name in names])
+    per_relation = orphaned.groupBy(*by).agg(*[
+        F.sum(F.when(F.col("relation") == name, F.col("row_count"))).alias(name)
+        for name in names])
     return per_relation.unpivot(list(by), list(names), "relation", "violations").select(
         *by, *_finding(F.concat(F.lit("relationships_fct_trips_"), "relation"),
                        F.col("violations")))
@@ -257,30 +254,52 @@ def table_findings(
         "mart_zone_daily": zone_day, "mart_borough_daily": borough_day,
         "mart_weather_demand": weather_day, "mart_quality": quality,
     }
-    grains = grain_duplicates({
-        "zone_day": (zone_day, ("date", "zone_key")),
-        "borough_day": (borough_day, ("date", "borough")),
-        "quality": (quality, ("source_period", "quality_status")),
-    })
-    sources = grain_duplicates({
-        "zone": (raw_zones, ("zone_key",)), "weather": (raw_weather, ("date",))})
+    grains = ("mart_zone_daily", "mart_borough_daily", "mart_quality")
     known_days = calendar.select(F.col("date_key").alias("date"))
     dateless = zone_day.where("date is not null").join(known_days, "date", "left_anti")
     uncovered = uncovered_dates(zone_day, weather, "date")
     return stack([
-        *[row_findings(frame, not_null_rules(name)) for name, frame in tables.items()],
-        *[unique_findings(tables[name], name, key) for name, key in UNIQUE.items()],
+        *[keyed_findings(frame, name, "grains" if name in grains else f"unique_{name}_{key}")
+          for name, frame in tables.items() for key in NOT_NULL[name][:1]],
+        *[_repeats(frame.groupBy(key).agg(F.count("*").alias("n")), "source_unique")
+          for frame, key in ((raw_zones, "zone_key"), (raw_weather, "date"))],
         dateless.agg(F.sum("trip_count").alias("n")).select(
             *_finding("relationships_fct_trips_pickup_date", F.col("n"))),
-        reconciled.agg(F.count_if(~F.col("balanced")).alias("n")).select(
-            *_finding("reconciliation", F.col("n"))),
-        grains.agg(F.sum("repeated").alias("n")).select(*_finding("grains", F.col("n"))),
-        sources.agg(F.sum("repeated").alias("n")).select(*_finding("source_unique", F.col("n"))),
+        reconciled.select(
+            *_finding("reconciliation", F.when(~F.col("balanced"), 1))),
         uncovered.agg(F.count("*").alias("n")).select(
             *_finding("weather_coverage", F.col("n"))),
     ])
 
 
+def _repeats(groups: DataFrame, name: str) -> DataFrame:
+    return groups.agg(F.count_if(F.col("n") > 1).alias("v")).select(*_finding(name, F.col("v")))
+
+
+def keyed_findings(frame: DataFrame, table: str, repeat_check: str) -> DataFrame:
+    """Null and repeated keys of one small table, from one count per key.
+
+    The key is every column the table must not have null, except the label of
+    the zone dimension, which only rides along.
+    """
+    keys = NOT_NULL[table][:1] if table == "dim_zone" else NOT_NULL[table]
+    others = [name for name in NOT_NULL[table] if name not in keys]
+    groups = frame.groupBy(*keys).agg(
+        F.count("*").alias("n"),
+        *[F.count_if(F.col(name).isNull()).alias(f"null_{name}") for name in others])
+    nulls = {
+        f"not_null_{table}_{name}":
+            F.sum(f"null_{name}") if name in others
+            else F.sum(F.when(F.col(name).isNull(), F.col("n")))
+        for name in NOT_NULL[table]}
+    complete = F.lit(True)
+    if repeat_check.startswith("unique_"):
+        complete = F.col(keys[0]).isNotNull()
+    return measures(
+        groups, **nulls, **{repeat_check: F.count_if(complete & (F.col("n") > 1))}
+    ).select(*_finding(F.col("measure"), F.col("value")))
+
+
 def outcomes(*findings: DataFrame) -> DataFrame:
     """Findings added up per check, with the resulting status."""
     merged = stack(f.select("check_name", "severity", "violations") for f in findings)

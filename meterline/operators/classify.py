@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from meterline.functions.expressions import (
-    any_of, fractional, minutes_between, not_finite, or_false, period_of,
+    all_of, any_of, finite, finite_from, minutes_between, or_false, period_of, unless, whole,
 )
 from meterline.schemas import (
     INVALID_FLAGS, KNOWN_PAYMENT_TYPES, LONG_TRIP_MINUTES, SUSPICIOUS_FLAGS,
@@ -63,16 +63,15 @@ def classify(
         "reversed_timestamp": or_false(c("dropoff_datetime") < c("pickup_datetime")),
         "outside_source_month": or_false(
             period_of(c("pickup_datetime")) != c("source_period")),
-        "invalid_distance": not_finite(c("trip_distance")) | (c("trip_distance") < 0),
-        "invalid_money": any_of(not_finite(c(m)) for m in MONEY_COLUMNS),
+        "invalid_distance": unless(finite_from(c("trip_distance"), F.lit(0.0))),
+        "invalid_money": unless(all_of(finite(c(m)) for m in MONEY_COLUMNS)),
         "unknown_zone": c("pickup_known").isNull() | c("dropoff_known").isNull(),
         "long_duration": or_false(c("trip_duration_minutes") > long_trip_minutes),
         "zero_distance": or_false(c("trip_distance") == 0),
-        "negative_money": or_false(any_of(c(m) < 0 for m in MONEY_COLUMNS)),
-        "unusual_passengers": not_finite(passengers) | (passengers <= 0)
-        | fractional(passengers),
-        "unusual_payment": c("payment_type").isNull()
-        | ~c("payment_type").isin(*payment_types),
+        "negative_money": or_false(F.least(*MONEY_COLUMNS) < 0),
+        "unusual_passengers": unless(
+            (passengers > 0) & finite(passengers) & whole(passengers)),
+        "unusual_payment": unless(c("payment_type").isin(*payment_types)),
     }
     status = (
         F.when(any_of(c(f) for f in INVALID_FLAGS), "INVALID")

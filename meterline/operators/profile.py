@@ -6,16 +6,16 @@ from pyspark.sql import DataFrame, functions as F
 from meterline.functions.expressions import period_of, wall_clock_second
 
 
-def profile_trips(raw: DataFrame, period) -> DataFrame:
-    """Counts behind the quality policy; `period` is a month or a column."""
+def profile_trips(raw: DataFrame, period: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """Counts behind the quality policy, for one month or per claimed `source_period`."""
     c = F.col
     pickup, dropoff = c("tpep_pickup_datetime"), c("tpep_dropoff_datetime")
-    claimed = period if not isinstance(period, str) else F.lit(period)
+    claimed = c("source_period") if period is None else F.lit(period)
 
     def minute(ts):
         return F.floor(wall_clock_second(ts) / F.lit(60).cast("long")).cast("long")
 
-    return raw.agg(
+    return raw.groupBy(*by).agg(
         F.count("*").alias("source_rows"),
         F.count_if(pickup.isNull() | dropoff.isNull()).alias("null_timestamps"),
         F.count_if(dropoff < pickup).alias("backwards"),

@@ -5,7 +5,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from meterline.plans.tables import append_rows, read_rows
+from meterline.plans.tables import append_rows, local_rows, read_rows
 from meterline.sources.contracts import ContractError
 from meterline.sources.digests import WHOLE_FILE_BYTES, file_digests
 from meterline.sources.trips import describe_trip_file
@@ -107,18 +107,16 @@ class Ledger:
             else:
                 fingerprint, rows = None, self.spark.read.csv(path, header=True).count()
             described.append((source, period, path, rows, fingerprint))
-        named = self.spark.createDataFrame(
-            described, "source string, period string, path string, row_count long, "
-                       "schema_fingerprint string")
+        now = datetime.now(timezone.utc).replace(tzinfo=None)
+        named = local_rows(self.spark, [
+            (source, period, path, None, None, rows, fingerprint, now)
+            for source, period, path, rows, fingerprint in described], LEDGER)
         digests = self.digests([path for _, _, path in files]).select(
             _comparable("path").alias("file"), "length", "sha256")
-        now = datetime.now(timezone.utc).replace(tzinfo=None)
-        incoming = named.withColumn("file", _comparable("path")).join(digests, "file").select(
-            "source", "period", "path", "length", "sha256", "row_count", "schema_fingerprint",
-            F.lit(now).cast("timestamp_ntz").alias("registered_at"),
-        ).to(LEDGER)
+        incoming = named.drop("length", "sha256").withColumn("file", _comparable("path")).join(
+            digests, "file").select(*LEDGER.fieldNames())
         # A handful of rows per call; kept so that files are hashed once.
-        incoming = self.spark.createDataFrame(incoming.collect(), LEDGER)
+        incoming = local_rows(self.spark, incoming.collect(), LEDGER)
 
         known = self.current()
         clash = duplicate_bytes(

@@ -15,9 +15,9 @@ from meterline.operators.classify import classify
 from meterline.operators.dimensions import date_dimension, staged_weather, zone_dimension
 from meterline.operators.fact import trip_fact
 from meterline.operators.marts import borough_daily, quality_mart, weather_demand, zone_daily
-from meterline.plans.ledger import Ledger, total_rows
-from meterline.plans.store import COMMITS, EMPTY, Store
-from meterline.plans.tables import append_rows, read_rows
+from meterline.plans.ledger import LEDGER, Ledger, total_rows
+from meterline.plans.store import EMPTY, ENTRY, Commit, Store
+from meterline.plans.tables import append_rows, local_rows, read_rows
 from meterline.plans.worklist import changed_periods, detect_work, loaded_periods
 from meterline.schemas import STATION
 from meterline.sources.contracts import ContractError
@@ -59,6 +59,18 @@ RUNS = T.StructType([
     ])),
 ])
 
+INPUTS = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField("period", T.StringType()),
+    T.StructField("raw_sha256", T.StringType()),
+    T.StructField("bronze_fingerprint", T.StringType()),
+])
+SCHEMAS = T.StructType([
+    T.StructField("table_name", T.StringType()),
+    T.StructField("schema", T.StringType()),
+])
+MONTHS = T.StructType([T.StructField("period", T.StringType())])
+
 
 class ChecksFailed(RuntimeError):
     """A check of severity error found violations; nothing was published."""
@@ -120,8 +132,7 @@ class Refresh:
         finally:
             report["end_time"] = _now()
             report["duration_seconds"] = round(time.monotonic() - clock, 3)
-            append_rows(
-                self.spark.createDataFrame([report], RUNS), f"{self.store.root}/runs")
+            append_rows(local_rows(self.spark, [report], RUNS), f"{self.store.root}/runs")
         return report
 
     def _run(self, report, where, requested, full_refresh, force) -> None:
@@ -130,15 +141,14 @@ class Refresh:
         before = store.latest()
         rebuild_all = (
             full_refresh or before.run_id is None or before.logic_version != self.logic_version)
-        committed = spark.createDataFrame(list(before.entries.values()), COMMITS)
-        periods_df = loaded_periods(
-            spark.createDataFrame([(p,) for p in requested], "period string"), committed)
+        committed = local_rows(spark, list(before.entries.values()), ENTRY)
+        periods_df = loaded_periods(self._months(requested), committed)
         periods = sorted(r["period"] for r in periods_df.collect())
 
         where["stage"] = "ingestion"
         inputs = self._inputs(periods)
         report["input_rows"] = report["bronze_rows"] = total_rows(
-            spark.createDataFrame(list(inputs.values())), periods).first()["input_rows"]
+            local_rows(spark, list(inputs.values()), LEDGER), periods).first()["input_rows"]
 
         where["stage"] = "bronze_validation"
         work = self._work(inputs, before, force, rebuild_all)
@@ -158,9 +168,8 @@ class Refresh:
 
         where["stage"] = "checks"
         outcome = self._check(entries, tables)
-        totals = {r["status"]: r["checks"] for r in checks.outcome_totals(
-            spark.createDataFrame(outcome)).collect()}
-        report["checks"] = {s: totals.get(s, 0) for s in ("pass", "warn", "fail")}
+        statuses = [r["status"] for r in outcome]
+        report["checks"] = {s: statuses.count(s) for s in ("pass", "warn", "fail")}
         failed = sorted(r["check_name"] for r in outcome if r["status"] == "fail")
         if failed:
             raise ChecksFailed(f"checks failed: {', '.join(failed)}")
@@ -169,10 +178,7 @@ class Refresh:
         report.update(self.export(run_id, entries, tables))
 
         where["stage"] = "publication"
-        store.publish([
-            entry | {"sequence": before.sequence + 1, "run_id": run_id,
-                     "logic_version": self.logic_version}
-            for entry in entries.values()])
+        store.publish(Commit(before.sequence + 1, run_id, self.logic_version, entries))
 
     # --- ingestion ---------------------------------------------------------------------
 
@@ -188,7 +194,7 @@ class Refresh:
                     f"source not registered: {source}/{period}", source, period)
         inputs = {key: current[key] for key in wanted}
         paths = [r["path"] for r in inputs.values()]
-        frame = self.spark.createDataFrame(list(inputs.values()))
+        frame = local_rows(self.spark, list(inputs.values()), LEDGER)
         if self.store.verify == "content":
             self.ledger.verify(frame, paths)
         else:
@@ -220,17 +226,13 @@ class Refresh:
                 (source, period) in before.entries
                 and before.entries[source, period]["bronze_rows"] == 0) else None))
             for (source, period), row in inputs.items()]
-        schema = "source string, period string, raw_sha256 string, bronze_fingerprint string"
-        committed = [
-            (s, p, e["raw_sha256"], e["bronze_fingerprint"])
-            for (s, p), e in before.entries.items()]
-        # Three frames of sources x months rows; settled here, as the result is used twice.
+        committed = local_rows(self.spark, list(before.entries.values()), ENTRY)
         work = detect_work(
-            self.spark.createDataFrame(rows, schema),
-            self.spark.createDataFrame(committed, schema),
-            self.spark.createDataFrame([(p,) for p in force], "period string"),
-            rebuild_all)
-        return self.spark.createDataFrame(work.collect(), work.schema)
+            local_rows(self.spark, rows, INPUTS), committed, self._months(force), rebuild_all)
+        return local_rows(self.spark, work.collect(), work.schema)  # it has two readers
+
+    def _months(self, periods) -> DataFrame:
+        return local_rows(self.spark, [(p,) for p in periods], MONTHS)
 
     def _existing_fingerprints(self, folders):
         try:
@@ -389,9 +391,8 @@ class Refresh:
             return tables[name].count()
 
         def sidecars():
-            schemas = spark.createDataFrame(
-                [(n, tables[n].schema.json()) for n in EXPORTS],
-                "table_name string, schema string")
+            schemas = local_rows(
+                spark, [(n, tables[n].schema.json()) for n in EXPORTS], SCHEMAS)
             schemas.coalesce(1).write.json(store.report_folder(run_id, "schemas", "json"))
             tables["mart_quality"].orderBy("source_period", "quality_status").coalesce(1) \
                 .write.json(store.report_folder(run_id, "quality", "json"))

@@ -16,14 +16,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from meterline.plans.tables import append_rows, read_rows
+from meterline.plans.tables import append_rows, local_rows, read_rows
 from meterline.schemas import FACT, FLAGS, TRIPS, WEATHER, ZONES
 from meterline.sources.digests import file_digests, tree_fingerprint
 
-COMMITS = T.StructType([
-    T.StructField("sequence", T.LongType()),
-    T.StructField("run_id", T.StringType()),
-    T.StructField("logic_version", T.StringType()),
+ENTRY = T.StructType([
     T.StructField("source", T.StringType()),
     T.StructField("period", T.StringType()),
     T.StructField("raw_sha256", T.StringType()),
@@ -33,6 +30,12 @@ COMMITS = T.StructType([
     T.StructField("bronze_rows", T.LongType()),
     T.StructField("fact_rows", T.LongType()),
 ])
+COMMITS = T.StructType([
+    T.StructField("sequence", T.LongType()),
+    T.StructField("run_id", T.StringType()),
+    T.StructField("logic_version", T.StringType()),
+    T.StructField("entries", T.ArrayType(ENTRY)),
+])
 
 TOTAL = T.DecimalType(38, 2)
 ZONE_DAY = T.StructType([
@@ -163,18 +166,19 @@ class Store:
         return read_rows(self.spark, f"{self.root}/commits", COMMITS)
 
     def latest(self) -> Commit:
-        """The last publication; entries number sources x months, not rows."""
-        commits = self.commits()
-        last = commits.agg(F.max("sequence").alias("last")).first()["last"]
+        """The last publication; its entries number sources x months, not rows."""
+        last = self.commits().orderBy(F.desc("sequence")).first()
         if last is None:
             return Commit(0, None, None, {})
-        entries = commits.where(F.col("sequence") == last).collect()
         return Commit(
-            last, entries[0]["run_id"], entries[0]["logic_version"],
-            {(e["source"], e["period"]): e.asDict() for e in entries})
-
-    def publish(self, entries: list[dict]) -> None:
-        append_rows(self.spark.createDataFrame(entries, COMMITS), f"{self.root}/commits")
+            last["sequence"], last["run_id"], last["logic_version"],
+            {(e["source"], e["period"]): e.asDict() for e in last["entries"]})
+
+    def publish(self, commit: Commit) -> None:
+        row = {
+            "sequence": commit.sequence, "run_id": commit.run_id,
+            "logic_version": commit.logic_version, "entries": list(commit.entries.values())}
+        append_rows(local_rows(self.spark, [row], COMMITS), f"{self.root}/commits")
 
     # --- published data ------------------------------------------------------------------
 

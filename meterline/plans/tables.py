@@ -1,8 +1,10 @@
 """Small append-only tables: the ledger, commits and run records."""
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def append_rows(df: DataFrame, path: str) -> None:
@@ -18,3 +20,19 @@ def read_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
         if "PATH_NOT_FOUND" not in str(problem):
             raise
         return spark.createDataFrame([], schema)
+
+
+def local_rows(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
+    """Driver-side bookkeeping rows (sources x months) as a local relation.
+
+    Handed over as Arrow: no task is needed to read it, and Spark knows its
+    size when it plans joins.
+    """
+    rows = [r if isinstance(r, (dict, tuple)) and not hasattr(r, "asDict") else r.asDict()
+            for r in rows]
+    names = schema.fieldNames()
+    columns = {
+        name: [row.get(name) if isinstance(row, dict) else row[i] for row in rows]
+        for i, name in enumerate(names)}
+    table = pa.table(columns, schema=to_arrow_schema(schema))
+    return spark.createDataFrame(table, schema)

@@ -13,6 +13,7 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from meterline.functions.expressions import period_of
+from meterline.plans.ledger import LEDGER, current
 from meterline.schemas import TRIPS
+from meterline.sources.periods import spine_between
 from meterline.sources.weather import observations
 
 
@@ -23,7 +25,7 @@ def _every(column: str, n: int) -> Column:
 
 
 def _plus_minutes(ts: Column, minutes: Column) -> Column:
-    return ts + F.make_dt_interval(mins=minutes.cast("int"))
+    return ts + F.make_dt_interval(mins=minutes)
 
 
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,12 +41,42 @@ def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _rides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything a trip takes from its line item alone, computed before any join."""
+    c = F.col
+    offset = (
+        F.when(_every("l_orderkey", 211), None).when(_every("l_orderkey", 223), -57600)
+        .otherwise((c("l_partkey") * 7 + c("l_linenumber") * 131) % 1440))
+    return line_items(spark, sf_dir).select(
+        "l_orderkey", "l_suppkey", "source_row", "source_file",
+        offset.cast("int").alias("start_minute"),
+        F.when(_every("l_orderkey", 199), -1).otherwise(c("l_partkey") % 200).cast("int")
+        .alias("ride_minutes"),
+        F.when(_every("l_orderkey", 227), 999).cast("long").alias("fixed_zone"),
+        (_every("l_orderkey", 229) & ~_every("l_orderkey", 227)).alias("zone_lost"),
+        F.when(_every("l_partkey", 29), 99).cast("long").alias("odd_payment"),
+        F.when(_every("l_partkey", 17), None)
+        .when(_every("l_partkey", 19), 0.0).when(_every("l_partkey", 23), 1.5)
+        .otherwise(c("l_linenumber").cast("double")).alias("passenger_count"),
+        F.when(_every("l_orderkey", 233), -1.0)
+        .when(_every("l_orderkey", 239), float("nan"))
+        .when(_every("l_partkey", 13), 0.0).otherwise(c("l_quantity") / 2)
+        .alias("trip_distance"),
+        F.when(_every("l_orderkey", 241), float("nan"))
+        .when((c("l_returnflag") == "R") & (c("l_linenumber") == 7), -c("l_extendedprice"))
+        .otherwise(c("l_extendedprice")).alias("fare_amount"),
+        (c("l_discount") * 100).alias("tip_amount"),
+        (c("l_extendedprice") + c("l_discount") * 100).alias("total_amount"),
+    )
+
+
 def bronze_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze trips. Line items are shuffled for orders and suppliers only.
 
-    Customers are resolved on the (four times smaller) order side first. No
-    broadcast hints: every side grows with the data, so Spark decides by size,
-    and AQE splits hot keys of the shuffle joins.
+    Customers are resolved on the (four times smaller) order side first. Both
+    sides of the order join grow with the data and neither may ever be copied
+    to every executor, hence the merge hint; elsewhere Spark decides by size.
+    AQE splits hot keys of the shuffle joins.
     """
     c = F.col
     customers = _table(spark, sf_dir, "customer").select(
@@ -58,44 +90,22 @@ def bronze_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
             "o_orderdate",
             period_of(c("o_orderdate")).alias("source_period"),
             F.substring("o_orderpriority", 1, 1).cast("long").alias("priority"),
-            "c_nationkey",
+            c("c_nationkey").cast("long").alias("home_zone"),
         )
     )
     suppliers = _table(spark, sf_dir, "supplier").select(
-        c("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    rides = line_items(spark, sf_dir).join(orders, "l_orderkey").join(suppliers, "l_suppkey")
-
-    minute_of_day = (c("l_partkey") * 7 + c("l_linenumber") * 131) % 1440
-    pickup = (
-        F.when(_every("l_orderkey", 211), None)
-        .when(_every("l_orderkey", 223), _plus_minutes(c("o_orderdate"), F.lit(-57600)))
-        .otherwise(_plus_minutes(c("o_orderdate"), minute_of_day))
+        c("s_suppkey").alias("l_suppkey"), c("s_nationkey").cast("long").alias("DOLocationID"))
+    rides = _rides(spark, sf_dir).join(orders.hint("merge"), "l_orderkey")
+    trips = rides.select(
+        "*",
+        _plus_minutes(c("o_orderdate"), c("start_minute")).alias("tpep_pickup_datetime"),
+        _plus_minutes(c("o_orderdate"), c("start_minute") + c("ride_minutes"))
+        .alias("tpep_dropoff_datetime"),
+        F.when(~c("zone_lost"), F.coalesce("fixed_zone", "home_zone")).alias("PULocationID"),
+        F.coalesce("odd_payment", "priority").alias("payment_type"),
+        F.sha2(F.concat_ws("/", "source_period", "source_file"), 256).alias("source_sha256"),
     )
-    ride_minutes = F.when(_every("l_orderkey", 199), -1).otherwise(c("l_partkey") % 200)
-    columns = {
-        "tpep_pickup_datetime": c("pickup"),
-        "tpep_dropoff_datetime": _plus_minutes(c("pickup"), ride_minutes),
-        "PULocationID": F.when(_every("l_orderkey", 227), 999)
-        .when(_every("l_orderkey", 229), None).otherwise(c("c_nationkey")),
-        "DOLocationID": c("s_nationkey"),
-        "passenger_count": F.when(_every("l_partkey", 17), None)
-        .when(_every("l_partkey", 19), 0.0).when(_every("l_partkey", 23), 1.5)
-        .otherwise(c("l_linenumber").cast("double")),
-        "trip_distance": F.when(_every("l_orderkey", 233), -1.0)
-        .when(_every("l_orderkey", 239), float("nan"))
-        .when(_every("l_partkey", 13), 0.0).otherwise(c("l_quantity") / 2),
-        "fare_amount": F.when(_every("l_orderkey", 241), float("nan"))
-        .when((c("l_returnflag") == "R") & (c("l_linenumber") == 7), -c("l_extendedprice"))
-        .otherwise(c("l_extendedprice")),
-        "tip_amount": c("l_discount") * 100,
-        "total_amount": c("l_extendedprice") + c("l_discount") * 100,
-        "payment_type": F.when(_every("l_partkey", 29), 99).otherwise(c("priority")),
-        "source_row": c("source_row"),
-        "source_period": c("source_period"),
-        "source_sha256": F.sha2(F.concat_ws("/", "source_period", "source_file"), 256),
-    }
-    return rides.withColumn("pickup", pickup).select(
-        *[columns[f.name].cast(f.dataType).alias(f.name) for f in TRIPS.fields])
+    return trips.join(suppliers, "l_suppkey").select(*TRIPS.fieldNames())
 
 
 def bronze_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,3 +156,86 @@ def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stations, so a date may have several rows before staging."""
     return observations(raw_weather(spark, sf_dir))
+
+
+def corrected_trips(bronze: DataFrame) -> DataFrame:
+    """A later version of the trips: July wholly invalid, every second March row too."""
+    month = F.substring("source_period", 6, 2)
+    broken = (month == "07") | ((month == "03") & (F.col("source_row") % 2 == 0))
+    return bronze.withColumn(
+        "trip_distance", F.when(broken, -1.0).otherwise(F.col("trip_distance")))
+
+
+def corrected_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_months(spark, sf_dir).where(F.substring("period", 6, 2).isin("03", "07"))
+
+
+def order_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spine_between(_table(spark, sf_dir, "orders").agg(
+        F.min("o_orderdate").cast("date").alias("first"),
+        F.max("o_orderdate").cast("date").alias("last")))
+
+
+def registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger rows: per month and line status, one file version per return flag.
+
+    Digests come from a checksum over all shipments of the version and collide
+    now and then between months.
+    """
+    c = F.col
+    versions = _table(spark, sf_dir, "lineitem").groupBy(
+        period_of(c("l_shipdate")).alias("period"), "l_linestatus", "l_returnflag"
+    ).agg(
+        F.count("*").alias("row_count"),
+        F.sum("l_partkey").alias("length"),
+        F.max("l_shipdate").alias("registered_at"),
+    )
+    source = F.when(c("l_linestatus") == "F", "trips").otherwise("weather")
+    return versions.select(
+        source.alias("source"),
+        "period",
+        F.concat_ws("/", F.lit("landing"), source, F.concat_ws("-", "period", "l_returnflag"))
+        .alias("path"),
+        "length",
+        F.sha2((c("length") % 499).cast("string"), 256).alias("sha256"),
+        "row_count",
+        F.sha2("l_returnflag", 256).alias("schema_fingerprint"),
+        "registered_at",
+    ).to(LEDGER)
+
+
+def run_inputs(ledger: DataFrame) -> DataFrame:
+    """Current inputs with the bronze found for them (some of it missing)."""
+    found = F.concat(F.lit("bronze-"), (F.col("row_count") % 3).cast("string"))
+    return current(ledger).select(
+        "source", "period", F.col("sha256").alias("raw_sha256"),
+        F.when(F.col("row_count") % 7 != 0, found).alias("bronze_fingerprint"))
+
+
+def last_committed(ledger: DataFrame) -> DataFrame:
+    """What the previous run published: the version of return flag N."""
+    found = F.concat(
+        F.lit("bronze-"), F.when(F.col("length") % 5 == 0, F.lit("old"))
+        .otherwise((F.col("row_count") % 3).cast("string")))
+    return ledger.where(F.col("path").endswith("-N")).select(
+        "source", "period", F.col("sha256").alias("raw_sha256"),
+        found.alias("bronze_fingerprint"))
+
+
+def zone_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two zone lookups: the nations, and one with a row per customer."""
+    nations = bronze_zones(spark, sf_dir).select(F.lit("nations").alias("lookup"), "zone_key")
+    customers = _table(spark, sf_dir, "customer").select(
+        F.lit("customers").alias("lookup"), F.col("c_nationkey").cast("long").alias("zone_key"))
+    return nations.unionByName(customers)
+
+
+def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run records: one run per order month, some of them failed."""
+    return _table(spark, sf_dir, "orders").groupBy(
+        period_of(F.col("o_orderdate")).alias("run_id")
+    ).agg(
+        F.min("o_orderdate").alias("start_time"),
+        F.count("*").alias("input_rows"),
+        F.when(F.sum("o_custkey") % 3 == 0, "failed").otherwise("success").alias("status"),
+    )

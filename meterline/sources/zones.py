@@ -27,9 +27,9 @@ def read_zones(spark: SparkSession, path: str) -> DataFrame:
     ).to(ZONES)
 
 
-def duplicate_zone_keys(zones: DataFrame) -> DataFrame:
+def duplicate_zone_keys(zones: DataFrame, *by: str) -> DataFrame:
     return (
-        zones.groupBy("zone_key").agg(F.count("*").alias("occurrences"))
+        zones.groupBy(*by, "zone_key").agg(F.count("*").alias("occurrences"))
         .where("occurrences > 1")
     )
 

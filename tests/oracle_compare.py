@@ -1,0 +1,39 @@
+"""Runs a query on Spark and its SQL in DuckDB and compares the rows as multisets."""
+from __future__ import annotations
+
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+
+
+def database(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for path in sorted(Path(sf_dir).glob("*.parquet")):
+        connection.execute(
+            f"create view {path.stem} as select * from read_parquet('{path}')")
+    return connection
+
+
+def _cell(value):
+    if isinstance(value, float) and value != value:
+        return "NaN"
+    if isinstance(value, float) and value == 0:
+        return 0.0
+    return value
+
+
+def as_rows(columns, rows) -> Counter:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(_cell(row[i]) for i in order) for row in rows)
+
+
+def differences(df, connection, sql: str) -> tuple[int, list, list]:
+    """(row count, rows only in Spark, rows only in SQL); also compares column names."""
+    result = connection.execute(sql)
+    names = [c[0] for c in result.description]
+    assert sorted(names) == sorted(df.columns), (sorted(names), sorted(df.columns))
+    expected = as_rows(names, result.fetchall())
+    found = as_rows(df.columns, [tuple(r) for r in df.collect()])
+    return (sum(expected.values()), list((found - expected).items())[:5],
+            list((expected - found).items())[:5])
