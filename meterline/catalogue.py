@@ -326,7 +326,6 @@ def check_weather_coverage(spark, d):
 
 
 def check_duplicate_observations(spark, d):
-    """Look-alike groups of the fact, and how many rides each signature part repeats."""
     return checks.look_alike_trips(Inputs(spark, d).fact)
 
 

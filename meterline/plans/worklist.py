@@ -48,7 +48,5 @@ def changed_periods(work: DataFrame, periods: DataFrame) -> DataFrame:
     the marts are rebuilt.
     """
     own = work.where("source = 'trips'").select("period")
-    zones = work.where("source = 'zones'").select("source").distinct()
-    every = periods.select("period", F.lit("zones").alias("source")).join(
-        zones, "source", "left_semi")
-    return own.union(every.select("period")).distinct()
+    zones_changed = work.where("source = 'zones'").exists()
+    return own.union(periods.select("period").where(zones_changed)).distinct()

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from meterline.schemas import REQUIRED, TRIPS
 
+NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
+
 
 class ContractError(ValueError):
     """A source broke its contract; carries the source and period for run reports."""
@@ -22,15 +24,20 @@ def open_trip_file(spark: SparkSession, path: str) -> tuple[DataFrame, bool]:
     """The file as it is, and whether it stores nanosecond timestamps.
 
     Only the footer is read. Spark refuses nanosecond columns unless told to
-    hand them over as whole numbers; the setting leaves other files alone and
-    must still hold when the frame is executed, so it stays on.
+    hand them over as whole numbers, so a refusal tells that there are some. The
+    setting leaves other files alone and must still hold when a frame is
+    executed: once needed, it stays on.
     """
+    earlier = spark.conf.get(NANOS_AS_LONG, "false")
+    spark.conf.set(NANOS_AS_LONG, "false")
     try:
         return spark.read.parquet(path), False
     except AnalysisException as refused:
         if "NANOS" not in str(refused):
             raise
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+        earlier = "true"
+    finally:
+        spark.conf.set(NANOS_AS_LONG, earlier)
     return spark.read.parquet(path), True
 
 

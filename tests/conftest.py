@@ -8,7 +8,7 @@ def spark(tmp_path_factory):
     session = local_session(
         "meterline-tests", 8, **{
             "spark.driver.memory": "8g",
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "2",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
         })

@@ -1,0 +1,61 @@
+"""Registration: idempotence, corrections, duplicate bytes, integrity."""
+import pyarrow as pa
+import pytest
+
+from meterline.plans.ledger import Ledger
+from meterline.sources.contracts import ContractError
+from tests.inputs import rides, sha256, write_rides, write_zones
+
+
+@pytest.fixture
+def ledger(spark, tmp_path):
+    return Ledger(spark, str(tmp_path / "data"))
+
+
+def test_registration_is_idempotent_and_keeps_history(ledger, tmp_path):
+    first = write_rides(tmp_path, rides("2025-01"))
+    assert ledger.register([("trips", "2025-01", str(first))]) == 1
+    assert ledger.register([("trips", "2025-01", str(first))]) == 0
+    row = ledger.current().first()
+    assert (row["sha256"], row["row_count"]) == (sha256(first), 11)
+    assert row["length"] == first.stat().st_size
+    assert ledger.history().count() == 1
+
+    wider = rides("2025-01").append_column("new_optional", pa.array([1] * 11))
+    second = write_rides(tmp_path, wider)
+    assert ledger.register([("trips", "2025-01", str(second))]) == 1
+    assert ledger.current().first()["sha256"] == sha256(second) != sha256(first)
+    assert first.exists() and ledger.history().count() == 2
+
+    # Back to the first version: current again, history unchanged.
+    ledger.register([("trips", "2025-01", str(first))])
+    assert ledger.current().first()["sha256"] == sha256(first)
+    assert ledger.history().count() == 2
+
+
+def test_same_bytes_under_another_period(ledger, tmp_path):
+    path = str(write_rides(tmp_path, rides("2025-01")))
+    ledger.register([("trips", "2025-01", path)])
+    with pytest.raises(ContractError, match="duplicate source bytes"):
+        ledger.register([("trips", "2025-02", path)])
+    assert ledger.rows().count() == 1
+
+
+def test_broken_file_registers_nothing(ledger, tmp_path):
+    good = write_zones(tmp_path)
+    bad = write_rides(tmp_path, pa.table({"wrong": [1]}))
+    with pytest.raises(ContractError, match="required field"):
+        ledger.register([("zones", "zones", str(good)), ("trips", "2025-01", str(bad))])
+    assert ledger.rows().isEmpty()
+
+
+def test_integrity(ledger, tmp_path):
+    path = write_zones(tmp_path)
+    ledger.register([("zones", "zones", str(path))])
+    ledger.verify(ledger.current(), [str(path)])
+    with open(path, "a") as stream:
+        stream.write("3,X,Y,Z\n")
+    with pytest.raises(ContractError, match="integrity"):
+        ledger.verify(ledger.current(), [str(path)])
+    with pytest.raises(ContractError, match="integrity"):
+        ledger.verify(ledger.current(), [str(tmp_path / "gone.csv")])
