@@ -337,7 +337,8 @@ def check_summary(spark, d):
         fact, data.bronze, built["mart_zone_daily"], built["mart_borough_daily"],
         built["mart_weather_demand"], built["mart_quality"])
     outcome = checks.outcomes(
-        checks.trip_findings(data.staged, fact, data.zones),
+        checks.trip_findings(
+            data.staged, fact, data.zones, marts.status_counts(data.staged)),
         checks.no_findings(spark),
         checks.table_findings(
             data.zones, data.raw_weather, data.zones, data.weather, data.calendar,

@@ -70,8 +70,14 @@ def weather_demand(zone_day: DataFrame, calendar: DataFrame, weather: DataFrame)
     )
 
 
-def quality_mart(staged: DataFrame) -> DataFrame:
+def status_counts(staged: DataFrame) -> DataFrame:
+    """Rows, flags and missing trip ids per source period and status, in one pass."""
     return staged.groupBy("source_period", "quality_status").agg(
         F.count("*").alias("trip_count"),
         *[F.count_if(F.col(flag)).alias(flag) for flag in FLAGS],
+        F.count_if(F.col("trip_id").isNull()).alias("missing_trip_id"),
     )
+
+
+def quality_mart(staged: DataFrame) -> DataFrame:
+    return status_counts(staged).drop("missing_trip_id")

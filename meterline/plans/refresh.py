@@ -14,9 +14,9 @@ from meterline.operators import checks
 from meterline.operators.classify import classify
 from meterline.operators.dimensions import date_dimension, staged_weather, zone_dimension
 from meterline.operators.fact import trip_fact
-from meterline.operators.marts import borough_daily, quality_mart, weather_demand, zone_daily
+from meterline.operators.marts import borough_daily, status_counts, weather_demand, zone_daily
 from meterline.plans.ledger import LEDGER, Ledger, total_rows
-from meterline.plans.store import EMPTY, ENTRY, Commit, Store
+from meterline.plans.store import EMPTY, ENTRY, STATUS_COUNTS, Commit, Store
 from meterline.plans.tables import append_rows, local_rows, read_rows
 from meterline.plans.worklist import changed_periods, detect_work, loaded_periods
 from meterline.schemas import STATION
@@ -307,19 +307,17 @@ class Refresh:
                 "fct_trips", run_id, trip_fact(staged).select("*", by_period)),
             lambda: store.write_gold(
                 "mart_quality", run_id,
-                quality_mart(staged).select("*", by_period).repartition("period")),
+                status_counts(staged).select("*", by_period).repartition("period")),
         )
-        quality = store.spark.read.parquet(f"{store.root}/gold/mart_quality/run={run_id}") \
-            if any(e["bronze_rows"] for e in rebuilt) else None
-        retained = {} if quality is None else {
-            r["source_period"]: r["rows"] for r in quality.where("quality_status <> 'INVALID'")
+        rebuilt = [e | {"gold_run": run_id} for e in rebuilt]
+        statuses = store.read_gold("mart_quality", rebuilt, STATUS_COUNTS)
+        retained = {
+            r["source_period"]: r["rows"] for r in statuses.where("quality_status <> 'INVALID'")
             .groupBy("source_period").agg(F.sum("trip_count").alias("rows")).collect()}
-        entries = entries | {
-            ("trips", p): entries["trips", p] | {
-                "gold_run": run_id, "fact_rows": retained.get(p, 0)}
-            for p in changed}
-        fact = store.read_gold("fct_trips", [entries["trips", p] for p in changed])
-        findings = checks.trip_findings(staged, fact, zones)
+        rebuilt = [e | {"fact_rows": retained.get(e["period"], 0)} for e in rebuilt]
+        entries = entries | {("trips", e["period"]): e for e in rebuilt}
+        fact = store.read_gold("fct_trips", rebuilt)
+        findings = checks.trip_findings(staged, fact, zones, statuses)
         days = zone_daily(fact).withColumn("period", period_of(F.col("date")))
         _together(
             lambda: store.write_gold("mart_zone_daily", run_id, days.repartition("period")),

@@ -58,6 +58,9 @@ QUALITY = T.StructType(
     ]
     + [T.StructField(flag, T.LongType()) for flag in FLAGS]
 )
+# What is stored for the quality mart: its columns and one more count for the checks.
+STATUS_COUNTS = T.StructType(
+    [*QUALITY.fields, T.StructField("missing_trip_id", T.LongType())])
 FINDINGS = T.StructType([
     T.StructField("source_period", T.StringType()),
     T.StructField("check_name", T.StringType()),
@@ -150,14 +153,20 @@ class Store:
     # --- gold --------------------------------------------------------------------------
 
     def write_gold(self, table: str, run_id: str, rows: DataFrame) -> None:
-        """`rows` carry a `period` column; schema-stable columns stay in the files."""
-        rows.write.option("compression", "zstd").partitionBy("period").parquet(
-            f"{self.root}/gold/{table}/run={run_id}")
+        """`rows` carry a `period` column; schema-stable columns stay in the files.
+
+        Trip ids never repeat, so no dictionary is tried for them.
+        """
+        rows.write.option("compression", "zstd").option(
+            "parquet.enable.dictionary#trip_id", "false"
+        ).partitionBy("period").parquet(f"{self.root}/gold/{table}/run={run_id}")
 
-    def read_gold(self, table: str, entries: list[dict]) -> DataFrame:
+    def read_gold(
+        self, table: str, entries: list[dict], schema: T.StructType | None = None
+    ) -> DataFrame:
         """Only live folders are listed, so periods are pruned by path."""
         rows = "fact_rows" if table in ("fct_trips", "mart_zone_daily") else "bronze_rows"
-        return self._read(GOLD_SCHEMAS[table], [
+        return self._read(schema or GOLD_SCHEMAS[table], [
             self.gold_folder(table, e["gold_run"], e["period"]) for e in entries if e[rows]])
 
     # --- commits -----------------------------------------------------------------------

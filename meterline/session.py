@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Writes split by period keep several files open instead of sorting first.
+    "spark.sql.maxConcurrentOutputFileWriters": "64",
     "spark.ui.enabled": "false",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

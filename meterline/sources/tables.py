@@ -7,7 +7,9 @@ run on it exactly as on raw files.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from functools import lru_cache
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from meterline.functions.expressions import period_of
 from meterline.plans.ledger import LEDGER, current
@@ -16,16 +18,15 @@ from meterline.sources.periods import spine_between
 from meterline.sources.weather import observations
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _every(column: str, n: int) -> Column:
-    return F.col(column) % n == 0
+@lru_cache(maxsize=256)
+def _schema(spark: SparkSession, path: str) -> T.StructType:
+    """The footer schema of a provided table, read once per session."""
+    return spark.read.parquet(path).schema
 
 
-def _plus_minutes(ts: Column, minutes: Column) -> Column:
-    return ts + F.make_dt_interval(mins=minutes)
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,30 +44,23 @@ def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything a trip takes from its line item alone, computed before any join."""
-    c = F.col
-    offset = (
-        F.when(_every("l_orderkey", 211), None).when(_every("l_orderkey", 223), -57600)
-        .otherwise((c("l_partkey") * 7 + c("l_linenumber") * 131) % 1440))
-    return line_items(spark, sf_dir).select(
+    return line_items(spark, sf_dir).selectExpr(
         "l_orderkey", "l_suppkey", "source_row", "source_file",
-        offset.cast("int").alias("start_minute"),
-        F.when(_every("l_orderkey", 199), -1).otherwise(c("l_partkey") % 200).cast("int")
-        .alias("ride_minutes"),
-        F.when(_every("l_orderkey", 227), 999).cast("long").alias("fixed_zone"),
-        (_every("l_orderkey", 229) & ~_every("l_orderkey", 227)).alias("zone_lost"),
-        F.when(_every("l_partkey", 29), 99).cast("long").alias("odd_payment"),
-        F.when(_every("l_partkey", 17), None)
-        .when(_every("l_partkey", 19), 0.0).when(_every("l_partkey", 23), 1.5)
-        .otherwise(c("l_linenumber").cast("double")).alias("passenger_count"),
-        F.when(_every("l_orderkey", 233), -1.0)
-        .when(_every("l_orderkey", 239), float("nan"))
-        .when(_every("l_partkey", 13), 0.0).otherwise(c("l_quantity") / 2)
-        .alias("trip_distance"),
-        F.when(_every("l_orderkey", 241), float("nan"))
-        .when((c("l_returnflag") == "R") & (c("l_linenumber") == 7), -c("l_extendedprice"))
-        .otherwise(c("l_extendedprice")).alias("fare_amount"),
-        (c("l_discount") * 100).alias("tip_amount"),
-        (c("l_extendedprice") + c("l_discount") * 100).alias("total_amount"),
+        "int(case when l_orderkey % 211 = 0 then null when l_orderkey % 223 = 0 then -57600 "
+        "else (l_partkey * 7 + l_linenumber * 131) % 1440 end) as start_minute",
+        "int(if(l_orderkey % 199 = 0, -1, l_partkey % 200)) as ride_minutes",
+        "bigint(if(l_orderkey % 227 = 0, 999, null)) as fixed_zone",
+        "l_orderkey % 229 = 0 and l_orderkey % 227 <> 0 as zone_lost",
+        "bigint(if(l_partkey % 29 = 0, 99, null)) as odd_payment",
+        "case when l_partkey % 17 = 0 then null when l_partkey % 19 = 0 then 0D "
+        "when l_partkey % 23 = 0 then 1.5D else double(l_linenumber) end as passenger_count",
+        "case when l_orderkey % 233 = 0 then -1D when l_orderkey % 239 = 0 then double('NaN') "
+        "when l_partkey % 13 = 0 then 0D else l_quantity / 2 end as trip_distance",
+        "case when l_orderkey % 241 = 0 then double('NaN') "
+        "when l_returnflag = 'R' and l_linenumber = 7 then -l_extendedprice "
+        "else l_extendedprice end as fare_amount",
+        "l_discount * 100 as tip_amount",
+        "l_extendedprice + l_discount * 100 as total_amount",
     )
 
 
@@ -78,32 +72,23 @@ def bronze_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     to every executor, hence the merge hint; elsewhere Spark decides by size.
     AQE splits hot keys of the shuffle joins.
     """
-    c = F.col
-    customers = _table(spark, sf_dir, "customer").select(
-        c("c_custkey").alias("o_custkey"), "c_nationkey")
-    orders = (
-        _table(spark, sf_dir, "orders")
-        .select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-        .join(customers, "o_custkey")
-        .select(
-            c("o_orderkey").alias("l_orderkey"),
-            "o_orderdate",
-            period_of(c("o_orderdate")).alias("source_period"),
-            F.substring("o_orderpriority", 1, 1).cast("long").alias("priority"),
-            c("c_nationkey").cast("long").alias("home_zone"),
-        )
+    customers = _table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey as o_custkey", "bigint(c_nationkey) as home_zone")
+    orders = _table(spark, sf_dir, "orders").join(customers, "o_custkey").selectExpr(
+        "o_orderkey as l_orderkey", "o_orderdate", "home_zone",
+        "substring(string(date(o_orderdate)), 1, 7) as source_period",
+        "bigint(substring(o_orderpriority, 1, 1)) as priority",
     )
-    suppliers = _table(spark, sf_dir, "supplier").select(
-        c("s_suppkey").alias("l_suppkey"), c("s_nationkey").cast("long").alias("DOLocationID"))
-    rides = _rides(spark, sf_dir).join(orders.hint("merge"), "l_orderkey")
-    trips = rides.select(
+    suppliers = _table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey as l_suppkey", "bigint(s_nationkey) as DOLocationID")
+    trips = _rides(spark, sf_dir).join(orders.hint("merge"), "l_orderkey").selectExpr(
         "*",
-        _plus_minutes(c("o_orderdate"), c("start_minute")).alias("tpep_pickup_datetime"),
-        _plus_minutes(c("o_orderdate"), c("start_minute") + c("ride_minutes"))
-        .alias("tpep_dropoff_datetime"),
-        F.when(~c("zone_lost"), F.coalesce("fixed_zone", "home_zone")).alias("PULocationID"),
-        F.coalesce("odd_payment", "priority").alias("payment_type"),
-        F.sha2(F.concat_ws("/", "source_period", "source_file"), 256).alias("source_sha256"),
+        "o_orderdate + make_dt_interval(0, 0, start_minute) as tpep_pickup_datetime",
+        "o_orderdate + make_dt_interval(0, 0, start_minute + ride_minutes) "
+        "as tpep_dropoff_datetime",
+        "if(zone_lost, null, coalesce(fixed_zone, home_zone)) as PULocationID",
+        "coalesce(odd_payment, priority) as payment_type",
+        "sha2(concat_ws('/', source_period, source_file), 256) as source_sha256",
     )
     return trips.join(suppliers, "l_suppkey").select(*TRIPS.fieldNames())
 
