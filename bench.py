@@ -59,7 +59,8 @@ def landing(spark: SparkSession, sf_dir: str, folder: Path, copies: int) -> list
         "month", *[
             (F.col(n) + by_days).alias(n) if kind == "timestamp" else F.col(n)
             for n, kind in REQUIRED.items()])
-    raw.repartition("month").write.partitionBy("month").parquet(str(folder / "trips"))
+    raw.repartition("month").write.option("parquet.block.size", 16 * 1024 * 1024) \
+        .partitionBy("month").parquet(str(folder / "trips"))
     files = []
     for number, period in enumerate(MONTHS, 1):
         part, = (folder / "trips" / f"month={number}").glob("*.parquet")

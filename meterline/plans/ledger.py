@@ -5,10 +5,10 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from meterline.plans.tables import append_rows, local_rows, read_rows
+from meterline.plans.tables import append_rows, local_rows, read_rows, together
 from meterline.sources.contracts import ContractError
 from meterline.sources.digests import WHOLE_FILE_BYTES, file_digests
-from meterline.sources.trips import describe_trip_file
+from meterline.sources.trips import checked_trip_file
 
 LEDGER = T.StructType([
     T.StructField("source", T.StringType()),
@@ -103,14 +103,17 @@ class Ledger:
         described = []
         for source, period, path in files:
             if source == "trips":
-                fingerprint, rows = describe_trip_file(self.spark, path)
+                fingerprint, rows = checked_trip_file(self.spark, path)
             else:
-                fingerprint, rows = None, self.spark.read.csv(path, header=True).count()
-            described.append((source, period, path, rows, fingerprint))
+                fingerprint, rows = None, self.spark.read.text(path).where("trim(value) <> ''")
+            described.append((source, period, path, fingerprint, rows))
+        counts = together(*[rows.count for *_, rows in described])
         now = datetime.now(timezone.utc).replace(tzinfo=None)
         named = local_rows(self.spark, [
-            (source, period, path, None, None, rows, fingerprint, now)
-            for source, period, path, rows, fingerprint in described], LEDGER)
+            # Text files carry a header line.
+            (source, period, path, None, None,
+             count if source == "trips" else max(count - 1, 0), fingerprint, now)
+            for (source, period, path, fingerprint, _), count in zip(described, counts)], LEDGER)
         digests = self.digests([path for _, _, path in files]).select(
             _comparable("path").alias("file"), "length", "sha256")
         incoming = named.drop("length", "sha256").withColumn("file", _comparable("path")).join(

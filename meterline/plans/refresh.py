@@ -3,7 +3,6 @@ from __future__ import annotations
 
 import time
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -17,7 +16,7 @@ from meterline.operators.fact import trip_fact
 from meterline.operators.marts import borough_daily, status_counts, weather_demand, zone_daily
 from meterline.plans.ledger import LEDGER, Ledger, total_rows
 from meterline.plans.store import EMPTY, ENTRY, STATUS_COUNTS, Commit, Store
-from meterline.plans.tables import append_rows, local_rows, read_rows
+from meterline.plans.tables import append_rows, local_rows, read_rows, together
 from meterline.plans.worklist import changed_periods, detect_work, loaded_periods
 from meterline.schemas import STATION
 from meterline.sources.contracts import ContractError
@@ -80,12 +79,6 @@ def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def _together(*jobs) -> list:
-    """Submit independent Spark jobs at once; the first failure is raised."""
-    with ThreadPoolExecutor(max_workers=len(jobs) or 1) as pool:
-        return [f.result() for f in [pool.submit(job) for job in jobs]]
-
-
 class Refresh:
     """Runs over one data root; `register` files first, then `run` a range of months."""
 
@@ -268,7 +261,7 @@ class Refresh:
             jobs.append(lambda: store.write_bronze(
                 "zones", run_id,
                 checked_zones(spark, path).withColumn("period", F.lit("zones")).coalesce(1)))
-        _together(*jobs)
+        together(*jobs)
 
         rows = {key: inputs[key]["row_count"] for key in keys}
         prints = store.fingerprints({
@@ -302,7 +295,7 @@ class Refresh:
         rebuilt = [entries["trips", p] for p in changed]
         staged = classify(store.read_bronze("trips", rebuilt), zones)
         by_period = F.col("source_period").alias("period")
-        _together(
+        together(
             lambda: store.write_gold(
                 "fct_trips", run_id, trip_fact(staged).select("*", by_period)),
             lambda: store.write_gold(
@@ -319,7 +312,7 @@ class Refresh:
         fact = store.read_gold("fct_trips", rebuilt)
         findings = checks.trip_findings(staged, fact, zones, statuses)
         days = zone_daily(fact).withColumn("period", period_of(F.col("date")))
-        _together(
+        together(
             lambda: store.write_gold("mart_zone_daily", run_id, days.repartition("period")),
             lambda: store.write_gold(
                 "trip_findings", run_id,
@@ -353,7 +346,7 @@ class Refresh:
                 .write.option("compression", "zstd").parquet(folder)
             return self.spark.read.schema(plans[name].schema).parquet(folder)
 
-        written = dict(zip(EXPORTS, _together(*[lambda n=n: write(n) for n in EXPORTS])))
+        written = dict(zip(EXPORTS, together(*[lambda n=n: write(n) for n in EXPORTS])))
         return written | {
             "raw_zones": raw_zones, "raw_weather": raw_weather, "stg_weather": weather}
 
@@ -402,7 +395,7 @@ class Refresh:
                 F.sum("trip_count").alias("n")).collect()
             return {r["quality_status"]: r["n"] for r in rows}
 
-        *counts, _, by_status = _together(
+        *counts, _, by_status = together(
             *[lambda n=n: csv(n) for n in EXPORTS], sidecars, statuses)
         fact_rows = sum(e["fact_rows"] for (s, _), e in entries.items() if s == "trips")
         return {

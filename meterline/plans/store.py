@@ -74,6 +74,7 @@ GOLD_SCHEMAS = {
     "trip_findings": FINDINGS,
 }
 EMPTY = "empty"
+ROW_GROUP_BYTES = 32 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -122,9 +123,13 @@ class Store:
     # --- bronze ------------------------------------------------------------------------
 
     def write_bronze(self, source: str, run_id: str, rows: DataFrame) -> None:
-        """`rows` carry a `period` column, which names the folder."""
-        rows.write.option("compression", "zstd").partitionBy("period").parquet(
-            f"{self.root}/bronze/{source}/run={run_id}")
+        """`rows` carry a `period` column, which names the folder.
+
+        Row groups are small enough that a file of any size splits well.
+        """
+        rows.write.option("compression", "zstd").option(
+            "parquet.block.size", ROW_GROUP_BYTES
+        ).partitionBy("period").parquet(f"{self.root}/bronze/{source}/run={run_id}")
 
     def read_bronze(self, source: str, entries: list[dict]) -> DataFrame:
         """Columns are matched by name; folder names never become columns."""
@@ -159,7 +164,7 @@ class Store:
         """
         rows.write.option("compression", "zstd").option(
             "parquet.enable.dictionary#trip_id", "false"
-        ).partitionBy("period").parquet(f"{self.root}/gold/{table}/run={run_id}")
+        ).option("parquet.block.size", ROW_GROUP_BYTES).partitionBy("period").parquet(f"{self.root}/gold/{table}/run={run_id}")
 
     def read_gold(
         self, table: str, entries: list[dict], schema: T.StructType | None = None

@@ -1,6 +1,8 @@
 """Small append-only tables: the ledger, commits and run records."""
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -36,3 +38,9 @@ def local_rows(spark: SparkSession, rows: list, schema: T.StructType) -> DataFra
         for i, name in enumerate(names)}
     table = pa.table(columns, schema=to_arrow_schema(schema))
     return spark.createDataFrame(table, schema)
+
+
+def together(*jobs) -> list:
+    """Submit independent Spark jobs at once and wait; the first failure is raised."""
+    with ThreadPoolExecutor(max_workers=min(len(jobs), 16) or 1) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]

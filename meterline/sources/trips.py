@@ -18,11 +18,14 @@ class TripFile:
     sha256: str
 
 
-def describe_trip_file(spark: SparkSession, path: str) -> tuple[str, int]:
-    """Schema fingerprint and row count; a bare count reads footers only."""
+def checked_trip_file(spark: SparkSession, path: str) -> tuple[str, DataFrame]:
+    """Schema fingerprint and rows of a file that keeps the contract.
+
+    Counting the rows afterwards reads footers only.
+    """
     raw, nanoseconds = open_trip_file(spark, path)
     check_trip_schema(raw.schema, nanoseconds)
-    return schema_fingerprint(raw.schema), raw.count()
+    return schema_fingerprint(raw.schema), raw
 
 
 def bronze_file(spark: SparkSession, file: TripFile) -> DataFrame:
