@@ -28,11 +28,10 @@ from meterline.session import local_session
 from meterline.sources import tables
 
 HEADLINE = (
-    "bronze_identity", "trip_flags", "quarantine", "fact_trips", "profile_month", "zone_daily",
-    "borough_daily", "weather_demand", "quality_mart", "weather_dedup", "weather_masking",
-    "report_locations", "check_unique", "check_relationships", "check_reconciliation",
-    "check_duplicate_observations", "work_detection", "period_replacement",
-    "snapshot_equivalence", "content_fingerprint", "file_digests",
+    "trip_flags", "quarantine", "fact_trips", "zone_daily", "borough_daily", "weather_demand",
+    "quality_mart", "weather_dedup", "weather_masking", "report_locations", "check_unique",
+    "check_relationships", "check_reconciliation", "check_duplicate_observations",
+    "work_detection", "period_replacement", "content_fingerprint",
 )
 MONTHS = [f"2025-{m:02d}" for m in range(1, 7)]
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from meterline.functions.expressions import or_false, period_of
 from meterline.schemas import STATUSES
+from meterline.session import settle
 
 # Columns that must never be null.
 NOT_NULL = {
@@ -129,10 +130,11 @@ def trip_id_findings(staged: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
     Ids are 70 characters long and practically never repeat, so 64-bit hashes
     are counted first; only rows whose hash repeats are compared by the id
-    itself. Without such rows the second step has nothing to read.
+    itself. The repeated hashes are settled: knowing their size, Spark
+    broadcasts few, shuffles many, and reads no trip again when there are none.
     """
     ids = staged.where(F.col("trip_id").isNotNull()).withColumn("id_hash", F.xxhash64("trip_id"))
-    suspects = duplicate_keys(ids, "id_hash").select("id_hash")
+    suspects = settle(duplicate_keys(ids, "id_hash").select("id_hash"), "repeated-ids")
     retained = F.col("quality_status") != "INVALID"
     per_id = ids.join(suspects, "id_hash", "left_semi").groupBy("trip_id", *by).agg(
         F.count("*").alias("staged"), F.count_if(retained).alias("retained"))
