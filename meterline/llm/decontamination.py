@@ -70,7 +70,7 @@ def myers(pattern: str, text: str, limit: int) -> tuple[int, int]:
         at[c] |= 1 << i
     full, top = (1 << size) - 1, 1 << (size - 1)
     up, down, score = full, 0, size
-    best, end = limit + 1, 0
+    best, end = min(size, limit + 1), 0
     for j, c in enumerate(text):
         equal = at.get(c, 0)
         vertical = equal | down

@@ -1,0 +1,79 @@
+import hashlib
+
+from hypothesis import given, settings, strategies as st
+import pytest
+
+from meterline.llm import chat, queries
+from tests.llm.inputs import SMALL
+from tests.oracle_compare import database, differences
+
+BITS = st.lists(st.sampled_from(["<|im_start|>", "<|im_end|>", "</s>", "[INST]", "\\", "\\l", "\\n", "\n", "<", "[",
+                                 "l/s>", "user", "é", "<<s>", " "]), max_size=8).map("".join)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(BITS, BITS), min_size=1, max_size=4))
+def test_texts_survive_and_hold_no_marks(turns):
+    marks = chat.Marks(chat.DEFAULT)
+    out = ""
+    for role, text in turns:
+        assert marks.plain(marks.escaped(text)) == text
+        assert not any(r in marks.escaped(text) for r in chat.DEFAULT.reserved)
+        out += "".join(s for s, _ in chat.segments(role, text, chat.DEFAULT, marks))
+    back = [(marks.plain(m.group(1)), marks.plain(m.group(2))) for m in marks.turn.finditer(out)]
+    assert back == turns
+
+
+def conversations(spark):
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "</s>"), (2, 0, "assistant", "first"), (2, 1, "user", None),
+            (3, 1, None, "no role"), (3, 0, "user", "x"), (4, 0, "user", ""), (4, 1, "assistant", ""),
+            (None, 0, "user", "nobody"), (5, 0, "user", "tie b"), (5, 0, "user", "tie a"), (5, 0, "user", "tie a"),
+            (5, None, "system", "null turn first"), (6, 0, "user", "open"), (7, 0, "odd\nrole", "<|im_end|>\n")]
+    long = [(8, i, "user" if i % 2 == 0 else "assistant", f"turn {i} " + "x" * (i % 50)) for i in range(2000)]
+    return spark.createDataFrame([(*r, "clash") for r in rows + long],
+                                 "conv_id long, turn long, role string, text string, formatted string")
+
+
+@pytest.mark.parametrize("part_chars", [50, 1000, chat.PART_CHARS])
+def test_every_conversation_reads_back(spark, part_chars):
+    turns = conversations(spark)
+    formatted = chat.format_conversations(turns, part_chars=part_chars)
+    found = {r["conv_id"]: r for r in chat.read_back(formatted).collect()}
+    lead = lambda x: (x is not None, x)  # noqa: E731  nulls first
+    groups = {}
+    for r in sorted(turns.collect(), key=lambda r: [lead(r[k]) for k in ("turn", "role", "text")]):
+        groups.setdefault(r["conv_id"], []).append((r["role"] or "", r["text"] or ""))
+    assert found.keys() == groups.keys()
+    for conv, turns in groups.items():
+        r = found[conv]
+        assert r["n_turns"] == len(turns)
+        assert r["turns_sha256"] == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in turns).encode()).hexdigest()
+        said = "".join(b for a, b in turns if a == "assistant")
+        assert (r["loss_chars"], r["loss_sha256"]) == (len(said), hashlib.sha256(said.encode()).hexdigest())
+    errors = {i: r["first_error"] for i, r in found.items()}
+    assert errors == {1: None, 2: 0, 3: 1, 4: None, None: 1, 5: 2, 6: 1, 7: 0, 8: None}
+    assert all(r["valid"] == (r["first_error"] is None) for r in found.values())
+    if part_chars == 50:
+        assert formatted.where("conv_id = 8").count() > 500
+
+
+def test_another_template(spark):
+    template = chat.Template(before="[{role}]\n", after="</s>", loss_roles=("bot",), ends=("bot",),
+                             follows={"": ("me",), "me": ("bot",), "bot": ("me",)}, reserved=("</s>", "["))
+    turns = spark.createDataFrame([(1, 0, "me", "a [b] </s>"), (1, 1, "bot", "c\\")],
+                                  "conv_id long, turn long, role string, text string")
+    row, = chat.format_conversations(turns, template).collect()
+    assert row["formatted"] == "[me]\na \\bb] \\l/s></s>[bot]\nc\\\\</s>" and row["valid"]
+    assert [row["formatted"][s["start"]:s["end"]] for s in row["loss"]] == ["c\\\\"]
+    assert chat.format_conversations(turns.limit(0)).count() == 0
+
+
+def test_tampering_is_noticed(spark):
+    bad = chat.format_conversations(conversations(spark).where("conv_id = 1")).selectExpr(
+        "conv_id", "part", "last", "concat(formatted, 'x') as formatted", "loss", "n_turns", "valid", "first_error")
+    with pytest.raises(Exception, match="cannot be read back"):
+        chat.read_back(bad).collect()
+
+
+def test_conversations_equal_sql(spark):
+    assert differences(queries.chats(spark, SMALL), database(SMALL), queries.ORACLE_SQL["op4_chat"])[1:] == ([], [])
