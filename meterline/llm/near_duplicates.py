@@ -201,7 +201,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_DOCS)).cast("int").alias("n_blocks"))
     placed = clusters.join(blocks, "root").withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
-    tasks = base.join(placed, base["doc_id"] == placed["node"]).select(
+    # Both sides grow with the corpus, so neither is ever copied to every executor, small or large.
+    tasks = base.join(placed.hint("merge"), base["doc_id"] == placed["node"]).select(
         "root", "doc_id", "text", "block",
         F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other")).select(
         "root", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"),
