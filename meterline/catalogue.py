@@ -1,8 +1,8 @@
 """Named queries over the provided tables, one per operator or group of operators.
 
 Each takes (spark, sf_dir) and returns a DataFrame. Where several results build
-on the classified trips, those are settled once in the shared folder, so the
-joins behind them run once per query.
+on the trips, bronze is settled once in the shared folder, so the joins behind
+it run once per query.
 """
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from meterline.operators import checks, compare, reports, runs
 from meterline.operators.classify import classify, conform, quarantine as quarantined
 from meterline.operators.dimensions import date_dimension, staged_weather, zone_dimension
-from meterline.operators.fact import replace_periods, trip_fact
+from meterline.operators.fact import trip_fact
 from meterline.operators import marts
 from meterline.operators.profile import profile_trips
 from meterline.plans import ledger, worklist
@@ -67,10 +67,10 @@ class Inputs:
         return marts.zone_daily(self.fact)
 
     def settled(self) -> Inputs:
-        """The same with classified trips and weather written once."""
+        """The same with bronze trips and weather written once; classifying again is map-only."""
         same = Inputs(self.spark, self.sf_dir)
-        same.bronze, same.zones = self.bronze, self.zones
-        same.staged = settle(self.staged, "staged")
+        same.zones = self.zones
+        same.bronze = settle(self.bronze, "bronze")
         same.weather = settle(self.weather, "weather")
         return same
 
@@ -214,7 +214,7 @@ def report_consistency(spark, d):
     fact = data.fact
     expected = checks.gather([
         checks.measures(fact, fact_rows=F.count("*")),
-        checks.measures(data.staged, input_rows=F.count("*")),
+        checks.measures(data.bronze, input_rows=F.count("*")),
         checks.measures(data.weather, weather_days=F.count("*")),
     ], ("fact_rows", "input_rows", "weather_days"))
     return reports.consistency(
@@ -229,7 +229,7 @@ def run_totals(spark, d):
         tables.run_records(spark, d),
         (F.col("status") == "success") & (F.col("input_rows") > 1))
     return runs.run_totals(
-        data.staged, built["mart_quality"],
+        data.bronze, built["mart_quality"],
         built | {"fct_trips": data.fact, "dim_zone": data.zones, "dim_date": data.calendar},
     ).unionByName(checks.measures(first, earliest_run_input_rows=F.sum("input_rows")))
 
@@ -292,8 +292,7 @@ def check_reconciliation(spark, d):
 
 
 def check_grains(spark, d):
-    data = Inputs(spark, d).settled()
-    built = data.marts()
+    built = Inputs(spark, d).marts()  # reads trips twice, writes none
     return checks.grain_duplicates({
         "zone_day": (built["mart_zone_daily"], ("date", "zone_key")),
         "borough_day": (built["mart_borough_daily"], ("date", "borough")),
@@ -393,16 +392,20 @@ def ledger_duplicate_bytes(spark, d):
     return ledger.duplicate_bytes(ledger.current(tables.registrations(spark, d)))
 
 
-def _replaced(spark, d) -> tuple[DataFrame, DataFrame]:
-    """The fact before and after the corrected periods replaced the old ones."""
-    data = Inputs(spark, d)
-    before = data.fact
-    rebuilt = trip_fact(classify(tables.corrected_trips(data.bronze), data.zones))
-    return before, replace_periods(before, rebuilt, tables.corrected_periods(spark, d))
+def _replacement(spark, d) -> DataFrame:
+    """The fact after the corrected periods replaced the old ones.
+
+    Periods are told apart on the orders: the old rows of a corrected period
+    are neither joined nor classified.
+    """
+    changed, zones = tables.corrected_periods(spark, d), tables.bronze_zones(spark, d)
+    kept = tables.bronze_trips(spark, d, changed, inside=False)
+    corrected = tables.corrected_trips(tables.bronze_trips(spark, d, changed))
+    return trip_fact(classify(kept, zones)).unionByName(trip_fact(classify(corrected, zones)))
 
 
 def period_replacement(spark, d):
-    return _replaced(spark, d)[1].select(
+    return _replacement(spark, d).select(
         "trip_id", "source_period", "quality_status", "trip_distance", "total_amount")
 
 
@@ -411,7 +414,7 @@ def snapshot_equivalence(spark, d):
 
     The fact is compared through per-period fingerprints, the marts on their grain.
     """
-    before, after = (settle(fact, "fact") for fact in _replaced(spark, d))
+    before, after = (settle(fact, "fact") for fact in (Inputs(spark, d).fact, _replacement(spark, d)))
     zones = tables.bronze_zones(spark, d)
     days = [settle(marts.zone_daily(fact), "zone-day") for fact in (before, after)]
     boroughs = [marts.borough_daily(day, zones) for day in days]

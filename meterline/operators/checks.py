@@ -125,7 +125,7 @@ def unique_findings(frame: DataFrame, table: str, key: str) -> DataFrame:
         *_finding(f"unique_{table}_{key}", F.col("n")))
 
 
-def trip_id_findings(staged: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+def trip_id_findings(staged: DataFrame, by: tuple[str, ...] = (), scratch: str | None = None) -> DataFrame:
     """Repeated trip ids among staged and among retained rows.
 
     Ids are 70 characters long and practically never repeat, so 64-bit hashes
@@ -134,7 +134,7 @@ def trip_id_findings(staged: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     broadcasts few, shuffles many, and reads no trip again when there are none.
     """
     ids = staged.where(F.col("trip_id").isNotNull()).withColumn("id_hash", F.xxhash64("trip_id"))
-    suspects = settle(duplicate_keys(ids, "id_hash").select("id_hash"), "repeated-ids")
+    suspects = settle(duplicate_keys(ids, "id_hash").select("id_hash"), "repeated-ids", scratch)
     retained = F.col("quality_status") != "INVALID"
     per_id = ids.join(suspects, "id_hash", "left_semi").groupBy("trip_id", *by).agg(
         F.count("*").alias("staged"), F.count_if(retained).alias("retained"))
@@ -192,13 +192,19 @@ def relationship_findings(orphaned: DataFrame, names: Iterable[str], by=()) -> D
                        F.col("violations")))
 
 
-def look_alike_trips(fact: DataFrame) -> DataFrame:
-    """Retained rides sharing one signature: evidence to look at, not an error."""
-    return duplicate_keys(fact, *LOOK_ALIKE)
+def look_alike_trips(fact: DataFrame, scratch: str | None = None) -> DataFrame:
+    """Retained rides sharing one signature: evidence to look at, not an error.
+
+    Signatures seldom repeat, so their hashes are counted first and only rows
+    whose hash repeats are compared by the signature itself.
+    """
+    hashed = fact.select(*LOOK_ALIKE, F.xxhash64(*LOOK_ALIKE).alias("signature"))
+    suspects = settle(duplicate_keys(hashed, "signature").select("signature"), "look-alikes", scratch)
+    return duplicate_keys(hashed.join(suspects, "signature", "left_semi"), *LOOK_ALIKE)
 
 
-def look_alike_findings(fact: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    return look_alike_trips(fact).groupBy(*by).agg(F.count("*").alias("n")).select(
+def look_alike_findings(fact: DataFrame, by: tuple[str, ...] = (), scratch: str | None = None) -> DataFrame:
+    return look_alike_trips(fact, scratch).groupBy(*by).agg(F.count("*").alias("n")).select(
         *by, *_finding("duplicate_observations", F.col("n"), "warn"))
 
 
@@ -248,7 +254,8 @@ def uncovered_dates(fact: DataFrame, weather: DataFrame, date: str = "pickup_dat
 
 
 def trip_findings(
-    staged: DataFrame, fact: DataFrame, zones: DataFrame, statuses: DataFrame
+    staged: DataFrame, fact: DataFrame, zones: DataFrame, statuses: DataFrame,
+    scratch: str | None = None,
 ) -> DataFrame:
     """Checks that read trips, per source period.
 
@@ -260,10 +267,10 @@ def trip_findings(
     return stack([
         status_findings(statuses),
         row_findings(fact, fact_rules(), by),
-        trip_id_findings(staged, by),
+        trip_id_findings(staged, by, scratch),
         relationship_findings(
             orphans(fact, zones, by=by), ("pickup_zone_key", "dropoff_zone_key"), by),
-        look_alike_findings(fact, by),
+        look_alike_findings(fact, by, scratch),
     ])
 
 

@@ -450,6 +450,20 @@ from staged""",
   ended as dropoff_datetime, from_zone as pickup_zone_key, to_zone as dropoff_zone_key, {FLAGS}
 from staged where quality_status = 'INVALID'""",
     "fact_trips": "select * from fact",
+    "row_ordinals": """select 'lineitem.parquet' as source_file, position::bigint as source_row,
+  l_orderkey from rides""",
+    "content_fingerprint": """select source_period, count(*) as row_count,
+  sum(('0x' || left(digest, 16))::ubigint)::varchar as high_sum,
+  sum(('0x' || right(digest, 16))::ubigint)::varchar as low_sum
+from (select source_period, md5(concat_ws('|', trip_id, source_period, source_sha256, source_row,
+    coalesce(pickup_datetime::varchar, '~'), coalesce(dropoff_datetime::varchar, '~'),
+    coalesce(pickup_date::varchar, '~'), coalesce(pickup_zone_key::varchar, '~'),
+    coalesce(dropoff_zone_key::varchar, '~'), coalesce(passenger_count::decimal(38,6)::varchar, '~'),
+    coalesce(trip_distance::decimal(38,6)::varchar, '~'),
+    coalesce(trip_duration_minutes::decimal(38,6)::varchar, '~'),
+    coalesce(fare_amount::varchar, '~'), coalesce(tip_amount::varchar, '~'),
+    coalesce(total_amount::varchar, '~'), coalesce(payment_type::varchar, '~'), quality_status)) as digest
+  from fact) group by 1""",
     "profile_month": """select source_period, count(*) as source_rows,
   count_if(started is null or ended is null)::bigint as null_timestamps,
   count_if(ended < started)::bigint as backwards,

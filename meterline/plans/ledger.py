@@ -1,14 +1,18 @@
 """Source ledger: an append-only table of registrations, queried as DataFrames."""
 from __future__ import annotations
 
+import uuid
+from collections import defaultdict
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from meterline.plans.tables import append_rows, local_rows, read_rows, together
-from meterline.sources.contracts import ContractError
-from meterline.sources.digests import WHOLE_FILE_BYTES, file_digests
-from meterline.sources.trips import checked_trip_file
+from meterline.plans.tables import append_rows, local_rows, read_rows
+from meterline.sources.contracts import ContractError, schema_fingerprint
+from meterline.sources.digests import file_digests
+from meterline.sources.files import qualified, scan_files
+from meterline.sources.trips import checked_trip_files
+from meterline.sources.weather import csv_columns
 
 LEDGER = T.StructType([
     T.StructField("source", T.StringType()),
@@ -18,6 +22,10 @@ LEDGER = T.StructType([
     T.StructField("sha256", T.StringType()),
     T.StructField("row_count", T.LongType()),
     T.StructField("schema_fingerprint", T.StringType()),
+    # Column list as registered, so that drift can be read back.
+    T.StructField("schema_json", T.StringType()),
+    # Files of one (source, period) registered together share their batch.
+    T.StructField("batch", T.StringType()),
     T.StructField("registered_at", T.TimestampNTZType()),
 ])
 
@@ -26,11 +34,24 @@ LEDGER = T.StructType([
 
 
 def current(ledger: DataFrame) -> DataFrame:
-    """Latest registration of every (source, period); ties fall to the larger digest."""
-    rest = [n for n in ledger.columns if n not in ("source", "period", "registered_at", "sha256")]
-    latest = F.max(F.struct("registered_at", "sha256", *rest)).alias("latest")
-    return ledger.groupBy("source", "period").agg(latest).select(
-        *[n if n in ("source", "period") else f"latest.{n}" for n in ledger.columns])
+    """Files of the latest batch of every (source, period); ties fall to the larger batch."""
+    keys = ("source", "period")
+    latest = ledger.groupBy(*keys).agg(F.max(F.struct("registered_at", "batch")).alias("latest"))
+    latest = latest.select(*keys, F.col("latest.batch").alias("batch"),
+                           F.col("latest.registered_at").alias("registered_at"))
+    return ledger.join(latest, [*keys, "batch", "registered_at"], "left_semi").select(*ledger.columns)
+
+
+def period_digests(current_rows: DataFrame) -> DataFrame:
+    """(source, period, raw_sha256, row_count): one digest for all files of a period.
+
+    A single file's own digest, else the digest of the sorted list.
+    """
+    listed = F.sort_array(F.collect_list("sha256"))
+    return current_rows.groupBy("source", "period").agg(
+        listed.alias("digests"), F.sum("row_count").alias("row_count")).select(
+        "source", "period", F.when(F.size("digests") == 1, F.col("digests")[0]).otherwise(
+            F.sha2(F.array_join("digests", ","), 256)).alias("raw_sha256"), "row_count")
 
 
 def history(ledger: DataFrame) -> DataFrame:
@@ -51,35 +72,21 @@ def duplicate_bytes(ledger: DataFrame) -> DataFrame:
 
 def broken_files(current_rows: DataFrame, digests: DataFrame) -> DataFrame:
     """Ledger rows whose file is gone or no longer has the registered bytes."""
-    found = digests.select(
-        _comparable("path").alias("file"), F.col("sha256").alias("found_sha256"))
-    return current_rows.withColumn("file", _comparable("path")).join(
-        found, "file", "left"
-    ).where(~F.col("sha256").eqNullSafe(F.col("found_sha256"))).select(
+    found = digests.select(F.col("path").alias("found_path"), F.col("sha256").alias("found_sha256"))
+    return current_rows.join(found, F.col("path") == F.col("found_path"), "left").where(
+        ~F.col("sha256").eqNullSafe(F.col("found_sha256"))).select(
         "source", "period", "path", "sha256", "found_sha256")
 
 
-def total_rows(current_rows: DataFrame, periods: list[str], source: str = "trips") -> DataFrame:
-    return current_rows.where(
-        (F.col("source") == source) & F.col("period").isin(periods)
-    ).agg(F.sum("row_count").alias("input_rows"))
-
-
-def _comparable(path: str):
-    """One spelling for `file:/x`, `file:///x` and `/x`; other schemes keep theirs."""
-    return F.regexp_replace(path, "^file:/+", "/")
-
-
 # --- the stored ledger -----------------------------------------------------------------------
 
 
 class Ledger:
     """The ledger table under a data root."""
 
-    def __init__(self, spark: SparkSession, root: str, whole_file_bytes: int = WHOLE_FILE_BYTES):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.path = f"{root}/ledger"
-        self.whole_file_bytes = whole_file_bytes
 
     def rows(self) -> DataFrame:
         return read_rows(self.spark, self.path, LEDGER)
@@ -91,35 +98,35 @@ class Ledger:
         return history(self.rows())
 
     def digests(self, paths: list[str]) -> DataFrame:
-        return file_digests(self.spark, paths, self.whole_file_bytes)
+        return file_digests(self.spark, paths)
 
     def register(self, files: list[tuple[str, str, str]]) -> int:
         """Register landed files, given as (source, period, path).
 
-        Trip files are held to their contract first. Nothing is recorded unless
-        every file passes; registering the current bytes again adds nothing.
-        Returns the number of rows added.
+        All files given for one (source, period) replace its earlier ones
+        together. Paths may be relative or spelt in any way; they are kept in
+        their full form. Trip files are held to their contract first. Nothing
+        is recorded unless every file passes; registering the current files of
+        a period again adds nothing. Returns the number of rows added.
         """
-        described = []
+        files = [(source, period, qualified(self.spark, path)) for source, period, path in files]
+        for path in {path for _, _, path in files}:
+            if sum(path == other for _, _, other in files) > 1:
+                raise ContractError(f"one registration names {path} more than once")
+        described = self._described(files)
+        now, batch = datetime.now(timezone.utc).replace(tzinfo=None), uuid.uuid4().hex
+        found = {r["path"]: r for r in self.digests([path for _, _, path in files]).collect()}
+        incoming = []
         for source, period, path in files:
-            if source == "trips":
-                fingerprint, rows = checked_trip_file(self.spark, path)
-            else:
-                fingerprint, rows = None, self.spark.read.text(path).where("trim(value) <> ''")
-            described.append((source, period, path, fingerprint, rows))
-        counts = together(*[rows.count for *_, rows in described])
-        now = datetime.now(timezone.utc).replace(tzinfo=None)
-        named = local_rows(self.spark, [
-            # Text files carry a header line.
-            (source, period, path, None, None,
-             count if source == "trips" else max(count - 1, 0), fingerprint, now)
-            for (source, period, path, fingerprint, _), count in zip(described, counts)], LEDGER)
-        digests = self.digests([path for _, _, path in files]).select(
-            _comparable("path").alias("file"), "length", "sha256")
-        incoming = named.drop("length", "sha256").withColumn("file", _comparable("path")).join(
-            digests, "file").select(*LEDGER.fieldNames())
-        # A handful of rows per call; kept so that files are hashed once.
-        incoming = local_rows(self.spark, incoming.collect(), LEDGER)
+            if path not in found:
+                raise ContractError(f"no digest for {path}; it cannot be registered", source, period)
+            schema, rows = described[path]
+            incoming.append((source, period, path, found[path]["length"], found[path]["sha256"], rows,
+                             schema_fingerprint(schema), schema.json(), batch, now))
+        for source, period, _, _, digest, *_ in incoming:
+            if sum((source, period, digest) == (r[0], r[1], r[4]) for r in incoming) > 1:
+                raise ContractError(f"two files with duplicate source bytes for {source}/{period}", source, period)
+        incoming = local_rows(self.spark, incoming, LEDGER)
 
         known = self.current()
         clash = duplicate_bytes(
@@ -128,16 +135,35 @@ class Ledger:
         ).first()
         if clash:
             raise ContractError(
-                f"duplicate source bytes registered for {clash['source']}/"
-                f"{clash['first_period']} and {clash['last_period']}", clash["source"])
-        fresh = incoming.join(
-            known.select("source", "period", "sha256", "path"),
-            ["source", "period", "sha256", "path"], "left_anti").select(*LEDGER.fieldNames())
+                f"{clash['source']} of {clash['first_period']} and {clash['last_period']} are "
+                "duplicate source bytes", clash["source"])
+        # A period is new if its set of (path, digest) is not the current one.
+        listed = F.sort_array(F.collect_list(F.struct("path", "sha256"))).alias("files")
+        keys = ["source", "period"]
+        same = known.groupBy(*keys).agg(listed).join(incoming.groupBy(*keys).agg(listed), [*keys, "files"])
+        fresh = incoming.join(same.select(*keys), keys, "left_anti").select(*LEDGER.fieldNames())
         added = fresh.count()
         if added:
             append_rows(fresh, self.path)
         return added
 
+    def _described(self, files) -> dict[str, tuple[T.StructType, int]]:
+        """(schema, row count) per path; rows of CSV files are counted as parsed."""
+        out = checked_trip_files(self.spark, [path for source, _, path in files if source == "trips"])
+        texts = [path for source, _, path in files if source != "trips"]
+        headers = {path: csv_columns(self.spark, path) for path in texts}
+        groups = defaultdict(list)
+        for path, schema in headers.items():
+            groups[schema.json()].append(path)
+        for paths in groups.values():
+            def read(names, schema=headers[paths[0]]):
+                return self.spark.read.schema(schema).csv(names, header=True, multiLine=True).select(
+                    *schema.fieldNames()[:1], F.col("_metadata.file_path").alias("file_uri"))
+            counted = scan_files(self.spark, [(p, p, "") for p in paths], read).groupBy("file_period").count()
+            counts = {r["file_period"]: r["count"] for r in counted.collect()}
+            out |= {path: (headers[path], counts.get(path, 0)) for path in paths}
+        return out
+
     def verify(self, current_rows: DataFrame, paths: list[str]) -> None:
         """Raise unless every registered file still has its registered bytes."""
         from pyspark.errors import AnalysisException
@@ -145,9 +171,9 @@ class Ledger:
         try:
             digests = self.digests(paths)
         except AnalysisException as missing:
-            raise ContractError(f"raw integrity failure: {missing}") from missing
+            raise ContractError(f"raw files fail their integrity test: {missing}") from missing
         broken = broken_files(current_rows, digests).orderBy("source", "period").first()
         if broken:
             raise ContractError(
-                f"raw integrity failure: {broken['source']}/{broken['period']}; "
-                "restore the immutable file", broken["source"], broken["period"])
+                f"{broken['source']} of {broken['period']} fail their integrity test: {broken['path']} "
+                "is not as registered", broken["source"], broken["period"])

@@ -1,6 +1,7 @@
 """The incremental run: detect changed inputs, rebuild those periods, check, publish."""
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from datetime import datetime, timezone
@@ -14,12 +15,14 @@ from meterline.operators.classify import classify
 from meterline.operators.dimensions import date_dimension, staged_weather, zone_dimension
 from meterline.operators.fact import trip_fact
 from meterline.operators.marts import borough_daily, status_counts, weather_demand, zone_daily
-from meterline.plans.ledger import LEDGER, Ledger, total_rows
+from meterline.plans.ledger import LEDGER, Ledger, period_digests
 from meterline.plans.store import EMPTY, ENTRY, STATUS_COUNTS, Commit, Store
 from meterline.plans.tables import append_rows, local_rows, read_rows, together
 from meterline.plans.worklist import changed_periods, detect_work, loaded_periods
 from meterline.schemas import STATION
+from meterline.session import remove
 from meterline.sources.contracts import ContractError
+from meterline.sources.files import qualified
 from meterline.sources.periods import month_spine
 from meterline.sources.trips import TripFile, bronze_files
 from meterline.sources.weather import checked_weather
@@ -71,6 +74,10 @@ SCHEMAS = T.StructType([
 MONTHS = T.StructType([T.StructField("period", T.StringType())])
 
 
+def _schema(row: Row) -> T.StructType:
+    return T.StructType.fromJson(json.loads(row["schema_json"]))
+
+
 class ChecksFailed(RuntimeError):
     """A check of severity error found violations; nothing was published."""
 
@@ -83,11 +90,11 @@ class Refresh:
     """Runs over one data root; `register` files first, then `run` a range of months."""
 
     def __init__(
-        self, spark: SparkSession, root: str, station: str = STATION, verify: str = "content",
+        self, spark: SparkSession, root: str, station: str = STATION,
         logic_version: str = LOGIC_VERSION,
     ):
         self.spark = spark
-        self.store = Store(spark, root, verify)
+        self.store = Store(spark, qualified(spark, root))
         self.ledger = Ledger(spark, self.store.root)
         self.station = station
         self.logic_version = logic_version
@@ -120,9 +127,10 @@ class Refresh:
             report["status"] = "failed"
             report["error"] = {
                 "stage": where["stage"], "source": getattr(problem, "source", None),
-                "period": getattr(problem, "period", None), "reason": str(problem)[:2000]}
+                "period": getattr(problem, "period", None), "reason": str(problem)}
             raise
         finally:
+            remove(self.spark, self._scratch(report["run_id"]))
             report["end_time"] = _now()
             report["duration_seconds"] = round(time.monotonic() - clock, 3)
             append_rows(local_rows(self.spark, [report], RUNS), f"{self.store.root}/runs")
@@ -140,17 +148,18 @@ class Refresh:
 
         where["stage"] = "ingestion"
         inputs = self._inputs(periods)
-        report["input_rows"] = report["bronze_rows"] = total_rows(
-            local_rows(spark, list(inputs.values()), LEDGER), periods).first()["input_rows"]
+        report["input_rows"] = report["bronze_rows"] = sum(
+            row["row_count"] for (source, _), row in inputs.items() if source == "trips")
 
         where["stage"] = "bronze_validation"
         work = self._work(inputs, before, force, rebuild_all)
         keys = sorted((r["source"], r["period"]) for r in work.collect())
-        changed = sorted(r["period"] for r in changed_periods(work, periods_df).collect())
+        changed = sorted({r["period"] for r in changed_periods(work, periods_df).collect()}
+                         | self._lost_periods(before, periods))
         if rebuild_all:
             changed = periods
         report["partitions_processed"] = changed
-        if not keys and not changed:
+        if not keys and not changed and not self._lost_reports(before):
             self._repeat_counts(report)
             return
         entries = self._build_bronze(run_id, inputs, before, keys)
@@ -173,41 +182,47 @@ class Refresh:
         where["stage"] = "publication"
         store.publish(Commit(before.sequence + 1, run_id, self.logic_version, entries))
 
+    def _scratch(self, run_id: str) -> str:
+        return f"{self.store.root}/scratch/run={run_id}"
+
     # --- ingestion ---------------------------------------------------------------------
 
-    def _inputs(self, periods: list[str]) -> dict[tuple[str, str], Row]:
-        """Registered files of the run, verified against their digests."""
+    def _inputs(self, periods: list[str]) -> dict[tuple[str, str], dict]:
+        """Registered files of the run by (source, period), verified against their digests."""
         wanted = [("zones", "zones")] + [(s, p) for p in periods for s in ("trips", "weather")]
-        rows = self.ledger.current().where(
-            F.col("period").isin([p for _, p in wanted])).collect()
-        current = {(r["source"], r["period"]): r for r in rows}
+        frame = self.ledger.current().where(F.col("period").isin([p for _, p in wanted]))
+        frame = local_rows(self.spark, frame.collect(), LEDGER)
+        inputs = {
+            (r["source"], r["period"]): {"sha256": r["raw_sha256"], "row_count": r["row_count"], "files": []}
+            for r in period_digests(frame).collect()}
+        for row in frame.collect():
+            inputs[row["source"], row["period"]]["files"].append(row)
         for source, period in wanted:
-            if (source, period) not in current:
+            if (source, period) not in inputs:
                 raise ContractError(
                     f"source not registered: {source}/{period}", source, period)
-        inputs = {key: current[key] for key in wanted}
-        paths = [r["path"] for r in inputs.values()]
-        frame = local_rows(self.spark, list(inputs.values()), LEDGER)
-        if self.store.verify == "content":
-            self.ledger.verify(frame, paths)
-        else:
-            self._verify_lengths(inputs, paths)
-        return inputs
-
-    def _verify_lengths(self, inputs, paths) -> None:
-        try:
-            found = self.spark.read.format("binaryFile").load(paths).select(
-                F.regexp_replace("path", "^file:/+", "/").alias("path"), "length").collect()
-        except AnalysisException as missing:
-            raise ContractError(f"raw integrity failure: {missing}") from missing
-        lengths = {r["path"]: r["length"] for r in found}
-        for (source, period), row in inputs.items():
-            path = row["path"]
-            if path.startswith("file:/"):
-                path = "/" + path.removeprefix("file:").lstrip("/")
-            if lengths.get(path) != row["length"]:
-                raise ContractError(
-                    f"raw integrity failure: {source}/{period}", source, period)
+            if source != "trips" and len(inputs[source, period]["files"]) > 1:
+                raise ContractError(f"{source} of {period} must be one file", source, period)
+        self.ledger.verify(frame, [r["path"] for key in wanted for r in inputs[key]["files"]])
+        return {key: inputs[key] for key in wanted}
+
+    def _lost_periods(self, before, periods) -> set[str]:
+        """Loaded periods of which a gold folder of the last publication is gone."""
+        folders = {}
+        for (source, period), e in before.entries.items():
+            if source != "trips" or period not in periods or e["gold_run"] is None:
+                continue
+            tables = ["mart_quality", "trip_findings"] if e["bronze_rows"] else []
+            tables += ["fct_trips", "mart_zone_daily"] if e["fact_rows"] else []
+            folders |= {self.store.gold_folder(t, e["gold_run"], period): period for t in tables}
+        return {folders[f] for f in self.store.missing(list(folders))}
+
+    def _lost_reports(self, before) -> bool:
+        if before.run_id is None:
+            return False
+        kinds = [(n, k) for n in EXPORTS for k in ("parquet", "csv")] + [
+            (n, "json") for n in ("schemas", "quality", "sources")]
+        return bool(self.store.missing([self.store.report_folder(before.run_id, n, k) for n, k in kinds]))
 
     def _work(self, inputs, before, force, rebuild_all) -> DataFrame:
         live = {
@@ -245,9 +260,9 @@ class Refresh:
     def _build_bronze(self, run_id, inputs, before, keys) -> dict[tuple[str, str], dict]:
         """New bronze for `keys`; entries of all inputs, old or new."""
         spark, store = self.spark, self.store
-        trips = [TripFile(p, inputs[s, p]["path"], inputs[s, p]["sha256"])
-                 for s, p in keys if s == "trips"]
-        weather = {p: inputs[s, p]["path"] for s, p in keys if s == "weather"}
+        trips = [TripFile(p, f["path"], f["sha256"], _schema(f)) for s, p in keys if s == "trips"
+                 for f in inputs[s, p]["files"]]
+        weather = [(p, f["path"], _schema(f)) for s, p in keys if s == "weather" for f in inputs[s, p]["files"]]
         jobs = []
         if trips:
             rows = bronze_files(spark, trips).withColumn("period", F.col("source_period"))
@@ -257,7 +272,7 @@ class Refresh:
                 "weather", run_id,
                 checked_weather(spark, weather, self.station).repartition("period")))
         if ("zones", "zones") in keys:
-            path = inputs["zones", "zones"]["path"]
+            path = inputs["zones", "zones"]["files"][0]["path"]
             jobs.append(lambda: store.write_bronze(
                 "zones", run_id,
                 checked_zones(spark, path).withColumn("period", F.lit("zones")).coalesce(1)))
@@ -310,7 +325,7 @@ class Refresh:
         rebuilt = [e | {"fact_rows": retained.get(e["period"], 0)} for e in rebuilt]
         entries = entries | {("trips", e["period"]): e for e in rebuilt}
         fact = store.read_gold("fct_trips", rebuilt)
-        findings = checks.trip_findings(staged, fact, zones, statuses)
+        findings = checks.trip_findings(staged, fact, zones, statuses, self._scratch(run_id))
         days = zone_daily(fact).withColumn("period", period_of(F.col("date")))
         together(
             lambda: store.write_gold("mart_zone_daily", run_id, days.repartition("period")),

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from meterline.plans.tables import append_rows, local_rows, read_rows
+from meterline.plans.tables import append_rows, local_rows, read_rows, together
 from meterline.schemas import FACT, FLAGS, TRIPS, WEATHER, ZONES
 from meterline.sources.digests import file_digests, tree_fingerprint
 
@@ -90,18 +90,15 @@ class Commit:
         return sorted(period for source, period in self.entries if source == "trips")
 
 
-class Store:
-    def __init__(self, spark: SparkSession, root: str, verify: str = "content"):
-        """`verify`: how file integrity is tested on every run.
+def _commit(row) -> Commit:
+    return Commit(row["sequence"], row["run_id"], row["logic_version"],
+                  {(e["source"], e["period"]): e.asDict() for e in row["entries"]})
 
-        "content" hashes all bytes, "listing" compares names and lengths only,
-        for volumes where re-reading everything is out of the question.
-        """
-        if verify not in ("content", "listing"):
-            raise ValueError(f"unknown verification: {verify}")
+
+class Store:
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.verify = verify
 
     # --- folders -----------------------------------------------------------------------
 
@@ -142,18 +139,23 @@ class Store:
         if not folders:
             return {}
         paths = list(folders.values())
-        listing = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        if self.verify == "listing":
-            files = listing.load(paths).select(
-                "path", "length", F.col("length").cast("string").alias("sha256"))
-        else:
-            files = file_digests(self.spark, paths, recursive=True)
+        files = file_digests(self.spark, paths, recursive=True)
         found = tree_fingerprint(
             files.where(F.col("path").endswith(".parquet")),
             F.regexp_extract("path", r"/bronze/(\w+)/run=", 1).alias("source"),
             F.regexp_extract("path", r"/period=([^/]+)/", 1).alias("period"))
-        return {(r["source"], r["period"]): f"{self.verify}:{r['fingerprint']}"
-                for r in found.collect()}
+        return {(r["source"], r["period"]): r["fingerprint"] for r in found.collect()}
+
+    def missing(self, folders: list[str]) -> list[str]:
+        """Those of `folders` that are gone or hold no data file; lists names, reads no data."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+
+        def lost(folder: str) -> bool:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            system = path.getFileSystem(conf)
+            return not system.exists(path) or not any(
+                f.isFile() and f.getPath().getName().startswith("part-") for f in system.listStatus(path))
+        return [f for f, gone in zip(folders, together(*[lambda f=f: lost(f) for f in folders])) if gone]
 
     # --- gold --------------------------------------------------------------------------
 
@@ -184,9 +186,7 @@ class Store:
         last = self.commits().orderBy(F.desc("sequence")).first()
         if last is None:
             return Commit(0, None, None, {})
-        return Commit(
-            last["sequence"], last["run_id"], last["logic_version"],
-            {(e["source"], e["period"]): e.asDict() for e in last["entries"]})
+        return _commit(last)
 
     def publish(self, commit: Commit) -> None:
         row = {
@@ -196,9 +196,16 @@ class Store:
 
     # --- published data ------------------------------------------------------------------
 
-    def table(self, name: str) -> DataFrame:
-        """A table of the published generation: the trip fact or any exported mart."""
-        commit = self.latest()
+    def generation(self, run_id: str) -> Commit:
+        """The publication of an earlier run; its files are all kept."""
+        row = self.commits().where(F.col("run_id") == run_id).first()
+        if row is None:
+            raise LookupError(f"run {run_id} has published nothing")
+        return _commit(row)
+
+    def table(self, name: str, run_id: str | None = None) -> DataFrame:
+        """A table of a published generation (the last one by default): the trip fact or an exported mart."""
+        commit = self.latest() if run_id is None else self.generation(run_id)
         if commit.run_id is None:
             raise LookupError("nothing has been published yet")
         if name == "fct_trips":

@@ -12,8 +12,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "zstd",
-    # Writes split by period keep several files open instead of sorting first.
-    "spark.sql.maxConcurrentOutputFileWriters": "64",
     "spark.ui.enabled": "false",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -50,14 +48,20 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` once to the shared folder and read it back.
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library has written, through Spark's file systems."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def settle(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
+    """Write `df` once to `folder`, or the shared folder, and read it back.
 
     For a result with several consumers: each of them starts from columnar
     files instead of repeating the joins behind `df`, lost executors cost only
     a re-read, and the file sizes let Spark choose join strategies.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{folder or shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -3,12 +3,13 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, SparkSession, functions as F, types as T
 
 from meterline.schemas import REQUIRED, TRIPS
 
 NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
+#: Mark of a column that holds nanoseconds as whole numbers.
+NANOSECONDS = "nanoseconds"
 
 
 class ContractError(ValueError):
@@ -20,45 +21,60 @@ class ContractError(ValueError):
         self.period = period
 
 
-def open_trip_file(spark: SparkSession, path: str) -> tuple[DataFrame, bool]:
-    """The file as it is, and whether it stores nanosecond timestamps.
+def footer(spark: SparkSession, path: str) -> tuple[str, frozenset[str], int]:
+    """(message type, columns of nanosecond timestamps, row count) of a Parquet file.
 
-    Only the footer is read. Spark refuses nanosecond columns unless told to
-    hand them over as whole numbers, so a refusal tells that there are some. The
-    setting leaves other files alone and must still hold when a frame is
-    executed: once needed, it stays on.
+    Read through Spark's file systems, without a job.
     """
-    earlier = spark.conf.get(NANOS_AS_LONG, "false")
-    spark.conf.set(NANOS_AS_LONG, "false")
+    jvm = spark._jvm
+    source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(
+        jvm.org.apache.hadoop.fs.Path(path), spark._jsc.hadoopConfiguration())
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
     try:
-        return spark.read.parquet(path), False
-    except AnalysisException as refused:
-        if "NANOS" not in str(refused):
-            raise
-        earlier = "true"
+        message = reader.getFileMetaData().getSchema()
+        fields = [message.getType(i) for i in range(message.getFieldCount())]
+        nanoseconds = frozenset(
+            f.getName() for f in fields if str(f.getLogicalTypeAnnotation()).startswith("TIMESTAMP(NANOS"))
+        return message.toString(), nanoseconds, reader.getRecordCount()
     finally:
-        spark.conf.set(NANOS_AS_LONG, earlier)
-    return spark.read.parquet(path), True
+        reader.close()
 
 
-def check_trip_schema(schema: T.StructType, nanoseconds: bool = False) -> None:
+def spark_schema(spark: SparkSession, path: str, nanoseconds: frozenset[str]) -> T.StructType:
+    """Spark's schema of a Parquet file, with nanosecond columns marked in their metadata.
+
+    Spark hands such columns over as whole numbers under a session setting that
+    leaves all others alone; it is set once and stays, since frames need it
+    when they run.
+    """
+    if spark.conf.get(NANOS_AS_LONG, "false") != "true":
+        spark.conf.set(NANOS_AS_LONG, "true")
+    return T.StructType([
+        T.StructField(f.name, f.dataType, f.nullable, {NANOSECONDS: True} if f.name in nanoseconds else None)
+        for f in spark.read.parquet(path).schema.fields])
+
+
+def check_trip_schema(schema: T.StructType) -> None:
     """Every required column must exist with the right family; extras are allowed."""
     families = {
-        "timestamp": (T.TimestampType, T.TimestampNTZType) + (T.LongType,) * nanoseconds,
+        "timestamp": (T.TimestampType, T.TimestampNTZType),
         "number": (T.IntegralType, T.FractionalType),
     }
     for name, family in REQUIRED.items():
         if name not in schema.fieldNames():
-            raise ContractError(f"required field missing: {name}", "trips")
-        found = schema[name].dataType
-        if not isinstance(found, families[family]):
+            raise ContractError(f"trip file lacks a column (required field missing: {name})", "trips")
+        field = schema[name]
+        fits = family == "timestamp" if field.metadata.get(NANOSECONDS) else isinstance(
+            field.dataType, families[family])
+        if not fits:
             raise ContractError(
-                f"incompatible field {name}: {found.simpleString()}; expected {family}", "trips")
+                f"incompatible field {name}: a {family} column cannot be {field.dataType.simpleString()}", "trips")
 
 
 def schema_fingerprint(schema: T.StructType) -> str:
     """Changes exactly when a column name, its type or the order changes."""
-    text = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in schema.fields)
+    text = ",".join(
+        f"{f.name}:{f.dataType.simpleString()}{' ns' if f.metadata.get(NANOSECONDS) else ''}" for f in schema.fields)
     return hashlib.sha256(text.encode()).hexdigest()
 
 
@@ -89,7 +105,7 @@ def safe_cast(value: Column, source: T.DataType, target: T.DataType, name: str)
     if isinstance(target, T.TimestampNTZType) and isinstance(source, T.TimestampType):
         return _after_epoch(F.unix_micros(value))
     if isinstance(target, T.TimestampNTZType) and isinstance(source, T.LongType):
-        # Nanoseconds, which Spark reads as bare whole numbers (see open_trip_file).
+        # Nanoseconds, which Spark reads as bare whole numbers (see spark_schema).
         micros = F.floor(value / F.lit(1000).cast("decimal(4,0)")).cast("long")
         return _guarded(
             value, F.coalesce(value % 1000 != 0, F.lit(False)), target, name, _after_epoch(micros))
@@ -102,10 +118,10 @@ def _after_epoch(micros: Column) -> Column:
     return epoch + F.make_dt_interval(secs=seconds)
 
 
-def typed_trips(raw: DataFrame, nanoseconds: bool = False) -> list[Column]:
+def typed_trips(schema: T.StructType) -> list[Column]:
     """Required columns of a raw file in bronze types."""
-    check_trip_schema(raw.schema, nanoseconds)
+    check_trip_schema(schema)
     return [
-        safe_cast(F.col(name), raw.schema[name].dataType, TRIPS[name].dataType, name).alias(name)
+        safe_cast(F.col(name), schema[name].dataType, TRIPS[name].dataType, name).alias(name)
         for name in REQUIRED
     ]

@@ -1,51 +1,18 @@
-"""Content digests of files, computed by the executors."""
+"""Content digests of files, computed by the executors inside the JVM."""
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# Files up to this size are hashed as one value inside the JVM; larger ones,
-# which no single value could hold, are streamed in chunks.
-WHOLE_FILE_BYTES = 64 * 1024 * 1024
-CHUNK_BYTES = 4 * 1024 * 1024
-
-
-def _streamed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
-
-    def digest(uri: str) -> str:
-        if uri.startswith("file:/") and not uri.startswith("file:///"):
-            uri = "file:///" + uri.removeprefix("file:/")
-        filesystem, path = fs.FileSystem.from_uri(uri)
-        running = hashlib.sha256()
-        with filesystem.open_input_stream(path, compression=None) as stream:
-            while chunk := stream.read(CHUNK_BYTES):
-                running.update(chunk)
-        return running.hexdigest()
-
-    for batch in batches:
-        yield batch.assign(sha256=[digest(uri) for uri in batch["path"]])
-
 
-def file_digests(
-    spark: SparkSession, paths: str | list[str], whole_file_bytes: int = WHOLE_FILE_BYTES,
-    recursive: bool = False,
-) -> DataFrame:
-    """(path, length, sha256) of every file under `paths`.
+def file_digests(spark: SparkSession, paths: str | list[str], recursive: bool = False) -> DataFrame:
+    """(path, length, sha256) of every file under `paths`, on any file system that Spark reads.
 
-    Each file is read once, by one task, with bounded memory. The length
-    filters reach the file listing, so neither branch opens the other's files.
+    Empty files are not listed. Each file is read whole by one task. Spark refuses files beyond 2 GiB with
+    an error: a period may hold many files, so such a file has to be split.
     """
     files = spark.read.format("binaryFile").option(
         "recursiveFileLookup", str(recursive).lower()).load(paths)
-    small = files.where(F.col("length") <= whole_file_bytes).select(
-        "path", "length", F.sha2("content", 256).alias("sha256"))
-    large = files.where(F.col("length") > whole_file_bytes).select("path", "length")
-    return small.unionByName(
-        large.mapInPandas(_streamed, "path string, length long, sha256 string"))
+    return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
 def tree_fingerprint(digests: DataFrame, *keys) -> DataFrame:

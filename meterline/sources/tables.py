@@ -7,9 +7,7 @@ run on it exactly as on raw files.
 """
 from __future__ import annotations
 
-from functools import lru_cache
-
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterline.functions.expressions import period_of
 from meterline.plans.ledger import LEDGER, current
@@ -18,15 +16,8 @@ from meterline.sources.periods import spine_between
 from meterline.sources.weather import observations
 
 
-@lru_cache(maxsize=256)
-def _schema(spark: SparkSession, path: str) -> T.StructType:
-    """The footer schema of a provided table, read once per session."""
-    return spark.read.parquet(path).schema
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    return spark.read.schema(_schema(spark, path)).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,9 +55,14 @@ def _rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_trips(
+    spark: SparkSession, sf_dir: str, periods: DataFrame | None = None, inside: bool = True,
+) -> DataFrame:
     """Bronze trips. Line items are shuffled for orders and suppliers only.
 
+    With `periods` (column period), trips of those periods alone, or of all
+    others; the orders are filtered before the line items join them.
+
     Customers are resolved on the (four times smaller) order side first. Both
     sides of the order join grow with the data and neither may ever be copied
     to every executor, hence the merge hint; elsewhere Spark decides by size.
@@ -79,6 +75,9 @@ def bronze_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "substring(string(date(o_orderdate)), 1, 7) as source_period",
         "bigint(substring(o_orderpriority, 1, 1)) as priority",
     )
+    if periods is not None:
+        chosen = periods.select(F.col("period").alias("source_period"))
+        orders = orders.join(chosen, "source_period", "left_semi" if inside else "left_anti")
     suppliers = _table(spark, sf_dir, "supplier").selectExpr(
         "s_suppkey as l_suppkey", "bigint(s_nationkey) as DOLocationID")
     trips = _rides(spark, sf_dir).join(orders.hint("merge"), "l_orderkey").selectExpr(
@@ -185,6 +184,9 @@ def registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2((c("length") % 499).cast("string"), 256).alias("sha256"),
         "row_count",
         F.sha2("l_returnflag", 256).alias("schema_fingerprint"),
+        F.lit(None).cast("string").alias("schema_json"),
+        F.concat(F.sha2((c("length") % 499).cast("string"), 256), F.lit("/"), "period", F.lit("-"), "l_returnflag")
+        .alias("batch"),
         "registered_at",
     ).to(LEDGER)
 

@@ -36,6 +36,8 @@ def duplicate_zone_keys(zones: DataFrame, *by: str) -> DataFrame:
 
 def checked_zones(spark: SparkSession, path: str) -> DataFrame:
     zones = read_zones(spark, path)
-    if zones.isEmpty() or not duplicate_zone_keys(zones).isEmpty():
-        raise ContractError("zones: empty or duplicate zone keys", "zones", "zones")
+    counts = zones.agg(F.count("*").alias("n"), F.count("zone_key").alias("keys"),
+                       F.countDistinct("zone_key").alias("distinct_keys")).first()
+    if not counts["n"] or not counts["n"] == counts["keys"] == counts["distinct_keys"]:
+        raise ContractError("zone lookup with blank, empty or duplicate zone keys", "zones", "zones")
     return zones

@@ -9,10 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterline.schemas import REQUIRED, TRIPS
-from meterline.sources.contracts import ContractError
+from meterline.sources.contracts import ContractError, schema_fingerprint
 from meterline.sources.digests import file_digests, tree_fingerprint
+from meterline.sources.files import qualified, scan_files
 from meterline.sources.periods import month_spine
-from meterline.sources.trips import TripFile, bronze_file, bronze_files, checked_trip_file
+from meterline.sources.trips import TripFile, bronze_file, bronze_files, checked_trip_files
 from meterline.sources.weather import checked_weather, observations, read_weather_text
 from meterline.sources.zones import checked_zones, read_zones
 from tests.inputs import rides, sha256, write_rides, write_weather, write_zones
@@ -31,7 +32,7 @@ def with_column(table, name, values):
 def test_missing_required_column(spark, tmp_path, column):
     path = written(rides("2025-01").drop_columns([column]), tmp_path / "t.parquet")
     with pytest.raises(ContractError, match=f"required field missing: {column}"):
-        checked_trip_file(spark, path)
+        checked_trip_files(spark, [path])
 
 
 @pytest.mark.parametrize("column", ["trip_distance", "tpep_pickup_datetime", "payment_type"])
@@ -40,17 +41,21 @@ def test_incompatible_type(spark, tmp_path, column):
     path = written(
         with_column(table, column, pa.array(["bad"] * len(table))), tmp_path / "t.parquet")
     with pytest.raises(ContractError, match=f"incompatible field {column}"):
-        checked_trip_file(spark, path)
+        checked_trip_files(spark, [path])
 
 
 def test_optional_column_changes_the_fingerprint_only(spark, tmp_path):
     table = rides("2025-01")
-    plain = checked_trip_file(spark, written(table, tmp_path / "a.parquet"))
-    same = checked_trip_file(spark, written(table.slice(0, 5), tmp_path / "b.parquet"))
+    def described(path):
+        (schema, rows), = checked_trip_files(spark, [path]).values()
+        return schema_fingerprint(schema), rows
+
+    plain = described(written(table, tmp_path / "a.parquet"))
+    same = described(written(table.slice(0, 5), tmp_path / "b.parquet"))
     wider = table.append_column("cbd_congestion_fee", pa.array([2.5] * 11))
     path = written(wider, tmp_path / "c.parquet")
-    extra = checked_trip_file(spark, path)
-    assert plain[1].count() == extra[1].count() == 11 and same[1].count() == 5
+    extra = described(path)
+    assert plain[1] == extra[1] == 11 and same[1] == 5
     assert plain[0] == same[0] != extra[0]
     assert bronze_file(spark, TripFile("2025-01", path, "x")).columns == TRIPS.fieldNames()
 
@@ -132,6 +137,43 @@ def test_lossy_casts_fail(spark, tmp_path, column, values):
         bronze_file(spark, TripFile("2025-01", path, "x")).collect()
 
 
+def test_whole_numbers_pass_as_timestamps_only_where_the_footer_says_so(spark, tmp_path):
+    """A nanosecond column elsewhere does not lend its meaning to a plain whole number."""
+    table = rides("2025-01")
+    table = with_column(table, "tpep_dropoff_datetime", table["tpep_dropoff_datetime"].cast(pa.timestamp("ns")))
+    table = with_column(table, "tpep_pickup_datetime", pa.array([1_735_819_200_000_000_000] * 11))
+    with pytest.raises(ContractError, match="incompatible field tpep_pickup_datetime"):
+        checked_trip_files(spark, [written(table, tmp_path / "t.parquet")])
+    nanos = with_column(rides("2025-01"), "payment_type", pa.array([1] * 11, pa.timestamp("ns")))
+    with pytest.raises(ContractError, match="incompatible field payment_type"):
+        checked_trip_files(spark, [written(nanos, tmp_path / "u.parquet")])
+
+
+def test_many_files_are_one_scan_per_schema(spark, tmp_path):
+    """The plan follows the number of schemas; names with odd characters keep their digests."""
+    files = []
+    for i in range(120):
+        table = rides("2025-01").slice(i % 11, 1)
+        if i % 3 == 0:
+            table = with_column(table, "PULocationID", table["PULocationID"].cast(pa.int32()))
+        files.append(TripFile(f"2025-{i % 12 + 1:02d}", written(table, tmp_path / f"part {i}%20+é.parquet"), f"d{i}"))
+    rows = bronze_files(spark, files)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2
+    found = {(r["source_sha256"], r["source_period"], r["source_row"]) for r in rows.collect()}
+    assert found == {(f.sha256, f.period, 0) for f in files}
+
+
+def test_file_lists_are_sent_in_bounded_parts(spark, tmp_path):
+    paths = [written(rides("2025-01").slice(0, i + 1), tmp_path / f"{i}.parquet") for i in range(5)]
+
+    def read(names):
+        return spark.read.parquet(*names).select(F.col("_metadata.file_path").alias("file_uri"))
+    rows = scan_files(spark, [(qualified(spark, p), str(i), "x") for i, p in enumerate(paths)], read, chunk=2)
+    counts = {r["file_period"]: r["count"] for r in rows.groupBy("file_period").count().collect()}
+    assert counts == {str(i): i + 1 for i in range(5)}
+
+
 def test_zones(spark, tmp_path):
     path = write_zones(tmp_path, ((1, "Manhattan", "A", "Yellow"), (264, "", "", "N/A")))
     rows = {r["zone_key"]: r for r in checked_zones(spark, str(path)).collect()}
@@ -151,6 +193,26 @@ def test_zone_key_must_be_a_number(spark, tmp_path):
         read_zones(spark, str(path)).collect()
 
 
+def test_zone_keys_must_not_be_blank(spark, tmp_path):
+    rows = ((1, "Manhattan", "A", "Yellow"), ("", "Queens", "B", "Yellow"))
+    with pytest.raises(ContractError, match="blank"):
+        checked_zones(spark, str(write_zones(tmp_path, rows)))
+
+
+@pytest.mark.parametrize("day", ["2025-01", "2025-01-01Tgarbage", "2025-01-32", "01/01/2025", "2025-1-1"])
+def test_weather_dates_must_be_iso(spark, tmp_path, day):
+    path = write_weather(tmp_path, "2025-01")
+    path.write_text(path.read_text().replace("2025-01-01", day))
+    with pytest.raises(ContractError, match="not ISO"):
+        checked_weather(spark, {"2025-01": str(path)})
+
+
+def test_weather_timestamps_count_as_their_day(spark, tmp_path):
+    path = write_weather(tmp_path, "2025-01")
+    path.write_text(path.read_text().replace("2025-01-01", "2025-01-01T00:00:00"))
+    assert checked_weather(spark, {"2025-01": str(path)}).count() == 31
+
+
 def test_weather_masking(spark, tmp_path):
     accepted = checked_weather(
         spark, {"2025-01": str(write_weather(tmp_path, "2025-01"))}).collect()
@@ -207,14 +269,14 @@ def test_month_spine(spark):
             month_spine(spark, start, end)
 
 
-@pytest.mark.parametrize("whole_file_bytes", [0, 1_000, 10**9])
-def test_digests_by_value_and_by_stream(spark, tmp_path, whole_file_bytes):
-    contents = {"a.bin": b"x" * 500, "b.bin": b"y" * 5_000, "c.gz": b"not really gzip" * 900}
+def test_digests(spark, tmp_path):
+    contents = {"a.bin": b"x" * 500, "b.bin": b"y" * 5_000, "c.gz": b"not really gzip" * 900,
+                "e f+g%20.bin": bytes(range(256)) * 50_000}
     for name, content in contents.items():
         (tmp_path / name).write_bytes(content)
     found = {
         r["path"].rsplit("/", 1)[1]: (r["length"], r["sha256"])
-        for r in file_digests(spark, str(tmp_path), whole_file_bytes).collect()}
+        for r in file_digests(spark, str(tmp_path)).collect()}
     assert found == {
         n: (len(c), hashlib.sha256(c).hexdigest()) for n, c in contents.items()}
 

@@ -1,7 +1,13 @@
 """Registration: idempotence, corrections, duplicate bytes, integrity."""
+import json
+import os
+
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F, types as T
+
+from meterline.plans import ledger as module
 from meterline.plans.ledger import Ledger
 from meterline.sources.contracts import ContractError
 from tests.inputs import rides, sha256, write_rides, write_zones
@@ -53,9 +59,62 @@ def test_integrity(ledger, tmp_path):
     path = write_zones(tmp_path)
     ledger.register([("zones", "zones", str(path))])
     ledger.verify(ledger.current(), [str(path)])
+    assert ledger.current().first()["path"] == f"file:{path}"
     with open(path, "a") as stream:
         stream.write("3,X,Y,Z\n")
     with pytest.raises(ContractError, match="integrity"):
         ledger.verify(ledger.current(), [str(path)])
     with pytest.raises(ContractError, match="integrity"):
         ledger.verify(ledger.current(), [str(tmp_path / "gone.csv")])
+
+
+@pytest.mark.parametrize("spell", [
+    lambda p: str(p), lambda p: str(p).replace("/", "//"), lambda p: os.path.relpath(p), lambda p: f"file://{p}",
+    lambda p: f"{p.parent}/../{p.parent.name}/{p.name}"])
+def test_any_spelling_of_a_path_is_registered(ledger, tmp_path, spell):
+    path = write_zones(tmp_path)
+    assert ledger.register([("zones", "zones", spell(path))]) == 1
+    assert ledger.current().first()["path"] == f"file:{path}"
+    assert ledger.register([("zones", "zones", str(path))]) == 0
+
+
+def test_a_file_named_twice_or_missing_is_refused(ledger, tmp_path):
+    path = str(write_rides(tmp_path, rides("2025-01")))
+    with pytest.raises(ContractError, match="more than once"):
+        ledger.register([("trips", "2025-01", path), ("trips", "2025-01", path.replace("/", "//"))])
+    copy = tmp_path / "copy.parquet"
+    copy.write_bytes(open(path, "rb").read())
+    with pytest.raises(ContractError, match="duplicate source bytes"):
+        ledger.register([("trips", "2025-01", path), ("trips", "2025-01", str(copy))])
+    assert ledger.rows().isEmpty()
+
+
+def test_a_file_without_digest_is_refused(ledger, tmp_path, monkeypatch):
+    path = write_zones(tmp_path)
+    monkeypatch.setattr(module, "file_digests", lambda spark, paths: spark.createDataFrame(
+        [], "path string, length long, sha256 string"))
+    with pytest.raises(ContractError, match="no digest"):
+        ledger.register([("zones", "zones", str(path))])
+
+
+def test_a_period_of_several_files_is_replaced_together(ledger, tmp_path):
+    table = rides("2025-01")
+    parts = [str(write_rides(tmp_path, table.slice(i, n))) for i, n in ((0, 4), (4, 4), (8, 3))]
+    files = [("trips", "2025-01", p) for p in parts]
+    assert ledger.register(files) == 3 and ledger.register(list(reversed(files))) == 0
+    assert ledger.current().agg(F.sum("row_count")).first()[0] == 11
+    one = module.period_digests(ledger.current()).first()["raw_sha256"]
+    assert ledger.register(files[:2]) == 2 and ledger.current().count() == 2
+    assert module.period_digests(ledger.current()).first()["raw_sha256"] != one
+    assert ledger.history().count() == 3
+
+
+def test_schema_and_parsed_rows_are_kept(ledger, tmp_path):
+    path = tmp_path / "zones.csv"
+    path.write_text('LocationID,Borough,Zone,service_zone\n1,"A\nB",C,D\n\n2,E,F,G\n')
+    trips = str(write_rides(tmp_path, rides("2025-01").append_column("extra", pa.array([1] * 11))))
+    ledger.register([("zones", "zones", str(path)), ("trips", "2025-01", trips)])
+    rows = {r["source"]: r for r in ledger.current().collect()}
+    assert rows["zones"]["row_count"] == 2
+    schema = T.StructType.fromJson(json.loads(rows["trips"]["schema_json"]))
+    assert schema.fieldNames()[-1] == "extra" and len(schema) == 11

@@ -5,6 +5,7 @@ import io
 import pytest
 
 import __spark_entry__ as driver
+from meterline import catalogue
 from tests.oracle_compare import database, differences
 
 FOLDER = "/root/testdata/sf0.001"
@@ -25,10 +26,10 @@ def plan_of(df) -> str:
 
 def test_names():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"row_ordinals", "file_digests", "content_fingerprint"}
+    assert set(catalogue.QUERIES) - set(SQL) == {"file_digests"}
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
 def test_query(spark, connection, name):
     df = QUERIES[name](spark, FOLDER)
     plan = plan_of(df)
@@ -56,3 +57,15 @@ def test_scans_read_needed_columns_only(spark):
 def test_order_join_is_never_broadcast(spark):
     plan = plan_of(QUERIES["fact_trips"](spark, FOLDER)).split("== Physical Plan ==")[1]
     assert "SortMergeJoin [l_orderkey" in plan
+
+
+def test_only_changed_periods_are_built_again(spark):
+    """Periods are filtered on the orders, below the join with the line items."""
+    plan = plan_of(QUERIES["period_replacement"](spark, FOLDER)).split("== Optimized Logical Plan ==")[1]
+    plan = plan.split("== Physical Plan ==")[0].splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    joins = [i for i, line in enumerate(plan) if "Join" in line and "l_orderkey" in line]
+    filters = [i for i, line in enumerate(plan) if "Join LeftSemi" in line or "Join LeftAnti" in line]
+    assert len(joins) == 2 and len(filters) == 2
+    for join, chosen in zip(joins, filters):
+        assert chosen > join and depth(plan[chosen]) > depth(plan[join])
