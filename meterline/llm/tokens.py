@@ -3,21 +3,23 @@
 White space that stands alone between two other characters is a border that no
 pre-token crosses, and in the vocabularies used here the blank belongs to the
 text behind it or is dropped. So the pieces between such borders are encoded
-independently of each other, and each distinct piece goes to the library once
-per worker while it stays in a table of bounded size.
+independently of each other. Pieces of common letters are cut into pre-tokens
+here and merged by the library's model; all others are encoded by the library
+whole. Either way the result stays in a table of bounded size.
 """
 from __future__ import annotations
 
 import os
 import re
+import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 _SETTLED: dict = {}
-#: Entries of a worker's table; at the bound it is emptied and fills again.
-TABLE_ENTRIES = 400_000
+#: Entries of a generation of a worker's table.
+TABLE_ENTRIES = 300_000
 #: Longer pieces are encoded each time and not kept.
 KEPT_CHARS = 48
 _ODD_BLANKS = re.compile(r"[^\S \n]|  |\n\n| \n|\n |^[ \n]|[ \n]$")
@@ -61,116 +63,130 @@ def whole_tokens(path: str, word_end: str = "</w>") -> frozenset[str]:
     return _SETTLED["whole", path]
 
 
-#: Pieces made of these characters are split by the pattern below exactly as the
-#: vocabulary's own rule splits them (contractions, letters, one digit, others).
-_SIMPLE = re.compile(r"[!-~]+")
-_PRETOKENS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, others for letters from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_LETTERS = _byte_letters()
+
+
+def _spelled(pretoken: str) -> str:
+    """`pretoken` in the byte-level alphabet, as the vocabulary's model takes it."""
+    if pretoken.isascii():
+        return pretoken.replace(" ", _LETTERS[32])
+    return pretoken.encode("utf-8").decode("latin-1").translate(_LETTERS)
+
+
+class Table(dict):
+    """Piece -> value, made when missed; two generations of at most `entries` pieces each.
+
+    When the young generation is full it becomes the old one, from which pieces
+    that are met again move back; so frequent pieces stay.
+    """
+
+    def __init__(self, make, entries: int):
+        super().__init__()
+        self.make, self.entries, self.old = make, entries, {}
+
+    def __missing__(self, piece: str):
+        value = self.old.get(piece)
+        if value is None:
+            value = self.make(piece)
+        if len(piece) <= KEPT_CHARS:
+            if len(self) >= self.entries:
+                self.old = dict(self)
+                self.clear()
+            self[piece] = value
+        return value
+
+
+#: Characters whose lower case, normal form and class are the same in the library and here.
+_COUNTED = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+_COUNTED_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
 
 class Counter:
-    """Token counts of a vocabulary whose pre-tokens never hold white space."""
+    """Token counts of a vocabulary whose pre-tokens never hold white space.
+
+    A pre-token that is proved to be a whole token counts one; only the others
+    are merged. Pieces with other characters, or with the beginning of a special
+    string, are left to the library as they are.
+    """
 
     def __init__(self, path: str, entries: int = TABLE_ENTRIES):
-        self.tokenizer, self.whole, self.entries = library(path), whole_tokens(path), entries
-        self.table: dict[str, int] = {}
-
-    def _merged(self, pieces: list[str]) -> list[int]:
-        return [len(e.ids) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def _counted(self, pieces: list[str]) -> dict[str, int]:
-        """Pre-tokens proved whole count one; only the others are merged, each once."""
-        counts, rest, split = {}, {}, {}
-        for piece in pieces:
-            if "<|" in piece or not _SIMPLE.fullmatch(piece):
-                rest[piece] = 0
-                continue
-            parts = _PRETOKENS.findall(piece.lower())
-            others = [p for p in parts if p not in self.whole]
-            counts[piece] = len(parts) - len(others)
-            if others:
-                split[piece] = others
-                rest.update(dict.fromkeys(others, 0))
-        if rest:
-            names = list(rest)
-            rest = dict(zip(names, self._merged(names)))
-        for piece, others in split.items():
-            counts[piece] += sum(rest[o] for o in others)
-        for piece in pieces:
-            if piece not in counts:
-                counts[piece] = rest[piece]
-        return counts
+        self.tokenizer, self.whole = library(path), whole_tokens(path)
+        self.model = self.tokenizer.model
+        self.table = Table(self._piece, entries)
+
+    def _piece(self, piece: str) -> int:
+        if not piece:
+            return 0
+        if "<|" in piece or not _COUNTED.fullmatch(piece):
+            return len(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+        parts = _COUNTED_PARTS.findall(piece.lower())
+        if len(parts) == 1:
+            return 1 if parts[0] in self.whole else len(self.model.tokenize(_spelled(parts[0])))
+        return sum(map(self.table.__getitem__, parts))
 
     def counts(self, texts: list[str]) -> list[int]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        table = self.table
-        missing = {p for pieces in split for p in pieces if p not in table}
-        missing.discard("")
-        fresh = self._counted(list(missing)) if missing else {}
-        if len(table) + len(fresh) > self.entries:
-            known = {p: table[p] for pieces in split for p in pieces if p in table}
-            table.clear()
-            table.update(known)
-        table[""] = 0
-        table.update(fresh)
-        out = [sum(map(table.__getitem__, pieces)) for pieces in split]
-        if len(table) > self.entries:
-            table.clear()
-        else:
-            for p in fresh:
-                if len(p) > KEPT_CHARS:
-                    del table[p]
-        return out
+        look = self.table.__getitem__
+        return [sum(map(look, t.replace("\n", " ").split(" "))) for t in texts]
+
+
+#: Letters, digits and marks that the byte-level rule cuts into runs; an
+#: apostrophe may begin a contraction and is left to the library.
+_ENCODED = re.compile(r"[!-&(-~À-ÖØ-öø-ÿĀ-ſ]+")
+_ENCODED_PARTS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿĀ-ſ]+|[0-9]+|[^A-Za-zÀ-ÖØ-öø-ÿĀ-ſ0-9]+")
 
 
 class Encoder:
     """Little-endian 32-bit ids of a byte-level vocabulary whose blanks lead their word."""
 
     def __init__(self, path: str, entries: int = TABLE_ENTRIES):
-        self.tokenizer, self.entries = library(path), entries
-        self.table: dict[str, bytes] = {}
-
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        import numpy as np
-        codes = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(c.ids, dtype="<u4").tobytes() for c in codes]
+        self.tokenizer = library(path)
+        self.model = self.tokenizer.model
+        self.first = Table(lambda piece: self._piece("", piece), entries)
+        self.after_blank = Table(lambda piece: self._piece(" ", piece), entries)
 
     @staticmethod
-    def pieces(text: str) -> list[str]:
-        """Pieces whose concatenation is `text`, cut before single blanks and newlines.
+    def _packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _piece(self, lead: str, piece: str) -> bytes:
+        if "<|" in piece or not _ENCODED.fullmatch(piece):
+            return self._packed(self.tokenizer.encode(lead + piece, add_special_tokens=False).ids)
+        first, *rest = _ENCODED_PARTS.findall(piece)
+        if not rest:
+            return self._packed([t.id for t in self.model.tokenize(_spelled(lead + piece))])
+        head = self.after_blank[first] if lead else self.first[first]
+        return head + b"".join(map(self.first.__getitem__, rest))
 
-        A blank leads its piece, a newline between two others is one by itself.
-        A text with any other run of white space is cut at single blanks only.
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return [self._text(t) for t in texts]
+
+    def _text(self, text: str) -> bytes:
+        """A text is cut at single blanks and newlines between other characters.
+
+        A blank leads the piece behind it, a newline between two others is one
+        by itself. A text with any other run of white space is cut at single
+        blanks only.
         """
+        if not text:
+            return b""
+        first, after_blank = self.first.__getitem__, self.after_blank.__getitem__
         if _ODD_BLANKS.search(text):
-            parts = re.split(r"(?<=\S) (?=\S)", text)
-            return parts[:1] + [" " + p for p in parts[1:]]
+            head, *rest = re.split(r"(?<=\S) (?=\S)", text)
+            return b"".join([first(head), *map(after_blank, rest)])
         out = []
-        for number, line in enumerate(text.split("\n")):
+        for line in text.split("\n"):
             words = line.split(" ")
-            if number:
-                out.append("\n")
-            out.append(words[0])
-            out += [" " + w for w in words[1:]]
-        return out
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.pieces(t) for t in texts]
-        table = self.table
-        missing = list({p for pieces in split for p in pieces if p not in table})
-        fresh = dict(zip(missing, self._ids(missing))) if missing else {}
-        if len(table) + len(fresh) > self.entries:
-            known = {p: table[p] for pieces in split for p in pieces if p in table}
-            table.clear()
-            table.update(known)
-        table.update(fresh)
-        out = [b"".join(map(table.__getitem__, pieces)) for pieces in split]
-        if len(table) > self.entries:
-            table.clear()
-        else:
-            for p in fresh:
-                if len(p) > KEPT_CHARS:
-                    del table[p]
-        return out
+            out.append(first("\n") if out else b"")
+            out.append(first(words[0]))
+            out.extend(map(after_blank, words[1:]))
+        return b"".join(out)
 
 
 def batches_of(texts: pa.Array, limit: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:

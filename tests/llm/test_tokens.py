@@ -30,7 +30,7 @@ def test_a_bounded_table_changes_nothing(entries):
     for text in texts:
         assert counter.counts([text]) == [len(expected(WORD, text))]
         assert len(encoder.encode([text])[0]) == 4 * len(expected(BYTE, text))
-        assert len(counter.table) <= max(entries, 1)
+        assert max(len(counter.table), len(encoder.after_blank), len(counter.table.old)) <= entries
 
 
 def test_whole_tokens_are_proved_by_the_library():
