@@ -151,8 +151,8 @@ def held_out(doc_id: Column) -> Column:
 def _training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     """(text, toxic, same) of at most `rows` labelled documents outside the held-out fold.
 
-    `same` is shared by most copies of a text (a minimum hash of its long
-    words), so that a text in many copies counts as one piece of evidence.
+    `same` is shared by most copies of a text (two minimum hashes of its long
+    words), so that a text in many copies counts as few pieces of evidence.
     """
     chosen = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(
         F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(~held_out(F.col("doc_id")))
@@ -162,8 +162,9 @@ def _training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
         F.broadcast(chosen), "doc_id")
     words = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.length(w) >= 5)
     return picked.select("text", "toxic", words.alias("words")).select(
-        "text", "toxic", "words", F.coalesce(
-            F.array_min(F.transform("words", lambda w: F.xxhash64(w))), F.xxhash64("text")).alias("same"))
+        "text", "toxic", F.xxhash64(
+            F.array_min(F.transform("words", lambda w: F.xxhash64(w))),
+            F.array_min(F.transform("words", lambda w: F.xxhash64(w, F.lit(1))))).alias("same"))
 
 
 def learn_lexicon(rows: DataFrame) -> dict[str, float]:

@@ -49,13 +49,13 @@ def check(docs, width=4, percent=80):
 
 
 def copies(n, words=120, seed=3):
-    """A hot group: copies of one text with up to a third of their words changed, chains included."""
+    """A hot group: copies of one text with up to four words changed, linked directly or through others."""
     rng = random.Random(seed)
     base = [f"w{rng.randrange(5000)}" for _ in range(words)]
     out = []
     for i in range(n):
         text = list(base)
-        for _ in range(rng.randrange(0, words // 12)):
+        for _ in range(rng.randrange(0, 5)):
             text[rng.randrange(words)] = f"x{rng.randrange(9999)}"
         out.append((1000 + i, " ".join(text)))
     return out

@@ -1,3 +1,4 @@
+import random
 from zlib import crc32
 
 from pyspark.sql import functions as F
@@ -58,8 +59,12 @@ def test_held_out_labels_are_never_read(spark):
 
 
 def test_awkward_documents(spark):
-    toxic = [(1000 + i, f"alpha beta {w}{i} you wretchling {i} gamma") for i, w in enumerate("abcdefghij" * 6)]
-    clean = [(2000 + i, f"delta epsilon {w}{i} you gentle {i} zeta") for i, w in enumerate("klmnopqrst" * 20)]
+    rng = random.Random(4)
+
+    def prose():
+        return " ".join("".join(rng.choices("aeioulnrst", k=8)) for _ in range(12))
+    toxic = [(1000 + i, f"{prose()} you wretchling {prose()}") for i in range(60)]
+    clean = [(2000 + i, f"{prose()} you gentle {prose()}") for i in range(200)]
     docs = spark.createDataFrame(toxic + clean, "doc_id long, text string")
     labels = spark.createDataFrame([(i, 1, "x") for i, _ in toxic] + [(i, 0, "x") for i, _ in clean]
                                    + [(None, 1, "x"), (5, None, "x"), (1000, 1, "x")], "doc_id long, toxic int, text string")
