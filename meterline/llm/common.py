@@ -17,11 +17,16 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """`df` written once to the shared folder; cuts lineage without pinning it to executors."""
-    path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def written(df: DataFrame, label: str, compact: bool = False) -> DataFrame:
+    """`df` written once to the shared folder; cuts lineage without pinning it to executors.
+
+    `compact`: for narrow rows that many tasks made few of each; they are dealt
+    evenly to as many files as the cluster has cores.
+    """
+    spark = df.sparkSession
+    path = scratch(spark, label)
+    (df.repartition(spark.sparkContext.defaultParallelism) if compact else df).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_or_empty(column: str = "text") -> Column:
@@ -44,7 +49,7 @@ def connected(edges: DataFrame, label: str) -> DataFrame:
     """
     e = edges.select("u", "v").where("u <> v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    e = written(e, label)
+    e = written(e, label, compact=True)
     seen = None
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -56,7 +61,7 @@ def connected(edges: DataFrame, label: str) -> DataFrame:
             F.explode(F.array(
                 F.struct(F.col("u"), F.col("m").alias("v")),
                 F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x"))
-        e = written(small.select("x.u", "x.v").where("u <> v").distinct(), label)
+        e = written(small.select("x.u", "x.v").where("u <> v").distinct(), label, compact=True)
         state = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             break

@@ -75,7 +75,7 @@ def thresholds(counts: DataFrame, min_group: int = MIN_GROUP, reach: float = REA
     """
     groups = counts.where("not base_failed").groupBy("lang", "source").agg(
         F.count("*").alias("n"), *[F.kll_sketch_agg_double(F.col(m), F.lit(200)).alias(m) for m in MEASURES])
-    groups = written(groups, "sketches")
+    groups = written(groups, "sketches", compact=True)
     by_lang = groups.groupBy("lang").agg(
         F.sum("n").alias("n"), *[F.kll_merge_agg_double(m).alias(m) for m in MEASURES])
     overall = groups.agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(m).alias(m) for m in MEASURES])
@@ -89,11 +89,12 @@ def thresholds(counts: DataFrame, min_group: int = MIN_GROUP, reach: float = REA
                                 (q[1] + width).alias("high")).alias(m))
         return df.select(*[c for c in ("lang", "source") if c in df.columns],
                          F.when(F.col("n") >= (0 if level == "all" else min_group), F.struct(*out)).alias(level))
-    sources, langs, everything = fences(groups, "own"), fences(by_lang, "lang_level"), fences(overall, "all")
-    # The overall row joins by a constant key; it is a single row.
-    joined = sources.join(langs.withColumnRenamed("lang", "_lang"), F.col("lang").eqNullSafe(F.col("_lang"))) \
-        .withColumn("_one", F.lit(1)).join(everything.withColumn("_one", F.lit(1)), "_one")
-    chosen = joined.select("lang", "source", F.coalesce("own", "lang_level", "all").alias("t"))
+    sources, langs = fences(groups, "own"), fences(by_lang, "lang_level")
+    rest = fences(overall, "all").select("all.*").first()  # two numbers per measure
+    everything = F.struct(*[F.struct(*[F.lit(rest[m][side] if rest[m] else None).cast("double").alias(side)
+                                       for side in ("low", "high")]).alias(m) for m in MEASURES])
+    joined = sources.join(langs.withColumnRenamed("lang", "_lang"), F.col("lang").eqNullSafe(F.col("_lang")))
+    chosen = joined.select("lang", "source", F.coalesce("own", "lang_level", everything).alias("t"))
     return chosen.select("lang", "source", *[F.col(f"t.{m}.{s}").alias(f"{s}_{m}") for m in MEASURES
                                             for s in ("low", "high")])
 
@@ -109,7 +110,7 @@ def judge(docs: DataFrame, min_group: int = MIN_GROUP, reach: float = REACH) ->
     """
     counts = base_counts(docs).withColumn("base_failed", (F.col("n_words") < 50) | (
         100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    counts = written(counts.select("*", *[c.alias(m) for m, c in _measures().items()]), "counts")
+    counts = written(counts.select("*", *[c.alias(m) for m, c in _measures().items()]), "counts", compact=True)
     fences = thresholds(counts, min_group, reach).select(
         F.coalesce("lang", F.lit("\0")).alias("_l"), F.coalesce("source", F.lit("\0")).alias("_s"),
         *[f"{s}_{m}" for m in MEASURES for s in ("low", "high")])
