@@ -27,6 +27,8 @@ ARC_FIELDS = {
 }
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 REVISIT_BYTES = 1000
+#: Usual size of an archive, before compression.
+ARCHIVE_BYTES = 100_000_000
 _UNSAFE = re.compile(r"[\x00-\x20\x7f]")
 _EPOCH = datetime(2020, 1, 1, tzinfo=timezone.utc)
 
@@ -204,12 +206,27 @@ def _page(page_id, url, html):
     return url or "", "0.0.0.0", _EPOCH + timedelta(seconds=(page_id or 0) % 10**8), "text/html", block
 
 
-def write_arc(pages: DataFrame, path: str) -> None:
-    """One record per row of `pages` (page_id, url, html); a file per partition, of version 1 or 2 by turns."""
+def archive_count(pages: DataFrame) -> int:
+    """Files of about ARCHIVE_BYTES for the html of `pages`, at least one per core of the cluster."""
+    size = pages.agg(F.coalesce(F.sum(F.octet_length(F.col("html").cast("string"))), F.lit(0))).first()[0]
+    return max(pages.sparkSession.sparkContext.defaultParallelism, -(-size // ARCHIVE_BYTES))
+
+
+def _written_text(rows: DataFrame, path: str, separator: str, files: int | None) -> None:
+    """Text rows, each ended by `separator`, as gzip files; fast compression, since they are read once or twice."""
+    (rows.coalesce(files) if files else rows).write.option("lineSep", separator).option(
+        "compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
+
+
+def write_arc(pages: DataFrame, path: str, files: int | None = None) -> None:
+    """One record per row of `pages` (page_id, url, html); files are of version 1 or 2 by turns.
+
+    A file per partition, or `files` at most.
+    """
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"))
-    base.mapInArrow(_arc_rows(_page), "value string").write.option("lineSep", "\n") \
-        .option("compression", "gzip").text(path)
+    base = base.coalesce(files) if files else base
+    _written_text(base.mapInArrow(_arc_rows(_page), "value string"), path, "\n", None)
 
 
 _CONVERTED = ("record_id string, type string, fields array<struct<name:string,value:string>>, head binary, "
@@ -283,7 +300,8 @@ def _warc_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
 
 
-def convert(spark: SparkSession, arc_path: str, warc_path: str, revisit_bytes: int = REVISIT_BYTES) -> None:
+def convert(spark: SparkSession, arc_path: str, warc_path: str, revisit_bytes: int = REVISIT_BYTES,
+            files: int | None = None) -> None:
     """WARC files at `warc_path` with an equivalent record for each record of the ARC files at `arc_path`.
 
     Identifiers are derived from file and offset, dates from the archive's,
@@ -294,19 +312,18 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, revisit_bytes: i
     Only digests are grouped; payloads move once, to meet their verdict. Blocks
     must be UTF-8, as Spark's writer takes text.
     """
-    files = _files(spark, arc_path)
-    keys = files.mapInArrow(_convert(True), _CONVERTED).where(
+    archives = _files(spark, arc_path)
+    keys = archives.mapInArrow(_convert(True), _CONVERTED).where(
         (F.col("type") == "response") & (F.col("payload_bytes") >= revisit_bytes))
     originals = keys.groupBy("payload_digest").agg(
         F.max(F.struct(F.coalesce("page_id", F.lit(-(1 << 63))).alias("page_id"), "record_id")).alias("o"),
         F.count("*").alias("n")).where("n > 1").select(
         F.col("payload_digest").alias("_digest"), F.col("o.record_id").alias("original"))
-    full = files.mapInArrow(_convert(False), _CONVERTED)
+    full = archives.mapInArrow(_convert(False), _CONVERTED)
     marked = full.join(originals, (F.col("payload_digest") == F.col("_digest")) & (F.col("type") == "response"), "left")
-    marked.select("record_id", "type", "fields", "head", "payload", "payload_digest", F.when(
-        F.col("original") != F.col("record_id"), F.col("original")).alias("refers")) \
-        .mapInArrow(_warc_text, "value string").write.option("lineSep", "\r\n\r\n") \
-        .option("compression", "gzip").text(warc_path)
+    marked = marked.select("record_id", "type", "fields", "head", "payload", "payload_digest", F.when(
+        F.col("original") != F.col("record_id"), F.col("original")).alias("refers"))
+    _written_text(marked.mapInArrow(_warc_text, "value string"), warc_path, "\r\n\r\n", files)
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,11 +378,12 @@ def page_archives(pages: DataFrame) -> DataFrame:
     """
     spark = pages.sparkSession
     arc, warc = scratch(spark, "arc"), scratch(spark, "warc")
-    write_arc(pages, arc)
+    files = archive_count(pages)
+    write_arc(pages, arc, files)
     if _files(spark, arc).isEmpty():
         return spark.createDataFrame([], "page_id long, payload_bytes long, payload_digest string, "
                                          "record_type string, refers_to long")
-    convert(spark, arc, warc)
+    convert(spark, arc, warc, files=files)
     records = read_warc(spark, warc)
     plain = records.where("refers is null").drop("refers", "record_id").withColumn(
         "refers_to", F.lit(None).cast("long"))
