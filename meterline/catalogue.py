@@ -20,7 +20,7 @@ from meterline.operators.profile import profile_trips
 from meterline.plans import ledger, worklist
 from meterline.schemas import FACT, FLAGS, STATUSES
 from meterline.session import settle
-from meterline.sources import tables
+from meterline.sources import faults, tables
 from meterline.sources.digests import file_digests
 from meterline.sources.weather import observations, weather_contract
 from meterline.sources.zones import duplicate_zone_keys
@@ -346,6 +346,40 @@ def check_summary(spark, d):
     return checks.outcome_totals(outcome)
 
 
+def check_faults(spark, d):
+    """Every check on tables with planted faults: none of them may pass."""
+    data = Inputs(spark, d)
+    staged = settle(faults.staged(data.staged), "faulty-staged")
+    fact = settle(faults.fact(data.fact), "faulty-fact")
+    weather = settle(data.weather, "weather")
+    calendar, zones = date_dimension(weather), data.zones
+    day = F.dayofmonth
+    zone_day = settle(marts.zone_daily(fact), "faulty-zone-day")
+    borough_day = marts.borough_daily(zone_day, zones)
+    demand = marts.weather_demand(zone_day, calendar, weather)
+    quality = marts.quality_mart(staged)
+    inside = (F.year("date") == 1995) & (F.month("date") == 5)
+    bad_zones = faults.small(zones, F.col("zone_key") == 3, F.col("zone_key") == 4, "zone_key", "borough")
+    bad_weather = faults.small(weather, day("date") == 3, day("date") == 4, "date").where(
+        ~F.coalesce(inside, F.lit(False)))
+    bad_calendar = faults.small(calendar, day("date_key") == 5, day("date_key") == 6, "date_key")
+    bad_zone_day = faults.small(zone_day, inside & (F.col("zone_key") == 2), inside & (F.col("zone_key") == 5))
+    bad_borough_day = faults.small(
+        borough_day, inside & (F.col("borough") == "ASIA"), inside & (F.col("borough") == "AFRICA"), "borough")
+    bad_demand = faults.small(demand, day("date") == 7, day("date") == 8, "date")
+    invalid = F.col("quality_status") == "INVALID"
+    bad_quality = faults.small(quality, invalid, invalid, "quality_status")
+    reconciled = checks.reconciliation(
+        fact, data.bronze, bad_zone_day, bad_borough_day, bad_demand, bad_quality)
+    return checks.outcomes(
+        checks.trip_findings(staged, fact, bad_zones, marts.status_counts(staged)),
+        checks.no_findings(spark),
+        checks.table_findings(
+            bad_zones, data.raw_weather, bad_zones, bad_weather, bad_calendar, bad_zone_day,
+            bad_borough_day, bad_demand, bad_quality, reconciled),
+    ).select("check_name", "violations", "status")
+
+
 # --- incremental processing -----------------------------------------------------------------
 
 
@@ -467,6 +501,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_weather_coverage": check_weather_coverage,
     "check_duplicate_observations": check_duplicate_observations,
     "check_summary": check_summary,
+    "check_faults": check_faults,
     "work_detection": work_detection,
     "change_propagation": change_propagation,
     "ledger_current": ledger_current,

@@ -5,6 +5,8 @@ followed by one query. Names ending in `_v2` build on the corrected trips.
 """
 from __future__ import annotations
 
+import re
+
 RIDES = """
 rides as (select *, row_number() over () - 1 as position from lineitem),
 trips as (
@@ -281,11 +283,12 @@ CHECK_ACCEPTED = "\nunion all ".join([
 
 CHECK_RELATIONSHIPS = "\nunion all ".join([
     _count("relationships_fct_trips_pickup_zone_key",
-           "pickup_zone_key not in (select zone_key from places)", "fact"),
+           "pickup_zone_key not in (select zone_key from places where zone_key > -1)", "fact"),
     _count("relationships_fct_trips_dropoff_zone_key",
-           "dropoff_zone_key not in (select zone_key from places)", "fact"),
+           "dropoff_zone_key not in (select zone_key from places where zone_key > -1)", "fact"),
     _count("relationships_fct_trips_pickup_date",
-           "pickup_date not in (select date_key from calendar)", "fact"),
+           "pickup_date not in (select date_key from calendar where date_key > date '0001-01-01')",
+           "fact"),
 ])
 
 RECONCILIATION = """
@@ -334,9 +337,9 @@ CHECK_VALIDITY = "\nunion all ".join(
         start="pickup_datetime", end="dropoff_datetime", distance="trip_distance"), "fact")
        for name, rule in VALIDITY.items()])
 
-CHECK_SUMMARY = f"""
-select if(violations = 0, 'pass', if(check_name = 'duplicate_observations', 'warn', 'fail'))
-    as status, count(*) as checks
+CHECK_RESULTS = f"""
+select check_name, violations,
+  if(violations = 0, 'pass', if(check_name = 'duplicate_observations', 'warn', 'fail')) as status
 from ({CHECK_NOT_NULL}
 union all {CHECK_UNIQUE}
 union all {CHECK_ACCEPTED}
@@ -345,10 +348,63 @@ union all select 'reconciliation', (not balanced)::bigint from ({RECONCILIATION}
 union all select 'grains', sum(repeated)::bigint from ({GRAINS})
 union all select 'source_unique', sum(repeated)::bigint from ({SOURCES})
 union all select 'fact_validity', sum(violations)::bigint from ({CHECK_VALIDITY})
-  where check_name like 'fact%'
+  where left(check_name, 5) = 'fact_'
 union all select 'weather_coverage', count(*)::bigint from ({UNCOVERED})
-union all select 'duplicate_observations', count(*)::bigint from ({LOOK_ALIKE}))
-group by status"""
+union all select 'duplicate_observations', count(*)::bigint from ({LOOK_ALIKE}))"""
+CHECK_SUMMARY = f"select status, count(*) as checks from ({CHECK_RESULTS}) group by status"
+
+
+def _hit(step: int) -> str:
+    return f"source_row % {step} = 0 and source_row % 97 <> 0"
+
+
+def _small(table: str, twice: str, blank: str, *names: str) -> str:
+    return "\n  union all ".join(
+        [f"select * from {table}", f"select * from {table} where {twice}"]
+        + [f"select * replace (null as {name}) from {table} where {blank}" for name in names])
+
+
+FAULTY_MONTH = "date between date '1995-05-01' and date '1995-05-31'"
+FAULTS = f"""
+bad_staged as (
+  select * replace (
+    if({_hit(101)}, null, trip_id) as trip_id, if({_hit(103)}, null, source_period) as source_period,
+    case when {_hit(157)} then null when {_hit(151)} then 'ODD' else quality_status end
+      as quality_status) from staged
+  union all select * from staged where source_row % 97 = 0
+),
+bad_fact as (
+  select * replace (
+    if({_hit(101)}, null, trip_id) as trip_id, if({_hit(103)}, null, source_period) as source_period,
+    case when {_hit(127)} then 777 when {_hit(107)} then null else pickup_zone_key end
+      as pickup_zone_key,
+    case when {_hit(131)} then 777 when {_hit(109)} then null else dropoff_zone_key end
+      as dropoff_zone_key,
+    case when {_hit(137)} then date '1900-01-01' when {_hit(113)} then null else pickup_date end
+      as pickup_date,
+    if({_hit(139)}, 'INVALID', quality_status) as quality_status,
+    if({_hit(149)}, -1, trip_distance) as trip_distance) from fact
+  union all select * from fact where source_row % 97 = 0
+),{_marts("bad_fact", "_f")},{DEMAND.replace("zone_days", "zone_days_f").replace(
+    "weather_days as", "weather_days_f as").replace("quality as", "quality_f as").replace(
+    "from staged group", "from bad_staged group")},
+bad_places as ({_small("places", "zone_key = 3", "zone_key = 4", "zone_key", "borough")}),
+bad_weather as (select * from ({_small(
+    "weather", "dayofmonth(date) = 3", "dayofmonth(date) = 4", "date")})
+  where not ifnull({FAULTY_MONTH}, false)),
+bad_calendar as ({_small(
+    "calendar", "dayofmonth(date_key) = 5", "dayofmonth(date_key) = 6", "date_key")}),
+bad_zone_days as ({_small("zone_days_f", f"{FAULTY_MONTH} and zone_key = 2", "false")}),
+bad_borough_days as ({_small(
+    "borough_days_f", f"{FAULTY_MONTH} and borough = 'ASIA'", f"{FAULTY_MONTH} and borough = 'AFRICA'",
+    "borough")}),
+bad_weather_days as ({_small(
+    "weather_days_f", "dayofmonth(date) = 7", "dayofmonth(date) = 8", "date")}),
+bad_quality as ({_small(
+    "quality_f", "quality_status = 'INVALID'", "quality_status = 'INVALID'", "quality_status")})"""
+CHECK_FAULTS = re.sub(
+    r"\b(staged|fact|places|weather|calendar|zone_days|borough_days|weather_days|quality)\b",
+    r"bad_\1", CHECK_RESULTS)
 
 CONSISTENCY = """
 select unnest(['statuses_known', 'grains_unique', 'dates_unique', 'monthly_equals_retained',
@@ -518,6 +574,7 @@ from weather_days group by period""",
     "check_weather_coverage": UNCOVERED,
     "check_duplicate_observations": LOOK_ALIKE,
     "check_summary": CHECK_SUMMARY,
+    "check_faults": CHECK_FAULTS,
     "work_detection": """select 'incremental' as scenario, source, period, reason from work
 where reason is not null
 union all select 'rebuild_all', source, period, 'rebuild_all' from found""",
@@ -540,4 +597,5 @@ from ledger_now group by source, sha256 having periods > 1""",
 
 
 def statements() -> dict[str, str]:
-    return {name: _sql(query) for name, query in QUERIES.items()}
+    return {name: _sql(query) for name, query in QUERIES.items()} | {
+        "check_faults": f"with {STEPS.strip()},{FAULTS}\n{CHECK_FAULTS.strip()}"}

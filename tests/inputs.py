@@ -1,67 +1,87 @@
-"""Small raw files: eleven rides a month, two zones, a month of weather."""
+"""Small raw files: a month of eleven rides, two zones, a month of weather."""
 from __future__ import annotations
 
 import calendar
 import hashlib
+import io
 from datetime import datetime, timedelta
 from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 
-SCHEMA = pa.schema([
-    ("tpep_pickup_datetime", pa.timestamp("us")), ("tpep_dropoff_datetime", pa.timestamp("us")),
-    ("PULocationID", pa.int64()), ("DOLocationID", pa.int64()),
-    ("passenger_count", pa.float64()), ("trip_distance", pa.float64()),
-    ("fare_amount", pa.float64()), ("tip_amount", pa.float64()),
-    ("total_amount", pa.float64()), ("payment_type", pa.int64()),
-])
+RIDES = 11
+MINUTE = timedelta(minutes=1)
+
+# Column, type and usual value of a ride that starts at noon of the
+# second day; a duration stands for that moment and so much more.
+USUAL = (
+    ("tpep_pickup_datetime", pa.timestamp("us"), 0 * MINUTE),
+    ("tpep_dropoff_datetime", pa.timestamp("us"), 15 * MINUTE),
+    ("PULocationID", pa.int64(), 1),
+    ("DOLocationID", pa.int64(), 2),
+    ("passenger_count", pa.float64(), 1.0),
+    ("trip_distance", pa.float64(), 2.5),
+    ("fare_amount", pa.float64(), 15.0),
+    ("tip_amount", pa.float64(), 3.0),
+    ("total_amount", pa.float64(), 20.0),
+    ("payment_type", pa.int64(), 1),
+)
+
+# Row, column, value that departs from the usual, and the flag it raises.
+ODD = (
+    (2, "fare_amount", -10.0, "negative_money"),
+    (3, "passenger_count", None, "unusual_passengers"),
+    (4, "tpep_dropoff_datetime", -1 * MINUTE, "reversed_timestamp"),
+    (5, "tpep_pickup_datetime", None, "missing_timestamp"),
+    (6, "PULocationID", 999, "unknown_zone"),
+    (7, "trip_distance", -1.0, "invalid_distance"),
+    (8, "total_amount", float("nan"), "invalid_money"),
+    (9, "tpep_pickup_datetime", timedelta(days=-10), "outside_source_month"),
+    (10, "trip_distance", 0.0, "zero_distance"),
+)
+SCHEMA = pa.schema([(name, kind) for name, kind, _ in USUAL])
 
 
 def rides(period: str, all_invalid: bool = False) -> pa.Table:
-    noon = datetime.fromisoformat(f"{period}-02T12:00:00")
-    plain = {
-        "tpep_pickup_datetime": noon, "tpep_dropoff_datetime": noon + timedelta(minutes=15),
-        "PULocationID": 1, "DOLocationID": 2, "passenger_count": 1.0, "trip_distance": 2.5,
-        "fare_amount": 15.0, "tip_amount": 3.0, "total_amount": 20.0, "payment_type": 1,
-    }
-    changes = [
-        {}, {}, {"fare_amount": -10.0}, {"passenger_count": None},
-        {"tpep_dropoff_datetime": noon - timedelta(minutes=1)}, {"tpep_pickup_datetime": None},
-        {"PULocationID": 999}, {"trip_distance": -1.0}, {"total_amount": float("nan")},
-        {"tpep_pickup_datetime": noon - timedelta(days=10)}, {"trip_distance": 0.0},
-    ]
-    rows = [plain | change for change in changes]
+    """The rides of a month, column by column; with `all_invalid` none has a possible distance."""
+    year, month = map(int, period.split("-"))
+    start = datetime(year, month, 2, 12)
+    columns = {name: [usual] * RIDES for name, _, usual in USUAL}
+    for row, name, value, _ in ODD:
+        columns[name][row] = value
     if all_invalid:
-        rows = [row | {"trip_distance": -1.0} for row in rows]
-    return pa.Table.from_pylist(rows, schema=SCHEMA)
-
-
-def write_rides(folder: Path, table: pa.Table, name: str = "rides") -> Path:
-    """Under a content-derived name: raw files are immutable."""
-    draft = folder / f"{name}.draft"
-    pq.write_table(table, draft)
-    target = folder / f"{sha256(draft)}.parquet"
-    draft.replace(target)
-    return target
+        columns["trip_distance"] = [-1.0] * RIDES
+    moved = {
+        name: [start + v if isinstance(v, timedelta) else v for v in values] for name, values in columns.items()}
+    return pa.table(moved, schema=SCHEMA)
+
+
+def write_rides(folder: Path, table: pa.Table) -> Path:
+    """Different tables get different names, as registered files must not change."""
+    buffer = io.BytesIO()
+    pq.write_table(table, buffer)
+    path = folder / f"rides-{hashlib.md5(buffer.getvalue()).hexdigest()}.parquet"
+    path.write_bytes(buffer.getvalue())
+    return path
 
 
 def write_zones(folder: Path, rows=((1, "Manhattan", "Example A", "Yellow"),
                                     (2, "Queens", "Example B", "Yellow"))) -> Path:
     path = folder / "zones.csv"
-    lines = ["LocationID,Borough,Zone,service_zone"] + [",".join(map(str, r)) for r in rows]
-    path.write_text("\n".join(lines) + "\n")
+    header = ("LocationID", "Borough", "Zone", "service_zone")
+    path.write_text("".join(",".join(map(str, line)) + "\n" for line in (header, *rows)))
     return path
 
 
 def write_weather(folder: Path, period: str, attributes: str = ",,W,", days: int | None = None,
                   station: str = "USW00094728", rain: str = "0") -> Path:
-    year, month = map(int, period.split("-"))
-    days = calendar.monthrange(year, month)[1] if days is None else days
+    last = calendar.monthrange(*map(int, period.split("-")))[1] if days is None else days
     path = folder / f"{period}-weather.csv"
-    lines = ["STATION,DATE,PRCP,SNOW,TMIN,TMAX,PRCP_ATTRIBUTES"] + [
-        f'{station},{period}-{day:02d},{rain},0,1,9,"{attributes}"' for day in range(1, days + 1)]
-    path.write_text("\n".join(lines) + "\n")
+    with path.open("w") as out:
+        print("STATION,DATE,PRCP,SNOW,TMIN,TMAX,PRCP_ATTRIBUTES", file=out)
+        for day in range(last):
+            print(f'{station},{period}-{day + 1:02d},{rain},0,1,9,"{attributes}"', file=out)
     return path
 
 
@@ -69,15 +89,10 @@ def sha256(path) -> str:
     return hashlib.sha256(Path(path).read_bytes()).hexdigest()
 
 
-def month_files(folder: Path, period: str, all_invalid: bool = False) -> list[tuple]:
-    return [
-        ("trips", period, str(write_rides(folder, rides(period, all_invalid)))),
-        ("weather", period, str(write_weather(folder, period))),
-    ]
-
-
-def seed(refresh, folder: Path, period: str = "2025-01", all_invalid: bool = False) -> None:
-    files = month_files(folder, period, all_invalid)
-    if refresh.ledger.rows().isEmpty():
-        files.insert(0, ("zones", "zones", str(write_zones(folder))))
-    refresh.register(files)
+def register_month(refresh, folder: Path, period: str = "2025-01", all_invalid: bool = False) -> None:
+    """Land and register trips and weather of a month, and the zones before anything else."""
+    first = refresh.ledger.rows().isEmpty()
+    zones = [("zones", "zones", str(write_zones(folder)))] if first else []
+    refresh.register([
+        *zones, ("trips", period, str(write_rides(folder, rides(period, all_invalid)))),
+        ("weather", period, str(write_weather(folder, period)))])

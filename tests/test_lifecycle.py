@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from meterline.plans import refresh as module
 from meterline.plans.refresh import EXPORTS, ChecksFailed, Refresh
 from meterline.sources.contracts import ContractError
-from tests.inputs import rides, seed, write_rides, write_weather, write_zones
+from tests.inputs import register_month, rides, write_rides, write_weather, write_zones
 
 
 def cells(refresh):
@@ -29,59 +29,77 @@ def refresh(spark, tmp_path):
     return Refresh(spark, str(tmp_path / "data"))
 
 
-def test_lifecycle(refresh, landing, monkeypatch):
-    seed(refresh, landing)
-    first = refresh.run("2025-01", "2025-01")
-    assert (first["input_rows"], first["gold_rows"]["fct_trips"]) == (11, 5)
-    assert (first["invalid_rows"], first["quality_warnings"]) == (6, 3)
-    assert first["checks"] == {"pass": 37, "warn": 1, "fail": 0}
-    one = cells(refresh)
+def test_counts_of_a_run(refresh, landing):
+    register_month(refresh, landing, "2025-03")
+    report = refresh.run("2025-03", "2025-03")
+    assert report["partitions_processed"] == ["2025-03"] and not report["build_skipped"]
+    assert (report["input_rows"], report["gold_rows"]["fct_trips"]) == (11, 5)
+    assert (report["invalid_rows"], report["quality_warnings"]) == (6, 3)
+    assert report["checks"] == {"pass": 37, "warn": 1, "fail": 0}
 
-    again = refresh.run("2025-01", "2025-01")
-    assert again["build_skipped"] and again["partitions_processed"] == []
-    assert again["gold_rows"] == first["gold_rows"] and again["checks"] == first["checks"]
-    assert cells(refresh) == one
 
-    seed(refresh, landing, "2025-02")
-    added = refresh.run("2025-01", "2025-02")
-    assert added["partitions_processed"] == ["2025-02"]
-    assert added["gold_rows"]["fct_trips"] == 10
-    two = cells(refresh)
+def test_without_change_nothing_is_built(refresh, landing):
+    register_month(refresh, landing, "2025-02")
+    register_month(refresh, landing, "2025-03")
+    first = refresh.run("2025-02", "2025-03")
+    tables = cells(refresh)
+    for start, end in (("2025-02", "2025-03"), ("2025-03", "2025-03")):
+        again = refresh.run(start, end)
+        assert again["build_skipped"] and again["partitions_processed"] == []
+        assert all(again[k] == first[k] for k in ("gold_rows", "checks", "invalid_rows", "quality_warnings"))
+    assert cells(refresh) == tables
 
-    # A run over fewer months than loaded keeps the others.
-    assert refresh.run("2025-02", "2025-02")["build_skipped"]
-    assert cells(refresh) == two
 
-    forced = refresh.run("2025-01", "2025-02", force=("2025-01",))
-    assert forced["partitions_processed"] == ["2025-01"]
-    assert cells(refresh) == two
+def test_months_arrive_in_any_order(refresh, landing):
+    register_month(refresh, landing, "2025-02")
+    refresh.run("2025-02", "2025-02")
+    register_month(refresh, landing, "2025-01")
+    report = refresh.run("2025-01", "2025-02")
+    assert report["partitions_processed"] == ["2025-01"] and report["gold_rows"]["fct_trips"] == 10
+
+
+def test_rebuilding_gives_the_same_tables(refresh, landing):
+    for period in ("2025-01", "2025-02"):
+        register_month(refresh, landing, period)
+    refresh.run("2025-01", "2025-02")
+    tables = cells(refresh)
     full = refresh.run("2025-01", "2025-02", full_refresh=True)
-    assert full["partitions_processed"] == ["2025-01", "2025-02"]
-    assert cells(refresh) == two
+    assert full["partitions_processed"] == ["2025-01", "2025-02"] and cells(refresh) == tables
+    forced = refresh.run("2025-01", "2025-02", force=("2025-02",))
+    assert forced["partitions_processed"] == ["2025-02"] and cells(refresh) == tables
 
-    # A failure before publication changes nothing that readers see.
-    published = refresh.store.latest()
-    monkeypatch.setattr(
-        Refresh, "export", lambda *_: (_ for _ in ()).throw(RuntimeError("injected")))
-    with pytest.raises(RuntimeError, match="injected"):
-        refresh.run("2025-01", "2025-02", force=("2025-01",))
+
+def test_a_failed_run_leaves_the_published_tables(refresh, landing, monkeypatch):
+    register_month(refresh, landing)
+    refresh.run("2025-01", "2025-01")
+    published, tables = refresh.store.latest(), cells(refresh)
+
+    def broken(*_):
+        raise RuntimeError("no space" + "!" * 5000)
+    monkeypatch.setattr(Refresh, "export", broken)
+    with pytest.raises(RuntimeError, match="no space"):
+        refresh.run("2025-01", "2025-01", full_refresh=True)
     monkeypatch.undo()
-    assert refresh.store.latest() == published and cells(refresh) == two
-    failed = refresh.runs().where("status = 'failed'").first()
-    assert failed["error"]["stage"] == "export_reporting"
+    assert refresh.store.latest() == published and cells(refresh) == tables
+    error = refresh.runs().where("status = 'failed'").first()["error"]
+    assert error["stage"] == "export_reporting" and len(error["reason"]) == 5008
 
-    # A corrected source may leave a month without any valid row.
-    seed(refresh, landing, "2025-01", all_invalid=True)
-    emptied = refresh.run("2025-01", "2025-02")
-    assert emptied["partitions_processed"] == ["2025-01"]
-    assert emptied["gold_rows"]["fct_trips"] == 5
-    assert refresh.store.table("fct_trips").where("source_period = '2025-01'").isEmpty()
-    assert refresh.ledger.history().where("source = 'trips' and period = '2025-01'").count() == 2
-    assert refresh.runs().count() == 8
+
+def test_a_correction_may_empty_a_month(refresh, landing):
+    register_month(refresh, landing, "2025-02")
+    register_month(refresh, landing, "2025-01")
+    refresh.run("2025-01", "2025-02")
+    register_month(refresh, landing, "2025-02", all_invalid=True)
+    report = refresh.run("2025-01", "2025-02")
+    assert report["partitions_processed"] == ["2025-02"] and report["gold_rows"]["fct_trips"] == 5
+    left = {r["source_period"] for r in refresh.store.table("fct_trips").collect()}
+    assert left == {"2025-01"}
+    assert refresh.ledger.history().where("source = 'trips' and period = '2025-02'").count() == 2
+    assert [r["status"] for r in refresh.runs().collect()] == ["success", "success"]
 
 
 def test_published_tables(refresh, landing):
-    seed(refresh, landing)
+    register_month(refresh, landing)
     report = refresh.run("2025-01", "2025-01")
     store = refresh.store
     zone_day = store.table("mart_zone_daily").collect()
@@ -129,8 +147,8 @@ def test_published_tables(refresh, landing):
 
 
 def test_export_is_sorted(refresh, landing):
-    seed(refresh, landing)
-    seed(refresh, landing, "2025-02")
+    register_month(refresh, landing)
+    register_month(refresh, landing, "2025-02")
     report = refresh.run("2025-01", "2025-02")
     path = refresh.store.report_folder(report["run_id"], "dim_date", "csv")
     dates = [r["date_key"] for r in refresh.spark.read.option("header", "true").csv(path)
@@ -139,7 +157,7 @@ def test_export_is_sorted(refresh, landing):
 
 
 def test_weather_only_change_rebuilds_marts_only(refresh, landing):
-    seed(refresh, landing)
+    register_month(refresh, landing)
     refresh.run("2025-01", "2025-01")
     path = write_weather(landing, "2025-01", rain="3.5").rename(landing / "w2.csv")
     refresh.register([("weather", "2025-01", str(path))])
@@ -151,8 +169,8 @@ def test_weather_only_change_rebuilds_marts_only(refresh, landing):
 
 
 def test_zone_change_rebuilds_every_period(refresh, landing, tmp_path):
-    seed(refresh, landing)
-    seed(refresh, landing, "2025-02")
+    register_month(refresh, landing)
+    register_month(refresh, landing, "2025-02")
     refresh.run("2025-01", "2025-02")
     other = tmp_path / "more"
     other.mkdir()
@@ -167,7 +185,7 @@ def test_zone_change_rebuilds_every_period(refresh, landing, tmp_path):
 
 
 def test_logic_version_rebuilds_all(spark, refresh, landing, tmp_path):
-    seed(refresh, landing)
+    register_month(refresh, landing)
     refresh.run("2025-01", "2025-01")
     newer = Refresh(spark, str(tmp_path / "data"), logic_version="2")
     assert newer.run("2025-01", "2025-01")["partitions_processed"] == ["2025-01"]
@@ -175,8 +193,8 @@ def test_logic_version_rebuilds_all(spark, refresh, landing, tmp_path):
 
 def test_damaged_bronze_is_rebuilt(spark, landing, tmp_path):
     refresh = Refresh(spark, str(tmp_path / "data"))
-    seed(refresh, landing)
-    seed(refresh, landing, "2025-02")
+    register_month(refresh, landing)
+    register_month(refresh, landing, "2025-02")
     refresh.run("2025-01", "2025-02")
     assert refresh.run("2025-01", "2025-02")["build_skipped"]
     entry = refresh.store.latest().entries["trips", "2025-02"]
@@ -196,7 +214,7 @@ def test_damaged_bronze_is_rebuilt(spark, landing, tmp_path):
 
 def test_changed_raw_bytes_stop_the_run(spark, landing, tmp_path):
     refresh = Refresh(spark, str(tmp_path / "data"))
-    seed(refresh, landing)
+    register_month(refresh, landing)
     with open(landing / "2025-01-weather.csv", "a") as stream:
         stream.write("tampered")
     with pytest.raises(ContractError, match="integrity"):
@@ -217,7 +235,7 @@ def test_forced_month_outside_range(refresh):
 
 
 def test_failed_check_blocks_publication(refresh, landing, monkeypatch):
-    seed(refresh, landing)
+    register_month(refresh, landing)
     real = module.weather_demand
     monkeypatch.setattr(
         module, "weather_demand", lambda *a: real(*a).where("trip_count = 0"))
@@ -228,7 +246,7 @@ def test_failed_check_blocks_publication(refresh, landing, monkeypatch):
 
 
 def test_empty_month(refresh, landing):
-    seed(refresh, landing)
+    register_month(refresh, landing)
     empty = write_rides(landing, rides("2025-02").slice(0, 0))
     refresh.register([("trips", "2025-02", str(empty)),
                       ("weather", "2025-02", str(write_weather(landing, "2025-02")))])
@@ -242,8 +260,8 @@ def test_empty_month(refresh, landing):
 
 def test_lost_gold_and_reports_are_restored(refresh, landing, tmp_path):
     """A plain run restores exactly what is gone; all else stays as it was."""
-    seed(refresh, landing)
-    seed(refresh, landing, "2025-02")
+    register_month(refresh, landing)
+    register_month(refresh, landing, "2025-02")
     refresh.run("2025-01", "2025-02")
     whole, lost = cells(refresh), tmp_path / "lost"
     lost.mkdir()
@@ -266,7 +284,7 @@ def test_lost_gold_and_reports_are_restored(refresh, landing, tmp_path):
 
 def test_a_month_of_several_files(refresh, landing):
     """Loads, is corrected and is replaced like a month of one file."""
-    seed(refresh, landing)
+    register_month(refresh, landing)
     refresh.run("2025-01", "2025-01")
     one = cells(refresh)
     table = rides("2025-01")
@@ -283,9 +301,9 @@ def test_a_month_of_several_files(refresh, landing):
 
 
 def test_earlier_generations_stay_readable(refresh, landing):
-    seed(refresh, landing)
+    register_month(refresh, landing)
     first = refresh.run("2025-01", "2025-01")
-    seed(refresh, landing, "2025-02")
+    register_month(refresh, landing, "2025-02")
     second = refresh.run("2025-01", "2025-02")
     old = refresh.store.table("fct_trips", first["run_id"])
     assert old.count() == 5 and refresh.store.table("fct_trips", second["run_id"]).count() == 10
@@ -295,6 +313,6 @@ def test_earlier_generations_stay_readable(refresh, landing):
 
 
 def test_scratch_is_removed(refresh, landing, tmp_path):
-    seed(refresh, landing)
+    register_month(refresh, landing)
     refresh.run("2025-01", "2025-01")
     assert not list((tmp_path / "data" / "scratch").glob("run=*"))

@@ -69,3 +69,9 @@ def test_only_changed_periods_are_built_again(spark):
     assert len(joins) == 2 and len(filters) == 2
     for join, chosen in zip(joins, filters):
         assert chosen > join and depth(plan[chosen]) > depth(plan[join])
+
+
+def test_every_check_finds_planted_faults(spark):
+    found = {r["check_name"]: r for r in QUERIES["check_faults"](spark, FOLDER).collect()}
+    assert len(found) == 38 and all(r["violations"] > 0 for r in found.values())
+    assert {r["status"] for r in found.values()} == {"warn", "fail"}
