@@ -1,14 +1,39 @@
 """Helpers that the corpus operators share."""
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import meterline
 from meterline.session import shared_folder
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hands this package to the executors, once per application.
+
+    Functions in tasks are found by name, so a worker must be able to import
+    them wherever the driver was started. Spark copies the archive; nothing
+    reads it from the driver's disk later on.
+    """
+    context, home = spark.sparkContext, Path(meterline.__file__).parent
+    if context.applicationId in _SHIPPED or not home.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp()) / "meterline.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(home.rglob("*.py")):
+            out.write(source, source.relative_to(home.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -24,6 +49,7 @@ def written(df: DataFrame, label: str, compact: bool = False) -> DataFrame:
     evenly to as many files as the cluster has cores.
     """
     spark = df.sparkSession
+    ship(spark)
     path = scratch(spark, label)
     (df.repartition(spark.sparkContext.defaultParallelism) if compact else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -29,8 +29,8 @@ from meterline.llm.common import text_or_empty, written
 SAMPLE_ROWS = 20_000
 #: Evidence for a lexicon entry: least share of toxic groups among those that
 #: hold it, and least log-likelihood ratio against the base rate.
-LEAST_SHARE, LEAST_RATIO = 0.8, 25.0
-PREFIX_CHARS = (4, 5, 6, 7)
+LEAST_SHARE, LEAST_RATIO = 0.9, 18.0
+PREFIX_CHARS = (4, 5, 6, 7, 8)
 NEGATION_SCOPE = 3
 
 #: Closed classes in the four languages of the texts.
