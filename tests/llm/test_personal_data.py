@@ -54,8 +54,8 @@ PARTS = st.sampled_from(list("a@.-+ 1450()é😀\n") + ["4111111111111111", "411
                         "a.b+c@d-e.fg.h", "@x.y", "+1 (678) 555-5272", "00000012.1.1.1", "٣٣٣", "a@b.c@d.e", "  "])
 
 
-@settings(max_examples=12, deadline=None)
-@given(st.lists(st.lists(PARTS, max_size=14).map("".join), min_size=40, max_size=40))
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.lists(PARTS, max_size=14).map("".join), min_size=80, max_size=80))
 def test_odd_strings_match_plain_patterns(spark, texts):
     check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
 
