@@ -21,10 +21,12 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
-#: A token that holds a digit, tried at the start of each token only.
-TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+#: A token of five or more characters with a digit, tried at the start of each token only.
+TOKEN = r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D]{5})[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 BLANKS = r"[\x20\x09-\x0D]+"
 MIN_SUPPORT, MIN_CONFIDENCE, ROUNDS = 4, 0.8, 3
+#: Matches of a text that are gathered at a time.
+RUN = 256
 _EDGE = r"^[^\p{L}\p{N}+(]+"
 
 
@@ -45,10 +47,20 @@ def _located(pattern: str) -> Column:
                 nxt.alias("after")))).alias("out"))
         return body
 
+    def joined(acc, c):
+        moved = F.transform(c["out"], lambda m: F.struct(
+            (m["start"] + acc["at"]).alias("start"), (m["end"] + acc["at"]).alias("end"), m["value"].alias("value"),
+            m["before"].alias("before"), m["after"].alias("after")))
+        return F.struct((acc["at"] + c["at"]).alias("at"), F.concat(acc["out"], F.array(moved)).alias("out"))
+
     def build(parts):
-        return F.aggregate(
-            F.sequence(F.lit(0), F.size(parts["h"]) - 1), zero,
-            lambda acc, i: step(acc, i)(parts), lambda acc: acc["out"])
+        # Appending copies the list so far, so matches are gathered in runs, and then the runs.
+        n = F.size(parts["h"])
+        runs = F.transform(F.sequence(F.lit(0), n - 1, F.lit(RUN)), lambda s: F.aggregate(
+            F.sequence(s, F.least(s + RUN, n) - 1), zero, lambda acc, i: step(acc, i)(parts)))
+        start = F.struct(F.lit(0).alias("at"), F.expr(
+            "cast(array() as array<array<struct<start:int,end:int,value:string,before:string,after:string>>>)").alias("out"))
+        return F.aggregate(runs, start, joined, lambda acc: F.flatten(acc["out"]))
     empty = F.expr("cast(array() as array<struct<start:int,end:int,value:string,before:string,after:string>>)")
     return let(hits, lambda h: F.when(F.size(h) == 0, empty).otherwise(
         let(F.struct(h.alias("h"), gaps.alias("g")), build)))

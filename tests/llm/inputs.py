@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SMALL = "/root/testdata/sf0.001"
-LONG = " ".join(f"word{i % 977} thing{i % 13}" for i in range(30_000))
+LONG = " ".join(f"word{i % 977} thing{i % 13}" for i in range(3_000))
 #: doc_id, text, lang, source: nulls in any column, empty, blank, one-word, very
 #: long and repeated texts, and a repeated row.
 AWKWARD = [
