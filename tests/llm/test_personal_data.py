@@ -81,7 +81,7 @@ def planted(spark):
 def test_credible_contexts_find_other_identifiers(spark):
     found = {r["doc_id"]: r["spans"] for r in p.find(planted(spark)).collect()}
     for i in range(3):
-        assert found[100 + i] == "context:15:23"
+        assert found[100 + i] == "context:15:24"
     assert all(not s or s.startswith("email") and "context" not in s for i, s in found.items() if not 100 <= i < 103)
 
 
