@@ -1,10 +1,10 @@
 """Quality rules with thresholds that follow each language and source.
 
 Base counts come from array expressions over one text at a time. Thresholds are
-fences around the quartiles of each measure, read from KLL sketches per
-language and source; sketches of the sources of a language, and of all
-languages, are merged for groups too small to speak for themselves. Everything
-is DataFrame code.
+fences around tail quantiles of each measure, as far off as the quantile is
+from the median, read from KLL sketches per language and source; sketches of
+the sources of a language, and of all languages, are merged for groups too
+small to speak for themselves. Everything is DataFrame code.
 """
 from __future__ import annotations
 
@@ -15,16 +15,23 @@ from pyspark.sql import Column, DataFrame, functions as F
 from meterline.llm.common import text_or_empty, written
 
 BLANKS = r"[\x20\x09-\x0D]+"
-#: Measures with a fence above and, where the second entry says so, below; the
-#: last entry is the least distance from the quartile that counts as unusual.
+#: Measures with a fence above and, where the first entry says so, below; the rank
+#: of the quantile from which it is measured; and the part of REACH that counts
+#: from there. Repetition is rare and the base rules judge the bulk of it, so its
+#: fences start far out in the tail.
 MEASURES = {
-    "word_length": (True, 3.0),
-    "symbol_share": (False, 0.5),
-    "duplicate_line_share": (False, 0.3),
-    "repeat_share": (False, 0.3),
-    "upper_share": (False, 0.3),
+    "word_length": (True, 0.85, 1.0),
+    "symbol_share": (False, 0.85, 1.0),
+    "duplicate_line_share": (False, 0.98, 0.25),
+    "repeat_share": (False, 0.98, 0.25),
+    "upper_share": (False, 0.85, 1.0),
 }
 REACH = 4.0
+#: Where a group has next to no spread: a share may exceed the quantile by this
+#: part of it, and any measure by one word of the fewest that pass the base rules.
+EVEN, GRAIN = 0.25, 1 / 50
+#: Accuracy of the sketches; ranks are off by about half a percent.
+SKETCH = 800
 MIN_GROUP = 200
 
 
@@ -74,19 +81,21 @@ def thresholds(counts: DataFrame, min_group: int = MIN_GROUP, reach: float = REA
     language, and a language of fewer those of all documents.
     """
     groups = counts.where("not base_failed").groupBy("lang", "source").agg(
-        F.count("*").alias("n"), *[F.kll_sketch_agg_double(F.col(m), F.lit(200)).alias(m) for m in MEASURES])
+        F.count("*").alias("n"), *[F.kll_sketch_agg_double(F.col(m), F.lit(SKETCH)).alias(m) for m in MEASURES])
     groups = written(groups, "sketches", compact=True)
     by_lang = groups.groupBy("lang").agg(
-        F.sum("n").alias("n"), *[F.kll_merge_agg_double(m).alias(m) for m in MEASURES])
-    overall = groups.agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(m).alias(m) for m in MEASURES])
+        F.sum("n").alias("n"), *[F.kll_merge_agg_double(m, F.lit(SKETCH)).alias(m) for m in MEASURES])
+    overall = groups.agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(m, F.lit(SKETCH)).alias(m) for m in MEASURES])
 
     def fences(df: DataFrame, level: str) -> DataFrame:
         out = []
-        for m, (below, slack) in MEASURES.items():
-            q = F.kll_sketch_get_quantile_double(F.col(m), F.array(F.lit(0.25), F.lit(0.75)))
-            width = F.greatest(reach * (q[1] - q[0]), F.lit(slack))
-            out.append(F.struct((q[0] - width if below else F.lit(None).cast("double")).alias("low"),
-                                (q[1] + width).alias("high")).alias(m))
+        for m, (below, rank, part) in MEASURES.items():
+            q = F.kll_sketch_get_quantile_double(F.col(m), F.array(F.lit(1 - rank), F.lit(0.5), F.lit(rank)))
+            even = F.lit(0.0) if below else EVEN * q[2]
+            up = F.greatest(reach * part * (q[2] - q[1]), even, F.lit(GRAIN))
+            down = F.greatest(reach * part * (q[1] - q[0]), F.lit(GRAIN))
+            out.append(F.struct((q[0] - down if below else F.lit(None).cast("double")).alias("low"),
+                                (q[2] + up).alias("high")).alias(m))
         return df.select(*[c for c in ("lang", "source") if c in df.columns],
                          F.when(F.col("n") >= (0 if level == "all" else min_group), F.struct(*out)).alias(level))
     sources, langs = fences(groups, "own"), fences(by_lang, "lang_level")

@@ -61,6 +61,29 @@ def test_thresholds_follow_their_group(spark):
     assert q.thresholds(made).where("source = 'plain'").count() == 1
 
 
+def test_most_poor_documents_are_rejected(spark):
+    judged = {r["doc_id"]: r for r in q.judge(documents(spark, SF)).collect()}
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    passed = [(judged[i]["kept"], x) for i, x in labels.items() if not judged[i]["base_failed"]]
+    poor, fine = ([k for k, x in passed if x == label] for label in (0, 1))
+    assert len(poor) > 20 and sum(poor) <= 0.1 * len(poor) and sum(fine) >= 0.97 * len(fine)
+
+
+def test_fences_are_as_wide_as_their_group(spark):
+    """Groups of the same middle and different spread get different fences, below any fixed slack."""
+    rows = [(i, "en", s, 0.1 + spread * (i % 101 - 50) / 50, 5 + 10 * spread * (i % 101 - 50) / 50)
+            for i in range(1010) for s, spread in (("even", 0.01), ("mixed", 0.05))]
+    made = spark.createDataFrame(
+        rows, "doc_id long, lang string, source string, symbol_share double, word_length double").select(
+        "*", F.lit(False).alias("base_failed"),
+        *[F.lit(0.0).alias(m) for m in q.MEASURES if m not in ("symbol_share", "word_length")])
+    t = {r["source"]: r for r in q.thresholds(made).collect()}
+    assert 0.11 < t["even"]["high_symbol_share"] < 0.16 < 0.25 < t["mixed"]["high_symbol_share"] < 0.3
+    assert 5.3 < t["even"]["high_word_length"] < 5.4 < 6.5 < t["mixed"]["high_word_length"] < 7
+    assert 4.6 < t["even"]["low_word_length"] < 4.7 and 3 < t["mixed"]["low_word_length"] < 3.5
+    assert all(r["high_repeat_share"] < 0.05 for r in t.values())
+
+
 def test_no_python_in_the_plan(spark):
     plan = q.judge(documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
