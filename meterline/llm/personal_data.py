@@ -1,7 +1,8 @@
 """Personal data: fixed kinds by pattern, further identifiers by bootstrapped context.
 
 Spans of the fixed kinds seed the search. Every token with a digit is an
-instance; the words around it are its patterns. A pattern is as credible as the
+instance, and so are the tokens under one span together; the words around it,
+other tokens with digits as a class, are its patterns. A pattern is as credible as the
 share of its distinct instances that are credible, an instance as credible as
 its best pattern; a few rounds over the distinct pattern-instance edges spread
 credibility from the seeds, and patterns above a bar mark the other instances
@@ -109,24 +110,60 @@ def _counted(kind: str) -> Column:
     return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
 
+def _words(part: Column) -> Column:
+    """The words of a text in lower case, those with digits as one class."""
+    return F.transform(F.filter(F.split(F.lower(part), BLANKS), lambda w: w != ""),
+                       lambda w: F.when(w.rlike("[0-9]"), "#").otherwise(w))
+
+
 def _word(parts: Column, place: int) -> Column:
     return F.coalesce(F.try_element_at(parts, F.lit(place)), F.lit(""))
 
 
 def _occurrences() -> Column:
-    """Tokens with digits: trimmed value and place, and their context patterns."""
-    def one(m):
-        lead = F.length(m["value"]) - F.length(F.regexp_replace(m["value"], _EDGE, ""))
-        value = F.regexp_replace(F.regexp_replace(m["value"], _EDGE, ""), r"[^\p{L}\p{N})]+$", "")
-        before = F.filter(F.split(F.lower(F.substring_index(m["before"], "\n", -1)), BLANKS), lambda w: w != "")
-        after = F.filter(F.split(F.lower(F.substring_index(m["after"], "\n", 1)), BLANKS), lambda w: w != "")
-        return F.struct(
-            (m["start"] + lead).alias("start"), (m["start"] + lead + F.length(value)).alias("end"),
-            value.alias("value"),
-            F.concat(_word(before, -2), F.lit(" "), _word(before, -1), F.lit(" _")).alias("left"),
-            F.concat(_word(before, -1), F.lit(" _ "), _word(after, 1)).alias("around"))
-    return F.filter(F.transform(F.filter(_located(TOKEN), lambda m: F.length(m["value"]) >= 5), one),
-                    lambda o: F.length(o["value"]) >= 5)
+    """Tokens with digits: trimmed value and place, place in full, and the line around, two words at least."""
+    def one(hits):
+        def body(m, i):
+            back, far, ahead = F.get(hits, i - 1), F.get(hits, i - 2), F.get(hits, i + 1)
+            lead = F.length(m["value"]) - F.length(F.regexp_replace(m["value"], _EDGE, ""))
+            value = F.regexp_replace(F.regexp_replace(m["value"], _EDGE, ""), r"[^\p{L}\p{N})]+$", "")
+            none = F.lit("")
+            return F.struct(
+                (m["start"] + lead).alias("start"), (m["start"] + lead + F.length(value)).alias("end"),
+                value.alias("value"), m["start"].alias("from"), m["end"].alias("to"),
+                F.concat(F.coalesce(far["value"], none), F.coalesce(back["before"], none),
+                         F.coalesce(back["value"], none), m["before"]).alias("before"),
+                F.concat(m["after"], F.coalesce(ahead["value"], none)).alias("after"))
+        return F.transform(hits, body)
+    return F.filter(let(_located(TOKEN), one), lambda o: F.length(o["value"]) >= 5)
+
+
+def _instance(first: Column, last: Column, value: Column, start: Column, end: Column, seed: bool) -> Column:
+    """An instance from `first` to `last` token, whose context lies outside of `start` to `end`."""
+    inner, outer = F.greatest(first["from"] - start, F.lit(0)), F.greatest(end - last["to"], F.lit(0))
+    before = F.substring(first["before"], F.lit(1), F.length(first["before"]) - inner)
+    after = F.substring(last["after"], outer + 1, F.length(last["after"]))
+    around = F.struct(_words(F.substring_index(before, "\n", -1)).alias("b"),
+                      _words(F.substring_index(after, "\n", 1)).alias("a"))
+    patterns = let(around, lambda w: F.array(
+        F.concat(_word(w["b"], -2), F.lit(" "), _word(w["b"], -1), F.lit(" _")),
+        F.concat(_word(w["b"], -1), F.lit(" _ "), _word(w["a"], 1))))
+    return F.struct(first["start"].alias("start"), last["end"].alias("end"), value.alias("value"),
+                    F.filter(patterns, lambda p: p.rlike(r"\p{L}")).alias("patterns"), F.lit(seed).alias("seed"))
+
+
+def _instances(parts: Column) -> Column:
+    """The tokens of `parts.found` under each span of `parts.base` as one seed, and the other tokens one by one."""
+    def under(b, o):
+        return (b["start"] < o["end"]) & (o["start"] < b["end"])
+    groups = F.filter(F.transform(parts["base"], lambda b: F.struct(
+        b["start"].alias("start"), b["end"].alias("end"), F.filter(parts["found"], lambda o: under(b, o)).alias("o"))),
+        lambda g: F.size(g["o"]) > 0)
+    seeds = F.transform(groups, lambda g: _instance(
+        g["o"][0], F.element_at(g["o"], -1), F.array_join(F.transform(g["o"], lambda o: o["value"]), " "),
+        g["start"], g["end"], True))
+    others = F.filter(parts["found"], lambda o: ~F.exists(parts["base"], lambda b: under(b, o)))
+    return F.concat(seeds, F.transform(others, lambda o: _instance(o, o, o["value"], o["from"], o["to"], False)))
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -134,11 +171,7 @@ def scan(docs: DataFrame) -> DataFrame:
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("__op_text"))
     d = d.select("doc_id", F.xxhash64("__op_text").alias("text_key"), base_spans().alias("base"),
                  F.when(F.col("__op_text").rlike("[0-9]"), _occurrences()).alias("found"))
-    seeded = F.transform("found", lambda o: F.struct(
-        o["start"].alias("start"), o["end"].alias("end"), o["value"].alias("value"),
-        F.array(o["left"], o["around"]).alias("patterns"),
-        F.exists("base", lambda b: (b["start"] < o["end"]) & (o["start"] < b["end"])).alias("seed")))
-    return d.select("doc_id", "text_key", "base", seeded.alias("occurrences"))
+    return d.select("doc_id", "text_key", "base", let(F.struct("base", "found"), _instances).alias("occurrences"))
 
 
 def credible_patterns(edges: DataFrame, min_support: int = MIN_SUPPORT,

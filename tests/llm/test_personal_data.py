@@ -85,6 +85,23 @@ def test_credible_contexts_find_other_identifiers(spark):
     assert all(not s or s.startswith("email") and "context" not in s for i, s in found.items() if not 100 <= i < 103)
 
 
+def test_context_reaches_over_other_tokens_with_digits(spark):
+    """The halves of a number are one instance; words count on either side of other tokens with digits."""
+    rows = [(i, f"call me +1 (0{i % 90 + 10}) 555-77{i + 10} now") for i in range(40)]
+    rows += [(100, "99123 first"), (101, "AB-1234 CD-5678 second"), (102, "\n77777\n88888 99999\n")]
+    rows += [(110 + i, f"ticket 2024-{i} mail u{i}x@mail.example soon") for i in range(40)]
+    rows += [(200, "ticket 2024-7 mail ZZ-4711-Y soon"), (201, "call me XK-4711 now")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in p.find(docs).collect()}
+    assert all("context" not in found[i] for i in [*range(40), 100, 101, 102])
+    assert found[200] == "context:19:28" and found[201] == "context:8:15"
+    scanned = {r["doc_id"]: r["occurrences"] for r in p.scan(docs).collect()}
+    assert [(o["value"], o["patterns"], o["seed"]) for o in scanned[3]] == [
+        ("(013) 555-7713", ["call me _", "me _ now"], True)]
+    assert {o["value"]: o["patterns"] for o in scanned[101]} == {"AB-1234": [], "CD-5678": ["# _ second"]}
+    assert [o["patterns"] for o in scanned[115] if o["seed"]] == [["# mail _", "mail _ soon"]]
+
+
 def test_copies_lend_no_weight(spark):
     patterns = p.credible_patterns(spark.createDataFrame(
         [("a", "x", True), ("b", "y1", True), ("b", "y2", True), ("b", "y3", True), ("b", "y4", True), ("b", "z", False),
