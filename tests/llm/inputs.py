@@ -14,8 +14,8 @@ AWKWARD = [
     (3, None, "en", "a"), (4, "", None, None), (5, " \t\r\n\v\f ", "de", None), (6, "word", None, "b"),
     (7, "word", "en", "b"), (None, "no id at all but some words in it", "en", "b"),
     (None, None, None, None), (8, LONG, "en", "c"), (9, LONG + " tail", "en", "c"),
-    (10, "é ü ñ 漢字     😀 é ｆｕｌｌ", "fr", "d"), (11, "<|endoftext|> <|startoftext|>a</s>", "fr", "d"),
-    (12, "a\n\n\nb  c \n d e\x1cf", "es", "d"),
+    (10, "é ü ñ 漢字 \u00a0 \u2028 😀 é ｆｕｌｌ", "fr", "d"), (11, "<|endoftext|> <|startoftext|>a</s>", "fr", "d"),
+    (12, "a\n\n\nb  c \n d\u00a0e\x1cf", "es", "d"),
 ]
 CLASHES = ("score", "kept", "n_words", "component_id", "value", "key", "block", "node", "extra", "base", "piece",
            "sequence_id", "shard", "items", "_text", "label", "spans")

@@ -120,7 +120,7 @@ def test_redaction(spark):
     assert all(r["n_chars"] == len(r["text"]) and r["extra"] == "clash" for r in out.values()) and len(out) == 114
     assert p.redact(docs).columns == docs.columns
     odd = {r["doc_id"]: r["text"] for r in p.redact(awkward(spark)).collect() if r["doc_id"]}
-    assert odd[3] is None and odd[4] == "" and odd[12] == "a\n\n\nb  c \n d e\x1cf"
+    assert odd[3] is None and odd[4] == "" and odd[12] == "a\n\n\nb  c \n d\u00a0e\x1cf"
 
 
 def test_no_python_in_the_plans(spark):
