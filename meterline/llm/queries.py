@@ -3,10 +3,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterline.llm import (chat, decontamination, near_duplicates, packing, personal_data, quality_rules, tokens,
-                           toxicity, url_rules, warc)
+from meterline.llm import (chat, decontamination, near_duplicates, packing, personal_data, product_search,
+                           quality_rules, tokens, toxicity, url_rules, vector_codes, warc)
 from meterline.llm.common import table
 
 #: Listed host and path rules with their verdicts.
@@ -57,6 +57,14 @@ def urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return product_search.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -73,9 +81,50 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": token_counts,
     "op9_packing": packed,
     "op10_url_rules": urls,
+    "op11_top_products": top_products,
+    "op13_vector_codes": codes,
     "pipeline": pipeline,
 }
 
+def _codes_sql(rounds: int = 4, entries: int = 256) -> str:
+    """The rounds unrolled: each assigns all parts by brute force and takes the floors of the means."""
+    nearest = """a{r} as materialized (
+        select p.place, p.part, min((p.nn + b.nn - 2 * list_inner_product(p.v, b.v)) * 256 + b.entry)::bigint as best
+        from p join b{r} b on p.part = b.part group by p.place, p.part)"""
+    update = """m{r} as materialized (
+        select part, entry, list(mean order by pos) as v from (
+            select part, entry, pos, floor(sum(c) / count(*)) as mean from (
+                select p.part, a.best % 256 as entry, unnest(p.v) as c, unnest(range(len(p.v))) as pos
+                from p join a{r} a on p.place = a.place and p.part = a.part) group by part, entry, pos)
+        group by part, entry),
+        b{n} as materialized (
+        select b.part, b.entry, coalesce(m.v, b.v) as v, list_inner_product(coalesce(m.v, b.v), coalesce(m.v, b.v)) as nn
+        from b{r} b left join m{r} m on b.part = m.part and b.entry = m.entry)"""
+    steps = [nearest.format(r=0)]
+    for r in range(rounds):
+        steps += [update.format(r=r, n=r + 1), nearest.format(r=r + 1)]
+    return f"""
+        with w as materialized (
+            select row_number() over (order by vec_id) as place, vec_id, label,
+                   list_transform(embedding, lambda x: floor(1024 * x::double)) as x
+            from embeddings where embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        p as materialized (
+            select *, list_inner_product(v, v) as nn from (
+                select place, part, x[part * len(x) // 4 + 1:(part + 1) * len(x) // 4] as v
+                from w, range(4) as parts(part))),
+        b0 as materialized (select part, place - 1 as entry, v, nn from p where place <= {entries}),
+        {", ".join(steps)},
+        c as (select w.vec_id, w.label, string_agg(printf('%02x', a.best % 256), '' order by a.part) as code,
+                     sum(a.best // 256)::bigint as error
+              from w join a{rounds} a on w.place = a.place group by w.place, w.vec_id, w.label)
+        select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error,
+               (select sha256(string_agg(t, ',' order by part, entry)) from (
+                    select part, entry, array_to_string(list_transform(v, lambda y: y::bigint), ',') as t
+                    from b{rounds})) as codebooks_sha256
+        from c"""
+
+
 #: Queries without an entry have no SQL counterpart and are tested by brute force.
 ORACLE_SQL: dict[str, str] = {
     "op2_warc": """
@@ -106,4 +155,15 @@ ORACLE_SQL: dict[str, str] = {
                coalesce(min(place) filter (not allowed), case when arg_max(role, place) <> 'assistant' then count(*) end) is null as valid,
                coalesce(min(place) filter (not allowed), case when arg_max(role, place) <> 'assistant' then count(*) end) as first_error
         from v group by conv_id""",
+    "op11_top_products": """
+        with v as (select row_number() over () as place, vec_id,
+                          list_transform(embedding, lambda x: floor(256 * x::double)) as x
+                   from embeddings
+                   where embedding is not null
+                     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        p as (select q.place, q.vec_id as query_id, c.vec_id, list_inner_product(q.x, c.x)::bigint as score
+              from v q join v c on q.place <> c.place where q.vec_id % 50 = 0),
+        r as (select *, row_number() over (partition by place order by score desc, vec_id) as rank from p)
+        select query_id, rank::int as rank, vec_id, score from r where rank <= 5""",
+    "op13_vector_codes": _codes_sql(),
 }
