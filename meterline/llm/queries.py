@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterline.llm import (chat, decontamination, near_duplicates, packing, personal_data, product_search,
+from meterline.llm import (chat, conversation_repair, decontamination, near_duplicates, packing, personal_data, product_search,
                            quality_rules, tokens, toxicity, url_rules, vector_codes, warc)
 from meterline.llm.common import table
 
@@ -61,6 +61,10 @@ def top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return product_search.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(table(spark, sf_dir, "conversations"))
+
+
 def codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": packed,
     "op10_url_rules": urls,
     "op11_top_products": top_products,
+    "op12_conversation_repair": repairs,
     "op13_vector_codes": codes,
     "pipeline": pipeline,
 }
@@ -125,6 +130,81 @@ def _codes_sql(rounds: int = 4, entries: int = 256) -> str:
         from c"""
 
 
+def _repair_sql() -> str:
+    """The cheapest edits by dynamic programming: a state is (cost and edits, lines), compared as text.
+
+    A state stands for what was said last: nothing, system, user, assistant.
+    Each row is two steps, insertions and the row itself.
+    """
+    def add(state: str, cost: str, letter: str, line: str = "''") -> str:
+        return (f"{{'k': lpad((substr({state}.k, 1, 8)::bigint + {cost})::varchar, 8, '0') || substr({state}.k, 9) || "
+                f"'{letter}', 'r': {state}.r || {line}}}")
+
+    def unless(condition: str, state: str) -> str:
+        return f"case when {condition} then {state} else {never} end"
+    never = "{'k': '90000000', 'r': ''}"
+    said = lambda role: f"chr(10) || '{role}:'"
+    own, user, assistant = "chr(10) || x.role || ':' || x.text", f"{said('user')} || x.text", f"{said('assistant')} || x.text"
+    insert = f"""least(a.s2, {add('a.s0', '2', 'I', said('user'))}, {add('a.s1', '2', 'I', said('user'))},
+                       {add('a.s3', '2', 'I', said('user'))})"""
+    twice = f"least(a.s3, {add('a.s2', '2', 'I', said('assistant'))})"
+    stays = "not x.gone and x.role[1] = "
+    to_user = ", ".join([unless("not x.gone", add(f"a.{s}", "2 + x.t", "R", user)) + ", " + unless(
+        f"{stays}'u'", add(f"a.{s}", "x.t", "K", own)) for s in ("s0", "s1", "s3")])
+    return f"""
+        with crcs as (select list(v order by i) as t from (
+            select i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z:
+                case when (c & 1) = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as v
+            from (select unnest(range(256)) as i))),
+        k as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+                     coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as name from conversations),
+        h as (select k.*, xor(list_reduce(
+                  list_concat([4294967295], list_transform(string_split(name, ''), lambda c: ascii(c)::bigint)),
+                  lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 20 as hit from k, crcs),
+        d as (select conv_id, turn, case when hit = 4 then 'user' else role end as role,
+                     case hit when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+              from h, range(2) as copies(copy) where hit <> 0 and (copy = 0 or hit = 3)),
+        o as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as place,
+                     row_number() over (partition by conv_id, role, text order by turn nulls first) as nth,
+                     regexp_replace(text, '[\x20\x09-\x0D]+$', '') as body from d),
+        f as (select *, case when body = '' then 'blank' when nth > 1 then 'duplicate'
+                             when right(body, 1) not in ('.', '!', '?') then 'truncated' else '' end as fault,
+                     lag(role) over (partition by conv_id order by place) as before from o),
+        steps as (select conv_id, place, step, role, text, fault in ('blank', 'duplicate') as gone,
+                         (fault = 'truncated')::bigint as t from f, range(3) as s(step)
+                  union all select conv_id, 0, 3, '', '', false, 0 from f group by conv_id
+                  union all select conv_id, max(place) + 1, step, '', '', false, 0 from f, range(2) as s(step)
+                  group by conv_id, step),
+        lists as (select conv_id, list({{'s0': {{'k': '00000000', 'r': ''}}, 's1': {never}, 's2': {never}, 's3': {never},
+                          'step': step, 'role': role, 'text': text, 'gone': gone, 't': t}} order by place, step) as l
+                  from steps group by conv_id),
+        ends as (select conv_id, list_reduce(l, lambda a, x: case x.step
+            when 0 then {{'s0': a.s0, 's1': a.s1, 's2': {insert}, 's3': a.s3, 'step': x.step, 'role': x.role,
+                          'text': x.text, 'gone': x.gone, 't': x.t}}
+            when 1 then {{'s0': a.s0, 's1': a.s1, 's2': a.s2, 's3': {twice}, 'step': x.step, 'role': x.role,
+                          'text': x.text, 'gone': x.gone, 't': x.t}}
+            else {{'s0': {add('a.s0', '3', 'D')},
+                   's1': least({add('a.s1', '3', 'D')}, {unless(stays + "'s'", add('a.s0', 'x.t', 'K', own))}),
+                   's2': least({add('a.s2', '3', 'D')}, {to_user}),
+                   's3': least({add('a.s3', '3', 'D')}, {unless('not x.gone', add('a.s2', '2 + x.t', 'R', assistant))},
+                               {unless(stays + "'a'", add('a.s2', 'x.t', 'K', own))}),
+                   'step': x.step, 'role': x.role, 'text': x.text, 'gone': x.gone, 't': x.t}} end) as a
+            from lists),
+        best as (select conv_id, least(a.s0, a.s3) as b from ends),
+        counts as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+                          count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+                          count(*) filter (fault = 'truncated') as truncated,
+                          count(*) filter (before is not null and left(before, 1) || left(role, 1) not in ('su', 'ua', 'au'))
+                              as illegal from f group by conv_id)
+        select i.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+               coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal,
+               coalesce(substr(b.k, 1, 8)::bigint, 0) as cost, coalesce(substr(b.k, 9), '') as audit,
+               sha256(coalesce(substr(b.r, 2), '')) as repaired_sha256
+        from (select distinct conv_id from conversations) i
+        left join counts on i.conv_id is not distinct from counts.conv_id
+        left join best on i.conv_id is not distinct from best.conv_id"""
+
+
 #: Queries without an entry have no SQL counterpart and are tested by brute force.
 ORACLE_SQL: dict[str, str] = {
     "op2_warc": """
@@ -166,4 +246,5 @@ ORACLE_SQL: dict[str, str] = {
         r as (select *, row_number() over (partition by place order by score desc, vec_id) as rank from p)
         select query_id, rank::int as rank, vec_id, score from r where rank <= 5""",
     "op13_vector_codes": _codes_sql(),
+    "op12_conversation_repair": _repair_sql(),
 }
