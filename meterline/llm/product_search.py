@@ -251,7 +251,7 @@ def top_products(vectors: DataFrame, queries: Column, k: int = 5, scale: int = 2
     base = base.withColumn("length", F.sqrt(F.aggregate(
         "x", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))))
     per_block = max(1, block_bytes // (8 * max(1, width)))
-    blocks = max(1, -(-n // per_block), min(spark.sparkContext.defaultParallelism, -(-n // TILE)))
+    blocks = max(1, -(-n // per_block), min(4 * spark.sparkContext.defaultParallelism, -(-n // TILE)))
     placed = written(base.repartitionByRange(
         blocks, F.desc("length"), F.asc("id"), F.monotonically_increasing_id()).withColumn(
         "block", F.spark_partition_id()), "norm-blocks")

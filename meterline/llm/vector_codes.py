@@ -20,9 +20,11 @@ from pyspark.sql import DataFrame, functions as F
 from meterline.llm.common import ship, written
 from meterline.llm.vectors import component_bound, floors, lists, matrix, usable, widest
 
-#: Pivots per part position, and rows that are bounded at once.
+#: Pivots per part position, rows that are bounded at once, and the share of open pairs from which a chunk's are
+#: evaluated as one product instead of one by one in the order of their bounds.
 PIVOTS = 8
 CHUNK = 2_048
+DENSE = 0.05
 
 
 def squared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -31,6 +33,15 @@ def squared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.einsum("ij,ij->i", d, d)
 
 
+def all_squared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Exact squared distances of all rows of `x` to all of `y`; doubles hold them if they stay below 2**52."""
+    top = max(np.abs(x).max(initial=0), np.abs(y).max(initial=0))
+    if 4 * x.shape[1] * int(top)**2 >= 2**52:
+        return np.stack([squared(x, e[None, :]) for e in y], axis=1)
+    a, b = x.astype(np.float64), y.astype(np.float64)
+    return (a**2).sum(axis=1)[:, None] + (b**2).sum(axis=1)[None, :] - 2 * (a @ b.T)
+
+
 def farthest_first(entries: np.ndarray, count: int) -> np.ndarray:
     """Up to `count` entries, each the farthest from those before; ties go to the lower index."""
     if not len(entries):
@@ -67,6 +78,13 @@ def nearest(x: np.ndarray, far: np.ndarray, entries: np.ndarray, entry_far: np.n
         best = squared(rows, entries[best_at])
         tried += len(rows)
         open_ = bound <= best[:, None]
+        if np.count_nonzero(open_) > DENSE * open_.size:
+            tried += np.count_nonzero(open_)
+            d = all_squared(rows, entries)
+            d[~open_] = np.iinfo(np.int64).max  # the nearest entry is never among these
+            index[start:start + CHUNK] = best_at = d.argmin(axis=1)
+            error[start:start + CHUNK] = d[np.arange(len(rows)), best_at]
+            continue
         open_[np.arange(len(rows)), best_at] = False
         a, b = np.nonzero(open_)
         order = np.lexsort((bound[a, b], a))

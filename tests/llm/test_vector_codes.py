@@ -91,6 +91,18 @@ def test_great_magnitudes_are_bounded(spark):
     assert len(out) == 3 and all(0 <= r[2] < 2**63 and 0 <= r[3] < 2**63 for r in out)
 
 
+@pytest.mark.parametrize("top, width", [(1000, 6), (2**26, 4)])
+def test_dense_chunks_are_exact(monkeypatch, top, width):
+    monkeypatch.setattr(vc, "DENSE", 0)
+    rng = np.random.default_rng(4)
+    x, entries = rng.integers(-top, top, (3000, width)), rng.integers(-top, top, (40, width))
+    entries[7] = entries[3]
+    pivots = vc.farthest_first(entries, 4)
+    index, error, _ = vc.nearest(x, vc.distances(x, pivots), entries, vc.distances(entries, pivots))
+    d = ((x[:, None, :] - entries[None, :, :])**2).sum(axis=2)
+    assert (index == d.argmin(axis=1)).all() and (error == d.min(axis=1)).all()
+
+
 def test_most_entries_are_never_evaluated():
     rng = np.random.default_rng(2)
     entries = rng.integers(-1000, 1000, (256, 8))
