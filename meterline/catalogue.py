@@ -21,7 +21,7 @@ from meterline.plans import ledger, worklist
 from meterline.schemas import FACT, FLAGS, STATUSES
 from meterline.session import settle
 from meterline.sources import faults, tables
-from meterline.sources.digests import file_digests
+from meterline.sources.digests import content_digests, file_digests
 from meterline.sources.weather import observations, weather_contract
 from meterline.sources.zones import duplicate_zone_keys
 
@@ -190,6 +190,12 @@ def file_digest_listing(spark, d):
         F.element_at(F.split("path", "/"), -1).alias("file"), "length", "sha256")
 
 
+def page_digests(spark, d):
+    """Tree digests of the pages as if each were a landed file, with leaves small enough for several levels."""
+    pages = spark.read.parquet(f"{d}/pages.parquet").select("page_id", F.encode("html", "utf-8").alias("content"))
+    return content_digests(pages, "page_id", F.col("content"), leaf_bytes=256, fan_out=4)
+
+
 # --- reports --------------------------------------------------------------------------------
 
 
@@ -485,6 +491,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zone_contract": zone_contract,
     "month_spine": month_spine,
     "file_digests": file_digest_listing,
+    "page_digests": page_digests,
     "report_monthly": report_monthly,
     "report_locations": report_locations,
     "report_quality_totals": report_quality_totals,

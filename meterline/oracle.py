@@ -229,7 +229,8 @@ STEPS = ",".join([
 replaced as (
   select * from fact where right(source_period, 2) not in ('03', '07')
   union all select * from fact_v2 where right(source_period, 2) in ('03', '07')
-)""", _marts("replaced", "_v2")])
+)""", _marts("replaced", "_v2"), """
+contents as (select page_id, encode(html) as content from pages)"""])
 
 
 def _sql(query: str) -> str:
@@ -494,7 +495,25 @@ FLAGS = """missing_timestamp, reversed_timestamp, outside_source_month, invalid_
   invalid_money, unknown_zone, long_duration, zero_distance, negative_money, unusual_passengers,
   unusual_payment"""
 
+
+
+def _tree_digests(leaf_bytes: int, fan_out: int, levels: int) -> str:
+    """Leaves of every page, then `levels` times the nodes above them; a single node stays as it is."""
+    nodes = f"""select page_id, i as place, greatest(1, ceil(octet_length(content) / {leaf_bytes}.0))::bigint as n,
+    sha256(content[i * {leaf_bytes} + 1:(i + 1) * {leaf_bytes}]) as digest
+  from (select *, unnest(range(greatest(1, ceil(octet_length(content) / {leaf_bytes}.0))::bigint)) as i
+    from contents)"""
+    for _ in range(levels):
+        nodes = f"""select page_id, place // {fan_out} as place, ceil(n / {fan_out}.0)::bigint as n,
+    if(n > 1, sha256(string_agg(digest, '' order by place)), min(digest)) as digest
+  from ({nodes}) group by page_id, place // {fan_out}, n"""
+    return f"""from (select page_id, octet_length(content) as length,
+  if(content is null, null, greatest(1, ceil(octet_length(content) / {leaf_bytes}.0)))::bigint as leaves
+  from contents) join (select page_id, digest as sha256 from ({nodes})) using (page_id)"""
+
+
 QUERIES: dict[str, str] = {
+    "page_digests": f"select page_id, length, leaves, sha256 {_tree_digests(256, 4, 8)}",
     "bronze_identity": """select source_period, source_sha256, source_row, trip_id,
   started as pickup_datetime, ended as dropoff_datetime, day as pickup_date,
   from_zone as pickup_zone_key, to_zone as dropoff_zone_key, minutes as trip_duration_minutes
