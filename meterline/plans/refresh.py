@@ -180,7 +180,7 @@ class Refresh:
         report.update(self.export(run_id, entries, tables))
 
         where["stage"] = "publication"
-        store.publish(Commit(before.sequence + 1, run_id, self.logic_version, entries))
+        store.publish(Commit(before.sequence + 1, run_id, self.logic_version, entries), before)
 
     def _scratch(self, run_id: str) -> str:
         return f"{self.store.root}/scratch/run={run_id}"

@@ -5,10 +5,14 @@ Each run writes new folders and never touches old ones:
     bronze/<source>/run=<id>/period=<yyyy-MM>/
     gold/<table>/run=<id>/period=<yyyy-MM>/      tables kept per source period
     reports/run=<id>/<table>/{parquet,csv}/      one generation of the marts
-
-A commit lists, for every (source, period), the folders that are live. It is
-one appended file, so a new generation appears at once or not at all, a period
-can be replaced by nothing, and readers open exactly the live folders.
+    commits/<sequence>-<id>/                     what a run published
+    checkpoints/<sequence>-<id>/                 everything that is live after it
+
+A commit lists the folders of every (source, period) that its run changed. It
+is one file and counts once its folder is complete, so a new generation appears
+at once or not at all, a period can be replaced by nothing, and readers open
+exactly the live folders. Every `CHECKPOINT_EVERY`-th commit is followed by a
+checkpoint; readers replay the last checkpoint and the commits behind it.
 """
 from __future__ import annotations
 
@@ -16,8 +20,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from meterline.plans.tables import append_rows, local_rows, read_rows, together
+from meterline.plans import commits as log
+from meterline.plans.tables import local_rows, together
 from meterline.schemas import FACT, FLAGS, TRIPS, WEATHER, ZONES
+from meterline.session import remove
 from meterline.sources.digests import file_digests, tree_fingerprint
 
 ENTRY = T.StructType([
@@ -74,6 +80,8 @@ GOLD_SCHEMAS = {
     "trip_findings": FINDINGS,
 }
 EMPTY = "empty"
+FOLDERS = T.StructType([T.StructField("folder", T.StringType())])
+CHECKPOINT_EVERY = 16
 ROW_GROUP_BYTES = 32 * 1024 * 1024
 
 
@@ -90,15 +98,14 @@ class Commit:
         return sorted(period for source, period in self.entries if source == "trips")
 
 
-def _commit(row) -> Commit:
-    return Commit(row["sequence"], row["run_id"], row["logic_version"],
-                  {(e["source"], e["period"]): e.asDict() for e in row["entries"]})
+NOTHING = Commit(0, None, None, {})
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, checkpoint_every: int = CHECKPOINT_EVERY):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.checkpoint_every = checkpoint_every
 
     # --- folders -----------------------------------------------------------------------
 
@@ -178,30 +185,106 @@ class Store:
 
     # --- commits -----------------------------------------------------------------------
 
-    def commits(self) -> DataFrame:
-        return read_rows(self.spark, f"{self.root}/commits", COMMITS)
+    def _names(self, kind: str) -> list[tuple[int, str]]:
+        """(sequence, run id) of the complete folders of commits or checkpoints, in order; lists names only."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}/*/_SUCCESS")
+        found = pattern.getFileSystem(conf).globStatus(pattern) or []
+        names = [f.getPath().getParent().getName().split("-", 1) for f in found]
+        return sorted((int(sequence), run_id) for sequence, run_id in names)
 
-    def latest(self) -> Commit:
-        """The last publication; its entries number sources x months, not rows."""
-        last = self.commits().orderBy(F.desc("sequence")).first()
-        if last is None:
-            return Commit(0, None, None, {})
-        return _commit(last)
+    def _folder(self, kind: str, sequence: int, run_id: str) -> str:
+        return f"{self.root}/{kind}/{sequence:012d}-{run_id}"
 
-    def publish(self, commit: Commit) -> None:
+    def _write_commit(self, kind: str, commit: Commit) -> None:
         row = {
             "sequence": commit.sequence, "run_id": commit.run_id,
             "logic_version": commit.logic_version, "entries": list(commit.entries.values())}
-        append_rows(local_rows(self.spark, [row], COMMITS), f"{self.root}/commits")
+        local_rows(self.spark, [row], COMMITS).coalesce(1).write.mode("overwrite").parquet(
+            self._folder(kind, commit.sequence, commit.run_id))
+
+    def replay(self, upto: int | None = None) -> Commit:
+        """The generation `upto` (the last one by default), from one checkpoint and the commits behind it."""
+        commits = [c for c in self._names("commits") if upto is None or c[0] <= upto]
+        if not commits:
+            return NOTHING
+        start = max((c for c in self._names("checkpoints") if c[0] <= commits[-1][0]), default=None)
+        folders = [self._folder("checkpoints", *start)] if start else []
+        folders += [self._folder("commits", *c) for c in commits if not start or c[0] > start[0]]
+        rows = self.spark.read.schema(COMMITS).parquet(*folders).collect()
+        entries = {}
+        for row in sorted(rows, key=lambda r: r["sequence"]):
+            entries |= {(e["source"], e["period"]): e.asDict() for e in row["entries"]}
+        last = max(rows, key=lambda r: r["sequence"])
+        return Commit(last["sequence"], last["run_id"], last["logic_version"], entries)
+
+    def latest(self) -> Commit:
+        """The last publication; its entries number sources x months, not rows."""
+        return self.replay()
+
+    def publish(self, commit: Commit, before: Commit | None = None) -> None:
+        """Appends the entries that `commit` changed since `before` (the last publication, if not given)."""
+        before = self.latest() if before is None else before
+        changed = {k: e for k, e in commit.entries.items() if before.entries.get(k) != e}
+        self._write_commit("commits", Commit(commit.sequence, commit.run_id, commit.logic_version, changed))
+        if commit.sequence % self.checkpoint_every == 0:
+            self._write_commit("checkpoints", commit)
+
+    def versions(self) -> DataFrame:
+        """(sequence, entry columns): every version of every (source, period) that the log still holds."""
+        starts = self._names("checkpoints")[:1]  # what came before it is kept in it only
+        commits = self._names("commits")
+        folders = [self._folder("checkpoints", *c) for c in starts if commits and c[0] <= commits[0][0]]
+        folders += [self._folder("commits", *c) for c in commits]
+        if not folders:
+            return self.spark.createDataFrame([], T.StructType([COMMITS["sequence"], *ENTRY.fields]))
+        rows = self.spark.read.schema(COMMITS).parquet(*folders).select("sequence", F.inline("entries"))
+        return rows.groupBy(*ENTRY.fieldNames()).agg(F.min("sequence").alias("sequence")).select(
+            "sequence", *ENTRY.fieldNames())
+
+    def vacuum(self, keep: int, dry_run: bool = False) -> list[str]:
+        """Removes what none of the last `keep` generations consists of; returns the folders.
+
+        Folders of failed runs go as well, so no run may be under way. The log
+        is cut at the first generation that stays, behind a checkpoint of it;
+        earlier ones can no longer be opened.
+        """
+        commits = self._names("commits")
+        if keep < 1 or not commits:
+            raise ValueError("at least one published generation has to stay")
+        kept = commits[-keep:]
+        first = kept[0]
+        entries = log.live(self.versions(), first[0])
+        root = F.lit(self.root)
+        bronze = F.concat(root, F.lit("/bronze/"), "source", F.lit("/run="), "bronze_run", F.lit("/period="), "period")
+        gold = [F.concat(root, F.lit(f"/gold/{t}/run="), "gold_run", F.lit("/period="), "period") for t in GOLD_SCHEMAS]
+        used = entries.select(F.explode(F.array(bronze, *gold)).alias("folder")).unionByName(local_rows(
+            self.spark, [(f"{self.root}/reports/run={run_id}",) for _, run_id in kept], FOLDERS))
+        listed = [p for pattern in ("bronze/*/run=*/period=*", "gold/*/run=*/period=*", "reports/run=*")
+                  for p in self._glob(pattern)]
+        gone = sorted(r["folder"] for r in log.unreferenced(
+            local_rows(self.spark, [(p,) for p in listed], FOLDERS), used).collect())
+        if dry_run:
+            return gone
+        if first not in self._names("checkpoints"):
+            self._write_commit("checkpoints", self.replay(first[0]))
+        old = [self._folder(kind, *c) for kind in ("commits", "checkpoints") for c in self._names(kind) if c < first]
+        together(*[lambda f=f: remove(self.spark, f) for f in [*old, *gone]])
+        return gone
+
+    def _glob(self, pattern: str) -> list[str]:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{pattern}")
+        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path) or []
+        return [f.getPath().toString() for f in found]
 
     # --- published data ------------------------------------------------------------------
 
     def generation(self, run_id: str) -> Commit:
-        """The publication of an earlier run; its files are all kept."""
-        row = self.commits().where(F.col("run_id") == run_id).first()
-        if row is None:
-            raise LookupError(f"run {run_id} has published nothing")
-        return _commit(row)
+        """The publication of an earlier run that no vacuum has removed."""
+        found = [sequence for sequence, name in self._names("commits") if name == run_id]
+        if not found:
+            raise LookupError(f"run {run_id} has published nothing that is still kept")
+        return self.replay(found[0])
 
     def table(self, name: str, run_id: str | None = None) -> DataFrame:
         """A table of a published generation (the last one by default): the trip fact or an exported mart."""
