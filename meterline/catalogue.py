@@ -6,7 +6,9 @@ it run once per query.
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,9 +19,12 @@ from meterline.operators.dimensions import date_dimension, staged_weather, zone_
 from meterline.operators.fact import trip_fact
 from meterline.operators import marts
 from meterline.operators.profile import profile_trips
-from meterline.plans import ledger, worklist
+from meterline.plans import commits, generations, ledger, worklist
+from meterline.plans.refresh import RUNS
+from meterline.plans.store import ENTRY, Commit, Store
+from meterline.plans.tables import append_rows, local_rows, read_rows
 from meterline.schemas import FACT, FLAGS, STATUSES
-from meterline.session import settle
+from meterline.session import settle, shared_folder
 from meterline.sources import faults, tables
 from meterline.sources.digests import content_digests, file_digests
 from meterline.sources.weather import observations, weather_contract
@@ -467,6 +472,99 @@ def snapshot_equivalence(spark, d):
     return _rounded(report, "max_float_gap")
 
 
+# --- stored generations ---------------------------------------------------------------------
+
+
+class Published:
+    """Generations in a store of the shared folder, each with its run record.
+
+    `before` holds all trips; `after` the corrected periods built anew and the
+    folders of all others; `tampered` is `after` with rows of one mart lost.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.data = Inputs(spark, sf_dir).settled()
+        self.store = Store(spark, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}")
+        self.build("before", self.data.bronze)
+        periods = tables.corrected_periods(spark, sf_dir).select(F.col("period").alias("source_period"))
+        self.build("after", tables.corrected_trips(self.data.bronze.join(periods, "source_period", "left_semi")))
+
+    def build(self, run_id: str, bronze: DataFrame) -> None:
+        store, before = self.store, self.store.latest()
+        staged = classify(bronze, self.data.zones)
+        inside = bronze.groupBy("source_period").agg(F.count("*").alias("n")).collect()  # months
+        entries = [{n: None for n in ENTRY.fieldNames()} | {
+            "source": "trips", "period": r["source_period"], "bronze_rows": r["n"]} for r in inside]
+        entries, fact, _ = generations.write_trips(store, run_id, staged, entries)
+        generations.write_days(store, run_id, fact)
+        self.publish(run_id, before.entries | {("trips", e["period"]): e for e in entries}, before)
+
+    def publish(self, run_id, entries, before, change=lambda plans: plans) -> None:
+        store, live = self.store, list(entries.values())
+        marts = generations.Marts(store, run_id, change(generations.mart_plans(
+            store.read_gold("mart_zone_daily", live), store.read_gold("mart_quality", live),
+            self.data.zones, self.data.weather)))
+        marts.write()
+        marts.close()
+        record = {n: None for n in RUNS.fieldNames()} | {
+            "run_id": run_id, "status": "success", "start_time": datetime(2025, 1, 1 + before.sequence),
+            "input_rows": sum(marts.statuses.values()), "quality_warnings": marts.statuses["SUSPICIOUS"],
+            "invalid_rows": marts.statuses["INVALID"],
+            "gold_rows": marts.counts | {"fct_trips": sum(e["fact_rows"] for e in live)}}
+        append_rows(local_rows(self.spark, [record], RUNS), f"{store.root}/runs")
+        store.publish(Commit(before.sequence + 1, run_id, "1", entries), before)
+
+    def tamper(self) -> None:
+        last = self.store.latest()
+        self.publish("tampered", last.entries, last, lambda plans: plans | {
+            "mart_borough_daily": plans["mart_borough_daily"].where("borough <> 'ASIA'")})
+
+    def runs(self) -> DataFrame:
+        return read_rows(self.spark, f"{self.store.root}/runs", RUNS)
+
+
+def generation_differences(spark, d):
+    """Every row in which two stored generations differ, over the fact and all exports."""
+    return generations.differences(Published(spark, d).store, "before", "after")
+
+
+def recorded_run(spark, d):
+    """The counts that a run observed while it wrote, read back from its stored record."""
+    return generations.recorded_totals(Published(spark, d).runs(), "after")
+
+
+def stored_consistency(spark, d):
+    """Stored generations against their run records; one of them has lost rows of a mart."""
+    published = Published(spark, d)
+    published.tamper()
+    return checks.stack(
+        generations.stored_consistency(published.store, published.runs(), run_id).select(
+            F.lit(run_id).alias("run_id"), "requirement", "holds") for run_id in ("after", "tampered"))
+
+
+def _versions(spark, d) -> DataFrame:
+    """Registrations as a commit log: a commit a day and file version."""
+    place = F.instr(F.lit("ANR"), F.substring("path", -1, 1))
+    day = F.datediff(F.col("registered_at").cast("date"), F.lit("1992-01-01").cast("date"))
+    return tables.registrations(spark, d).select(
+        (day * 4 + place).cast("long").alias("sequence"), "source", "period", "path", "sha256")
+
+
+def commit_states(spark, d):
+    """What the generations of three points of the log consist of."""
+    versions = _versions(spark, d)
+    return checks.stack(commits.state(versions, upto).select(
+        F.lit(upto).cast("long").alias("upto"), "source", "period", "sequence", "path", "sha256")
+        for upto in (3000, 6000, None))
+
+
+def vacuum_plan(spark, d):
+    """File versions that no generation from a point of the log on consists of."""
+    versions = _versions(spark, d)
+    return commits.unreferenced(versions.select("path", "source", "period"), commits.live(versions, 6000), "path")
+
+
 def content_fingerprint(spark, d):
     return compare.content_fingerprint(Inputs(spark, d).fact.select(*FACT.fieldNames()))
 
@@ -517,4 +615,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "period_replacement": period_replacement,
     "snapshot_equivalence": snapshot_equivalence,
     "content_fingerprint": content_fingerprint,
+    "generation_differences": generation_differences,
+    "recorded_run": recorded_run,
+    "stored_consistency": stored_consistency,
+    "commit_states": commit_states,
+    "vacuum_plan": vacuum_plan,
 }

@@ -148,8 +148,11 @@ calendar as (
   from weather
 )"""
 
-DEMAND = """
-weather_days as (
+
+def _demand(suffix: str = "", staged: str = "") -> str:
+    staged = staged or f"staged{suffix}"
+    return f"""
+weather_days{suffix} as (
   select w.date, ifnull(d.n, 0)::bigint as trip_count,
     ifnull(d.amount, 0)::decimal(38,2) as total_amount, precipitation_mm, snowfall_mm,
     min_temperature_c, max_temperature_c, quality_flagged_values,
@@ -157,11 +160,11 @@ weather_days as (
     avg(trip_count) over (by_date rows 6 preceding) as trailing_7_day_trips
   from weather w
   left join (select date, sum(trip_count) as n, sum(total_amount) as amount
-             from zone_days group by date) d using (date)
+             from zone_days{suffix} group by date) d using (date)
   where w.date in (select date_key from calendar)
   window by_date as (order by w.date)
 ),
-quality as (
+quality{suffix} as (
   select source_period, quality_status, count(*) as trip_count,
     sum(missing_timestamp::int)::bigint as missing_timestamp,
     sum(reversed_timestamp::int)::bigint as reversed_timestamp,
@@ -174,9 +177,10 @@ quality as (
     sum(negative_money::int)::bigint as negative_money,
     sum(unusual_passengers::int)::bigint as unusual_passengers,
     sum(unusual_payment::int)::bigint as unusual_payment
-  from staged group by all
+  from {staged} group by all
 )"""
 
+
 LEDGER = """
 registered as (
   select if(l_linestatus = 'F', 'trips', 'weather') as source,
@@ -225,11 +229,11 @@ loaded as (
 )"""
 
 STEPS = ",".join([
-    RIDES, _classified(), _marts(), WEATHER, DEMAND, LEDGER, CORRECTED, _classified("_v2"), """
+    RIDES, _classified(), _marts(), WEATHER, _demand(), LEDGER, CORRECTED, _classified("_v2"), """
 replaced as (
   select * from fact where right(source_period, 2) not in ('03', '07')
   union all select * from fact_v2 where right(source_period, 2) in ('03', '07')
-)""", _marts("replaced", "_v2"), """
+)""", _marts("replaced", "_v2"), _demand("_v2"), """
 contents as (select page_id, encode(html) as content from pages)"""])
 
 
@@ -386,9 +390,7 @@ bad_fact as (
     if({_hit(139)}, 'INVALID', quality_status) as quality_status,
     if({_hit(149)}, -1, trip_distance) as trip_distance) from fact
   union all select * from fact where source_row % 97 = 0
-),{_marts("bad_fact", "_f")},{DEMAND.replace("zone_days", "zone_days_f").replace(
-    "weather_days as", "weather_days_f as").replace("quality as", "quality_f as").replace(
-    "from staged group", "from bad_staged group")},
+),{_marts("bad_fact", "_f")},{_demand("_f", "bad_staged")},
 bad_places as ({_small("places", "zone_key = 3", "zone_key = 4", "zone_key", "borough")}),
 bad_weather as (select * from ({_small(
     "weather", "dayofmonth(date) = 3", "dayofmonth(date) = 4", "date")})
@@ -407,33 +409,35 @@ CHECK_FAULTS = re.sub(
     r"\b(staged|fact|places|weather|calendar|zone_days|borough_days|weather_days|quality)\b",
     r"bad_\1", CHECK_RESULTS)
 
-CONSISTENCY = """
+def _consistency(fact: str = "fact", suffix: str = "", places: str = "true") -> str:
+    return f"""
 select unnest(['statuses_known', 'grains_unique', 'dates_unique', 'monthly_equals_retained',
     'locations_equal_retained', 'retained_equals_fact', 'source_equals_input',
     'days_as_recorded', 'periods_as_recorded', 'period_totals_as_recorded']) as requirement,
   unnest([known, grains, dates, by_month = retained, by_place = retained, retained = facts,
     classified = inputs, days = observed_days, months_match, month_totals_match]) as holds
 from (select
-  (select bool_and(quality_status in ('INVALID', 'SUSPICIOUS', 'ACCEPTED')) from quality) as known,
-  (select count(*) = count(distinct (date, borough)) from borough_days)
-    and (select count(*) = count(distinct (source_period, quality_status)) from quality) as grains,
-  (select count(*) > 0 and count(*) = count(distinct date) from weather_days) as dates,
-  (select sum(trip_count) from weather_days) as by_month,
-  (select sum(trip_count) from borough_days) as by_place,
-  (select sum(trip_count) from quality where quality_status != 'INVALID') as retained,
-  (select sum(trip_count) from quality) as classified,
-  (select count(*) from fact) as facts,
-  (select count(*) from staged) as inputs,
-  (select count(*) from weather_days) as days,
+  (select bool_and(quality_status in ('INVALID', 'SUSPICIOUS', 'ACCEPTED')) from quality{suffix}) as known,
+  (select count(*) = count(distinct (date, borough)) from borough_days{suffix})
+    and (select count(*) = count(distinct (source_period, quality_status)) from quality{suffix}) as grains,
+  (select count(*) > 0 and count(*) = count(distinct date) from weather_days{suffix}) as dates,
+  (select sum(trip_count) from weather_days{suffix}) as by_month,
+  (select sum(trip_count) from borough_days{suffix} where {places}) as by_place,
+  (select sum(trip_count) from quality{suffix} where quality_status != 'INVALID') as retained,
+  (select sum(trip_count) from quality{suffix}) as classified,
+  (select count(*) from {fact}) as facts,
+  (select count(*) from staged{suffix}) as inputs,
+  (select count(*) from weather_days{suffix}) as days,
   (select count(*) from weather) as observed_days,
-  (select count(*) from ((select distinct strftime(date, '%Y-%m') from weather_days) except
-     (select source_period from fact))) + (select count(*) from ((select source_period from fact)
-     except (select strftime(date, '%Y-%m') from weather_days))) = 0 as months_match,
+  (select count(*) from ((select distinct strftime(date, '%Y-%m') from weather_days{suffix}) except
+     (select source_period from {fact}))) + (select count(*) from ((select source_period from {fact})
+     except (select strftime(date, '%Y-%m') from weather_days{suffix}))) = 0 as months_match,
   (select count(*) from
-     (select strftime(date, '%Y-%m') as m, sum(trip_count) as n from weather_days group by m)
-     join (select source_period as m, count(*) as k from fact group by m) using (m)
+     (select strftime(date, '%Y-%m') as m, sum(trip_count) as n from weather_days{suffix} group by m)
+     join (select source_period as m, count(*) as k from {fact} group by m) using (m)
    where n != k) = 0 as month_totals_match)"""
 
+
 RUN_TOTALS = "\nunion all ".join(
     f"select '{name}' as measure, ifnull(({value}), 0)::bigint as value" for name, value in {
         "input_rows": "select count(*) from staged",
@@ -491,6 +495,61 @@ from (select source_period,
               (*MONEY, "active_pickup_zones")),
 ])
 
+FLOATS = ("passenger_count", "average_trip_distance", "average_trip_duration")
+
+
+def _differing(name: str, left: str, right: str, keys: tuple[str, ...], cells: tuple[str, ...],
+               floats: tuple[str, ...] = ()) -> str:
+    on = " and ".join(f"a.{k} is not distinct from b.{k}" for k in keys)
+    differs = " or ".join(
+        [f"a.{c} is distinct from b.{c}" for c in cells]
+        + [f"ifnull(abs(a.{c} - b.{c}) > greatest(1e-12 * greatest(abs(a.{c}), abs(b.{c})), "
+           f"1e-9), a.{c} is distinct from b.{c})" for c in floats])
+    key = ", ".join(f"ifnull(if(a.here, a.{k}, b.{k})::varchar, '~')" for k in keys)
+    return f"""select '{name}' as table_name, concat_ws('|', {key}) as key,
+  case when b.here is null then 'only_before' when a.here is null then 'only_after' else 'differing' end as kind
+from (select *, true as here from {left}) a full join (select *, true as here from {right}) b on {on}
+where b.here is null or a.here is null or {differs}"""
+
+
+CALENDAR_MONEY = ("trip_count", "total_amount")
+DIFFERENCES = "\nunion all ".join([
+    _differing("fct_trips", "fact", "replaced", ("trip_id",), (
+        "source_period", "pickup_datetime", "dropoff_datetime", "pickup_zone_key", "dropoff_zone_key",
+        "passenger_count", "trip_distance", "fare_amount", "tip_amount", "total_amount", "payment_type",
+        "quality_status")),
+    _differing("mart_zone_daily", "zone_days", "zone_days_v2", ("date", "zone_key"),
+               (*MONEY, "trips_with_passenger_count", "suspicious_trip_count"), FLOATS),
+    _differing("mart_borough_daily", "borough_days", "borough_days_v2", ("date", "borough"),
+               (*MONEY, "active_pickup_zones")),
+    _differing("mart_weather_demand", "weather_days", "weather_days_v2", ("date",),
+               (*CALENDAR_MONEY, "change_from_previous_day"), ("trailing_7_day_trips",)),
+    _differing("mart_quality", "quality", "quality_v2", ("source_period", "quality_status"),
+               ("trip_count", "invalid_distance", "zero_distance", "unknown_zone")),
+])
+RECORDED = "\nunion all ".join(
+    f"select '{name}' as measure, ifnull(({value}), 0)::bigint as value" for name, value in {
+        "input_rows": "select count(*) from staged_v2",
+        "quality_warnings": "select sum(trip_count) from quality_v2 where quality_status = 'SUSPICIOUS'",
+        "invalid_rows": "select sum(trip_count) from quality_v2 where quality_status = 'INVALID'",
+        "gold_fct_trips": "select count(*) from replaced",
+        "gold_dim_date": "select count(*) from calendar",
+        "gold_dim_zone": "select count(*) from places",
+        "gold_mart_zone_daily": "select count(*) from zone_days_v2",
+        "gold_mart_borough_daily": "select count(*) from borough_days_v2",
+        "gold_mart_weather_demand": "select count(*) from weather_days_v2",
+        "gold_mart_quality": "select count(*) from quality_v2",
+    }.items())
+STORED = "\nunion all ".join(
+    f"select '{run}' as run_id, * from ({_consistency('replaced', '_v2', places)})"
+    for run, places in (("after", "true"), ("tampered", "borough <> 'ASIA'")))
+COMMITS = """(select date_diff('day', date '1992-01-01', registered_at::date) * 4 + instr('ANR', version) as sequence,
+  source, period, path, sha256 from registered)"""
+STATES = "\nunion all ".join(
+    f"""select {upto}::bigint as upto, * from (select source, period, sequence::bigint as sequence, path, sha256 from {COMMITS}
+  where sequence <= {bound} qualify row_number() over (partition by source, period order by sequence desc) = 1)"""
+    for upto, bound in ((3000, 3000), (6000, 6000), ("null", 10**9)))
+
 FLAGS = """missing_timestamp, reversed_timestamp, outside_source_month, invalid_distance,
   invalid_money, unknown_zone, long_duration, zero_distance, negative_money, unusual_passengers,
   unusual_payment"""
@@ -580,7 +639,7 @@ from weather_days group by period""",
   sum(trip_count)::bigint as trips from borough_days group by location""",
     "report_quality_totals":
         "select quality_status, sum(trip_count)::bigint as trips from quality group by all",
-    "report_consistency": CONSISTENCY,
+    "report_consistency": _consistency(),
     "run_totals": RUN_TOTALS,
     "check_unique": CHECK_UNIQUE,
     "check_not_null": CHECK_NOT_NULL,
@@ -612,6 +671,13 @@ from ledger_now group by source, sha256 having periods > 1""",
     "period_replacement": """select trip_id, source_period, quality_status, trip_distance,
   total_amount from replaced""",
     "snapshot_equivalence": SNAPSHOT,
+    "generation_differences": DIFFERENCES,
+    "recorded_run": RECORDED,
+    "stored_consistency": STORED,
+    "commit_states": STATES,
+    "vacuum_plan": f"""select path, source, period from (
+  select *, lead(sequence) over (partition by source, period order by sequence) as next from {COMMITS})
+where next <= 6000""",
 }
 
 

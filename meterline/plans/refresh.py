@@ -7,16 +7,15 @@ import uuid
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
-from meterline.functions.expressions import period_of
 from meterline.operators import checks
 from meterline.operators.classify import classify
-from meterline.operators.dimensions import date_dimension, staged_weather, zone_dimension
-from meterline.operators.fact import trip_fact
-from meterline.operators.marts import borough_daily, status_counts, weather_demand, zone_daily
+from meterline.operators.dimensions import staged_weather
+from meterline.plans import generations
+from meterline.plans.generations import EXPORTS, Marts
 from meterline.plans.ledger import LEDGER, Ledger, period_digests
-from meterline.plans.store import EMPTY, ENTRY, STATUS_COUNTS, Commit, Store
+from meterline.plans.store import EMPTY, ENTRY, Commit, Store
 from meterline.plans.tables import append_rows, local_rows, read_rows, together
 from meterline.plans.worklist import changed_periods, detect_work, loaded_periods
 from meterline.schemas import STATION
@@ -31,12 +30,6 @@ from meterline.sources.zones import checked_zones
 # Raise this whenever a rule or schema changes: the next run then rebuilds every period.
 LOGIC_VERSION = "1"
 
-# Tables of a published report generation.
-EXPORTS = (
-    "dim_date", "dim_zone", "mart_zone_daily", "mart_borough_daily", "mart_weather_demand",
-    "mart_quality",
-)
-
 RUNS = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("start_time", T.TimestampNTZType()),
@@ -166,18 +159,20 @@ class Refresh:
 
         where["stage"] = "model_build"
         entries = self._build_gold(run_id, entries, changed)
-        tables = self._build_marts(run_id, entries)
-
-        where["stage"] = "checks"
-        outcome = self._check(entries, tables)
-        statuses = [r["status"] for r in outcome]
-        report["checks"] = {s: statuses.count(s) for s in ("pass", "warn", "fail")}
-        failed = sorted(r["check_name"] for r in outcome if r["status"] == "fail")
-        if failed:
-            raise ChecksFailed(f"checks failed: {', '.join(failed)}")
-
-        where["stage"] = "export_reporting"
-        report.update(self.export(run_id, entries, tables))
+        marts, tables = self._build_marts(run_id, entries)
+        try:
+            where["stage"] = "checks"
+            outcome = self._check(entries, tables)
+            statuses = [r["status"] for r in outcome]
+            report["checks"] = {s: statuses.count(s) for s in ("pass", "warn", "fail")}
+            failed = sorted(r["check_name"] for r in outcome if r["status"] == "fail")
+            if failed:
+                raise ChecksFailed(f"checks failed: {', '.join(failed)}")
+
+            where["stage"] = "export_reporting"
+            report.update(self.export(run_id, entries, marts))
+        finally:
+            marts.close()
 
         where["stage"] = "publication"
         store.publish(Commit(before.sequence + 1, run_id, self.logic_version, entries), before)
@@ -263,9 +258,10 @@ class Refresh:
         trips = [TripFile(p, f["path"], f["sha256"], _schema(f)) for s, p in keys if s == "trips"
                  for f in inputs[s, p]["files"]]
         weather = [(p, f["path"], _schema(f)) for s, p in keys if s == "weather" for f in inputs[s, p]["files"]]
-        jobs = []
+        jobs, seen = [], Observation()
         if trips:
-            rows = bronze_files(spark, trips).withColumn("period", F.col("source_period"))
+            rows = bronze_files(spark, trips).withColumn("period", F.col("source_period")).observe(
+                seen, F.count(F.lit(1)).alias("rows"))
             jobs.append(lambda: store.write_bronze("trips", run_id, rows))
         if weather:
             jobs.append(lambda: store.write_bronze(
@@ -279,6 +275,9 @@ class Refresh:
         together(*jobs)
 
         rows = {key: inputs[key]["row_count"] for key in keys}
+        registered = sum(n for (source, _), n in rows.items() if source == "trips")
+        if trips and (written := seen.get["rows"]) != registered:
+            raise ContractError(f"{written} trips were written to bronze, {registered} are registered", "trips")
         prints = store.fingerprints({
             key: store.bronze_folder(key[0], run_id, key[1]) for key in keys if rows[key] != 0})
         entries = {}
@@ -309,60 +308,28 @@ class Refresh:
         zones = store.read_bronze("zones", [entries["zones", "zones"]])
         rebuilt = [entries["trips", p] for p in changed]
         staged = classify(store.read_bronze("trips", rebuilt), zones)
-        by_period = F.col("source_period").alias("period")
-        together(
-            lambda: store.write_gold(
-                "fct_trips", run_id, trip_fact(staged).select("*", by_period)),
-            lambda: store.write_gold(
-                "mart_quality", run_id,
-                status_counts(staged).select("*", by_period).repartition("period")),
-        )
-        rebuilt = [e | {"gold_run": run_id} for e in rebuilt]
-        statuses = store.read_gold("mart_quality", rebuilt, STATUS_COUNTS)
-        retained = {
-            r["source_period"]: r["rows"] for r in statuses.where("quality_status <> 'INVALID'")
-            .groupBy("source_period").agg(F.sum("trip_count").alias("rows")).collect()}
-        rebuilt = [e | {"fact_rows": retained.get(e["period"], 0)} for e in rebuilt]
+        rebuilt, fact, statuses = generations.write_trips(store, run_id, staged, rebuilt)
         entries = entries | {("trips", e["period"]): e for e in rebuilt}
-        fact = store.read_gold("fct_trips", rebuilt)
         findings = checks.trip_findings(staged, fact, zones, statuses, self._scratch(run_id))
-        days = zone_daily(fact).withColumn("period", period_of(F.col("date")))
         together(
-            lambda: store.write_gold("mart_zone_daily", run_id, days.repartition("period")),
+            lambda: generations.write_days(store, run_id, fact),
             lambda: store.write_gold(
                 "trip_findings", run_id,
-                findings.select("*", by_period).repartition("period")),
+                findings.withColumn("period", F.col("source_period")).repartition("period")),
         )
         return entries
 
-    def _build_marts(self, run_id, entries) -> dict[str, DataFrame]:
-        """Dimensions and marts over everything retained, as a new report generation."""
+    def _build_marts(self, run_id, entries) -> tuple[Marts, dict[str, DataFrame]]:
+        """Dimensions and marts over everything retained, as a new report generation; they and what checks read."""
         store = self.store
         trips = [e for (s, _), e in sorted(entries.items()) if s == "trips"]
         raw_zones = store.read_bronze("zones", [entries["zones", "zones"]])
         raw_weather = store.read_bronze(
             "weather", [e for (s, _), e in sorted(entries.items()) if s == "weather"])
         weather = staged_weather(raw_weather)
-        zones = zone_dimension(raw_zones)
-        zone_day = store.read_gold("mart_zone_daily", trips)
-        calendar = date_dimension(weather)
-        plans = {
-            "dim_date": calendar, "dim_zone": zones, "mart_zone_daily": zone_day,
-            "mart_borough_daily": borough_daily(zone_day, zones),
-            "mart_weather_demand": weather_demand(zone_day, calendar, weather),
-            "mart_quality": store.read_gold("mart_quality", trips),
-        }
-
-        def write(name):
-            # A global sort: part files follow each other in order, however many there are.
-            first, second = plans[name].columns[:2]
-            folder = store.report_folder(run_id, name, "parquet")
-            plans[name].orderBy(F.asc_nulls_last(first), F.asc_nulls_last(second)) \
-                .write.option("compression", "zstd").parquet(folder)
-            return self.spark.read.schema(plans[name].schema).parquet(folder)
-
-        written = dict(zip(EXPORTS, together(*[lambda n=n: write(n) for n in EXPORTS])))
-        return written | {
+        marts = Marts(store, run_id, generations.mart_plans(
+            store.read_gold("mart_zone_daily", trips), store.read_gold("mart_quality", trips), raw_zones, weather))
+        return marts, marts.write() | {
             "raw_zones": raw_zones, "raw_weather": raw_weather, "stg_weather": weather}
 
     # --- checks ------------------------------------------------------------------------
@@ -386,37 +353,25 @@ class Refresh:
 
     # --- export and counts ---------------------------------------------------------------
 
-    def export(self, run_id, entries, tables) -> dict:
-        """CSV beside Parquet for every mart, sidecar documents, and row counts."""
+    def export(self, run_id, entries, marts) -> dict:
+        """CSV beside Parquet for every mart and sidecar documents; row counts come from the writes."""
         spark, store = self.spark, self.store
 
-        def csv(name):
-            first, second = tables[name].columns[:2]
-            tables[name].orderBy(F.asc_nulls_last(first), F.asc_nulls_last(second)) \
-                .write.option("header", "true").csv(store.report_folder(run_id, name, "csv"))
-            return tables[name].count()
-
         def sidecars():
             schemas = local_rows(
-                spark, [(n, tables[n].schema.json()) for n in EXPORTS], SCHEMAS)
+                spark, [(n, marts.tables[n].schema.json()) for n in EXPORTS], SCHEMAS)
             schemas.coalesce(1).write.json(store.report_folder(run_id, "schemas", "json"))
-            tables["mart_quality"].orderBy("source_period", "quality_status").coalesce(1) \
+            marts.tables["mart_quality"].orderBy("source_period", "quality_status").coalesce(1) \
                 .write.json(store.report_folder(run_id, "quality", "json"))
             self.ledger.current().orderBy("source", "period").coalesce(1).write.json(
                 store.report_folder(run_id, "sources", "json"))
 
-        def statuses():
-            rows = tables["mart_quality"].groupBy("quality_status").agg(
-                F.sum("trip_count").alias("n")).collect()
-            return {r["quality_status"]: r["n"] for r in rows}
-
-        *counts, _, by_status = together(
-            *[lambda n=n: csv(n) for n in EXPORTS], sidecars, statuses)
+        together(*[lambda n=n: marts.write_csv(n) for n in EXPORTS], sidecars)
         fact_rows = sum(e["fact_rows"] for (s, _), e in entries.items() if s == "trips")
         return {
-            "gold_rows": dict(zip(EXPORTS, counts)) | {"fct_trips": fact_rows},
-            "quality_warnings": by_status.get("SUSPICIOUS", 0),
-            "invalid_rows": by_status.get("INVALID", 0),
+            "gold_rows": marts.counts | {"fct_trips": fact_rows},
+            "quality_warnings": marts.statuses.get("SUSPICIOUS", 0),
+            "invalid_rows": marts.statuses.get("INVALID", 0),
         }
 
     def _repeat_counts(self, report) -> None:

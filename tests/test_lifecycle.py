@@ -236,9 +236,9 @@ def test_forced_month_outside_range(refresh):
 
 def test_failed_check_blocks_publication(refresh, landing, monkeypatch):
     register_month(refresh, landing)
-    real = module.weather_demand
+    real = module.generations.weather_demand
     monkeypatch.setattr(
-        module, "weather_demand", lambda *a: real(*a).where("trip_count = 0"))
+        module.generations, "weather_demand", lambda *a: real(*a).where("trip_count = 0"))
     with pytest.raises(ChecksFailed, match="reconciliation"):
         refresh.run("2025-01", "2025-01")
     assert refresh.store.latest().run_id is None
