@@ -234,6 +234,16 @@ replaced as (
   select * from fact where right(source_period, 2) not in ('03', '07')
   union all select * from fact_v2 where right(source_period, 2) in ('03', '07')
 )""", _marts("replaced", "_v2"), _demand("_v2"), """
+held as (
+  select * from registered where version <> 'R'
+  qualify row_number() over (partition by source, period
+    order by registered_at desc, sha256 desc, path desc) = 1
+),
+given as (
+  select * replace (if(length % 13 = 0, null, sha256) as sha256), copy::int as copy
+  from registered, range(1, 3) as copies(copy)
+  where (version = 'R' or (version = 'N' and right(period, 3) = '-06')) and (copy = 1 or row_count % 11 = 0)
+),
 contents as (select page_id, encode(html) as content from pages)"""])
 
 
@@ -668,6 +678,19 @@ qualify row_number() over (partition by source, period, sha256 order by register
     "ledger_duplicate_bytes": """select source, sha256, count(distinct period) as periods,
   min(period) as first_period, max(period) as last_period
 from ledger_now group by source, sha256 having periods > 1""",
+    "registration_outcomes": """
+select source, period, path, sha256, copy, case
+  when named > 1 then 'named_twice' when sha256 is null then 'no_digest' when again > 1 then 'twice_in_period'
+  when exists (from held k where k.source = i.source and k.sha256 = i.sha256 and k.period <> i.period
+      and (k.source, k.period) not in (select (source, period) from given))
+    or exists (from given g where g.source = i.source and g.sha256 = i.sha256 and g.period <> i.period) then 'elsewhere'
+  when not exists (from held k where k.source = i.source and k.period = i.period
+      and not exists (from given g where g.path = k.path and g.sha256 = k.sha256))
+    and not exists (from given g where g.source = i.source and g.period = i.period
+      and not exists (from held k where k.path = g.path and k.sha256 = g.sha256)) then 'unchanged'
+  else 'added' end as outcome
+from (select *, count(*) over (partition by path) as named,
+        count(sha256) over (partition by source, period, sha256) as again from given) i""",
     "period_replacement": """select trip_id, source_period, quality_status, trip_distance,
   total_amount from replaced""",
     "snapshot_equivalence": SNAPSHOT,

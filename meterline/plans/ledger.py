@@ -2,15 +2,16 @@
 from __future__ import annotations
 
 import uuid
-from collections import defaultdict
+from collections import Counter, defaultdict
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from meterline.plans.tables import append_rows, local_rows, read_rows
+from meterline.session import remove, settle
 from meterline.sources.contracts import ContractError, schema_fingerprint
 from meterline.sources.digests import file_digests
-from meterline.sources.files import qualified, scan_files
+from meterline.sources.files import qualified_all, scan_files
 from meterline.sources.trips import checked_trip_files
 from meterline.sources.weather import csv_columns
 
@@ -70,6 +71,37 @@ def duplicate_bytes(ledger: DataFrame) -> DataFrame:
     ).where("periods > 1")
 
 
+def judged(known: DataFrame, incoming: DataFrame) -> DataFrame:
+    """`incoming` files with an `outcome` each, against the files `known` as current.
+
+    In this order: named_twice (a path given more than once), no_digest,
+    twice_in_period (its bytes are given more than once for its period),
+    elsewhere (its bytes belong to another period of the source, which this
+    registration does not replace), unchanged (its period's files are just the
+    current ones) and added. Grouped counts and equi-joins only, so the work
+    grows with the number of files and not with its square.
+    """
+    period = ["source", "period"]
+    named = incoming.groupBy("path").agg((F.count("*") > 1).alias("twice"))
+    bytes_ = incoming.where("sha256 is not null").groupBy(*period, "sha256").agg((F.count("*") > 1).alias("again"))
+    clash = duplicate_bytes(
+        known.join(incoming.select(*period).distinct(), period, "left_anti")
+        .select(*period, "sha256").unionByName(incoming.where("sha256 is not null").select(*period, "sha256"))
+    ).select("source", "sha256", "first_period", "last_period")
+    # The sets are equal if as many files match as either side has.
+    files = [*period, "path", "sha256"]
+    both = known.select(*files, F.lit(1).alias("old"), F.lit(0).alias("new")).unionByName(
+        incoming.select(*files, F.lit(0).alias("old"), F.lit(1).alias("new")))
+    same = both.groupBy(*files).agg(F.sum("old").alias("old"), F.sum("new").alias("new")).groupBy(*period).agg(
+        F.bool_and(F.col("old") == F.col("new")).alias("same"))
+    outcome = F.when(F.col("twice"), "named_twice").when(F.col("sha256").isNull(), "no_digest").when(
+        F.col("again"), "twice_in_period").when(F.col("first_period").isNotNull(), "elsewhere").when(
+        F.col("same"), "unchanged").otherwise("added")
+    return incoming.join(named, "path").join(bytes_, [*period, "sha256"], "left").join(
+        clash, ["source", "sha256"], "left").join(same, period).select(
+        *incoming.columns, "first_period", "last_period", outcome.alias("outcome"))
+
+
 def broken_files(current_rows: DataFrame, digests: DataFrame) -> DataFrame:
     """Ledger rows whose file is gone or no longer has the registered bytes."""
     found = digests.select(F.col("path").alias("found_path"), F.col("sha256").alias("found_sha256"))
@@ -78,6 +110,15 @@ def broken_files(current_rows: DataFrame, digests: DataFrame) -> DataFrame:
         "source", "period", "path", "sha256", "found_sha256")
 
 
+#: What is said of a file that cannot be registered, by outcome, in the order of the rules.
+REFUSALS = {
+    "named_twice": "one registration names {path} more than once",
+    "no_digest": "no digest for {path}; it cannot be registered",
+    "twice_in_period": "two files with duplicate source bytes for {source}/{period}",
+    "elsewhere": "{source} of {first_period} and {last_period} are duplicate source bytes",
+}
+
+
 # --- the stored ledger -----------------------------------------------------------------------
 
 
@@ -109,43 +150,38 @@ class Ledger:
         is recorded unless every file passes; registering the current files of
         a period again adds nothing. Returns the number of rows added.
         """
-        files = [(source, period, qualified(self.spark, path)) for source, period, path in files]
-        for path in {path for _, _, path in files}:
-            if sum(path == other for _, _, other in files) > 1:
-                raise ContractError(f"one registration names {path} more than once")
+        if not files:
+            return 0
+        names = qualified_all(self.spark, [path for _, _, path in files])
+        files = [(source, period, path) for (source, period, _), path in zip(files, names)]
+        twice = [path for path, n in Counter(names).items() if n > 1]
+        if twice:
+            raise ContractError(f"one registration names {min(twice)} more than once")
         described = self._described(files)
         now, batch = datetime.now(timezone.utc).replace(tzinfo=None), uuid.uuid4().hex
-        found = {r["path"]: r for r in self.digests([path for _, _, path in files]).collect()}
-        incoming = []
-        for source, period, path in files:
-            if path not in found:
-                raise ContractError(f"no digest for {path}; it cannot be registered", source, period)
-            schema, rows = described[path]
-            incoming.append((source, period, path, found[path]["length"], found[path]["sha256"], rows,
-                             schema_fingerprint(schema), schema.json(), batch, now))
-        for source, period, _, _, digest, *_ in incoming:
-            if sum((source, period, digest) == (r[0], r[1], r[4]) for r in incoming) > 1:
-                raise ContractError(f"two files with duplicate source bytes for {source}/{period}", source, period)
-        incoming = local_rows(self.spark, incoming, LEDGER)
-
-        known = self.current()
-        clash = duplicate_bytes(
-            known.join(incoming.select("source", "period"), ["source", "period"], "left_anti")
-            .unionByName(incoming)
-        ).first()
-        if clash:
-            raise ContractError(
-                f"{clash['source']} of {clash['first_period']} and {clash['last_period']} are "
-                "duplicate source bytes", clash["source"])
-        # A period is new if its set of (path, digest) is not the current one.
-        listed = F.sort_array(F.collect_list(F.struct("path", "sha256"))).alias("files")
-        keys = ["source", "period"]
-        same = known.groupBy(*keys).agg(listed).join(incoming.groupBy(*keys).agg(listed), [*keys, "files"])
-        fresh = incoming.join(same.select(*keys), keys, "left_anti").select(*LEDGER.fieldNames())
-        added = fresh.count()
-        if added:
-            append_rows(fresh, self.path)
-        return added
+        given = local_rows(self.spark, [
+            (source, period, path, None, None, described[path][1], schema_fingerprint(described[path][0]),
+             described[path][0].json(), batch, now) for source, period, path in files], LEDGER)
+        digests = self.digests(names).select(F.col("path").alias("found"), "length", "sha256")
+        scratch = f"{self.path}-scratch/{batch}"
+        try:
+            # Settled, as every rule looks at the digests; each file's bytes are read once.
+            incoming = settle(given.drop("length", "sha256").join(
+                digests, F.col("path") == F.col("found"), "left").select(*LEDGER.fieldNames()), "incoming", scratch)
+            return self._record(judged(self.current(), incoming))
+        finally:
+            remove(self.spark, scratch)
+
+    def _record(self, files: DataFrame) -> int:
+        """Appends what is new, unless a file is refused."""
+        counts = {r["outcome"]: r["n"] for r in files.groupBy("outcome").agg(F.count("*").alias("n")).collect()}
+        refused = [o for o in REFUSALS if o in counts]
+        if refused:
+            row = files.where(F.col("outcome") == refused[0]).orderBy("source", "period", "path").first()
+            raise ContractError(REFUSALS[refused[0]].format(**row.asDict()), row["source"], row["period"])
+        if counts.get("added"):
+            append_rows(files.where("outcome = 'added'").select(*LEDGER.fieldNames()), self.path)
+        return counts.get("added", 0)
 
     def _described(self, files) -> dict[str, tuple[T.StructType, int]]:
         """(schema, row count) per path; rows of CSV files are counted as parsed."""

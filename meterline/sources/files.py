@@ -27,6 +27,21 @@ def qualified(spark: SparkSession, path: str) -> str:
     return system.makeQualified(file).toString()
 
 
+def qualified_all(spark: SparkSession, paths: list[str]) -> list[str]:
+    """`qualified` for many paths; each folder is asked for once."""
+    folders: dict[str, str] = {}
+    out = []
+    for path in paths:
+        folder, _, name = path.rpartition("/")
+        if not folder or not name or name in (".", ".."):
+            out.append(qualified(spark, path))
+            continue
+        if folder not in folders:
+            folders[folder] = qualified(spark, f"{folder}/x")[:-1]
+        out.append(folders[folder] + name)
+    return out
+
+
 def _uri(spark: SparkSession, path: str) -> str:
     text = spark._jvm.org.apache.hadoop.fs.Path(path).toUri().toString()
     return "file:/" + text.removeprefix("file:").lstrip("/") if text.startswith("file:/") else text

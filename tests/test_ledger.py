@@ -118,3 +118,36 @@ def test_schema_and_parsed_rows_are_kept(ledger, tmp_path):
     assert rows["zones"]["row_count"] == 2
     schema = T.StructType.fromJson(json.loads(rows["trips"]["schema_json"]))
     assert schema.fieldNames()[-1] == "extra" and len(schema) == 11
+
+
+def incoming(spark, rows):
+    """Ledger rows from (source, period, path, digest)."""
+    return spark.createDataFrame([(*r[:3], 1, r[3], 1, "", "", "b", None) for r in rows], module.LEDGER)
+
+
+def test_outcomes(spark):
+    known = incoming(spark, [("t", "p1", "a", "A"), ("t", "p1", "b", "B"), ("t", "p2", "c", "C"), ("w", "p2", "d", "D")])
+    given = incoming(spark, [
+        ("t", "p1", "a", "A"), ("t", "p1", "b", "B"), ("t", "p3", "e", "C"), ("t", "p4", "f", "F"), ("t", "p5", "g", "F"),
+        ("t", "p6", "h", "H"), ("t", "p6", "i", "H"), ("t", "p7", "j", None), ("t", "p8", "k", "K"), ("t", "p8", "k", "K"),
+        ("t", "p9", "l", "D"), ("w", "p2", "d", "D"), ("w", "p2", "m", "M")])
+    found = {(r["period"], r["path"], r["outcome"]) for r in module.judged(known, given).collect()}
+    assert found == {
+        ("p1", "a", "unchanged"), ("p1", "b", "unchanged"), ("p3", "e", "elsewhere"), ("p4", "f", "elsewhere"),
+        ("p5", "g", "elsewhere"), ("p6", "h", "twice_in_period"), ("p6", "i", "twice_in_period"), ("p7", "j", "no_digest"),
+        ("p8", "k", "named_twice"), ("p9", "l", "added"), ("p2", "d", "added"), ("p2", "m", "added")}
+
+
+def test_many_files_are_judged_by_equi_joins(spark):
+    n = 100_000
+    given = spark.range(n).select(
+        F.lit("t").alias("source"), F.concat(F.lit("p"), F.col("id") % 50).alias("period"),
+        F.concat(F.lit("f"), "id").alias("path"), F.lit(1).cast("long").alias("length"),
+        F.sha2(F.col("id").cast("string"), 256).alias("sha256"), F.lit(1).cast("long").alias("row_count"),
+        F.lit("").alias("schema_fingerprint"), F.lit("").alias("schema_json"), F.lit("b").alias("batch"),
+        F.lit(None).cast("timestamp_ntz").alias("registered_at"))
+    known = given.where("path < 'f5'")
+    out = module.judged(known, given)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan and "Window" not in plan
+    assert out.count() == n and out.where("outcome not in ('added', 'unchanged')").isEmpty()
