@@ -250,11 +250,11 @@ def run_totals(spark, d):
 
 def check_unique(spark, d):
     data = Inputs(spark, d).settled()
-    zone_day = settle(data.zone_day, "zone-day")
     frames = {
         "stg_zones": data.zones, "stg_weather": data.weather, "dim_zone": data.zones,
         "dim_date": data.calendar,
-        "mart_weather_demand": marts.weather_demand(zone_day, data.calendar, data.weather),
+        # Demand is joined to these by a grouped date, which cannot repeat one.
+        "mart_weather_demand": marts.observed_dates(data.calendar, data.weather),
     }
     return checks.stack([
         checks.trip_id_findings(data.staged),
@@ -295,11 +295,21 @@ def check_relationships(spark, d):
 
 
 def check_reconciliation(spark, d):
-    data = Inputs(spark, d).settled()
-    built = data.marts()
-    return checks.reconciliation(
-        data.fact, data.bronze, built["mart_zone_daily"], built["mart_borough_daily"],
-        built["mart_weather_demand"], built["mart_quality"])
+    """Totals of one pass over the trips, and of the marts rolled up from its groups."""
+    data = Inputs(spark, d)
+    weather = settle(data.weather, "weather")
+    totals = settle(marts.grouped_totals(data.staged), "totals")
+    zone_day = totals.where("level = 'zone_day' and trip_count > 0")
+    whole = totals.where("level = 'all'")
+    return checks.balance([
+        checks.measures(whole, facts=F.sum("trip_count"), input_rows=F.sum("row_count")),
+        checks.measures(zone_day, zone_trips=F.sum("trip_count")),
+        checks.measures(marts.borough_daily(zone_day, data.zones), borough_trips=F.sum("trip_count")),
+        checks.measures(marts.weather_demand(zone_day, date_dimension(weather), weather),
+                        weather_trips=F.sum("trip_count")),
+        checks.status_totals(totals.where("level = 'status'").select(
+            "quality_status", F.col("row_count").alias("trip_count"))),
+    ])
 
 
 def check_grains(spark, d):
@@ -455,13 +465,12 @@ def registration_outcomes(spark, d):
 def _replacement(spark, d) -> DataFrame:
     """The fact after the corrected periods replaced the old ones.
 
-    Periods are told apart on the orders: the old rows of a corrected period
-    are neither joined nor classified.
+    The orders carry a mark of the corrected periods, so line items join them
+    once, and each row is classified once, as its old or its corrected self.
     """
-    changed, zones = tables.corrected_periods(spark, d), tables.bronze_zones(spark, d)
-    kept = tables.bronze_trips(spark, d, changed, inside=False)
-    corrected = tables.corrected_trips(tables.bronze_trips(spark, d, changed))
-    return trip_fact(classify(kept, zones)).unionByName(trip_fact(classify(corrected, zones)))
+    trips = tables.bronze_trips(spark, d, tables.corrected_periods(spark, d))
+    return trip_fact(classify(
+        tables.corrected_trips(trips, F.col("marked")).drop("marked"), tables.bronze_zones(spark, d)))
 
 
 def period_replacement(spark, d):

@@ -214,16 +214,26 @@ def reconciliation(
 ) -> DataFrame:
     """One row of totals that must agree when no join lost or multiplied trips."""
     trips = F.sum("trip_count")
-    one_row = gather([
+    return balance([
         measures(fact, facts=F.count("*")),
         measures(zone_day, zone_trips=trips),
         measures(borough_day, borough_trips=trips),
         measures(weather_day, weather_trips=trips),
-        measures(quality, classified=trips,
-                 retained=F.sum(F.when(F.col("quality_status") != "INVALID", F.col("trip_count")))),
+        status_totals(quality),
         measures(bronze, input_rows=F.count("*")),
-    ], ("facts", "zone_trips", "borough_trips", "weather_trips", "retained", "input_rows",
-        "classified"))
+    ])
+
+
+def status_totals(quality: DataFrame) -> DataFrame:
+    """Measures classified and retained from trip counts per status."""
+    return measures(quality, classified=F.sum("trip_count"),
+                    retained=F.sum(F.when(F.col("quality_status") != "INVALID", F.col("trip_count"))))
+
+
+def balance(found: list[DataFrame]) -> DataFrame:
+    """One row of the measures, and whether they agree."""
+    one_row = gather(found, ("facts", "zone_trips", "borough_trips", "weather_trips", "retained", "input_rows",
+                             "classified"))
     agree = (F.col("input_rows") == F.col("classified"))
     for name in ("zone_trips", "borough_trips", "weather_trips", "retained"):
         agree = agree & (F.col("facts") == F.col(name))

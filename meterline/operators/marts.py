@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from meterline.functions.expressions import money
 from meterline.schemas import FLAGS
 
 TOTAL = "decimal(38,2)"
@@ -46,6 +47,30 @@ def daily_demand(zone_day: DataFrame) -> DataFrame:
         F.sum("trip_count").alias("trip_count"), _total("total_amount"))
 
 
+def grouped_totals(staged: DataFrame) -> DataFrame:
+    """(level, date, zone_key, source_period, quality_status, row_count, trip_count, fare_amount, total_amount).
+
+    One pass over the trips for three levels: zone_day, status (of a period)
+    and all. row_count counts all rows; the others the retained ones, with the
+    fact's exact money. Every level aggregates partially.
+    """
+    retained = F.col("quality_status") != "INVALID"
+    rows = staged.select(
+        F.col("pickup_date").alias("date"), F.col("pickup_zone_key").alias("zone_key"), "source_period",
+        "quality_status", retained.alias("retained"),
+        *[F.when(retained, money(F.col(n))).alias(n) for n in ("fare_amount", "total_amount")])
+    columns = ["date", "zone_key", "source_period", "quality_status"]
+    grouped = rows.groupingSets([columns[:2], columns[2:], []], *columns).agg(
+        F.grouping_id().alias("level"), F.count("*").alias("row_count"),
+        F.count_if("retained").alias("trip_count"), _total("fare_amount"), _total("total_amount"))
+    level = F.when(F.col("level") == 0b0011, "zone_day").when(F.col("level") == 0b1100, "status").otherwise("all")
+    return grouped.withColumn("level", level)
+
+
+def observed_dates(calendar: DataFrame, weather: DataFrame) -> DataFrame:
+    return calendar.select(F.col("date_key").alias("date")).join(weather, "date")
+
+
 def weather_demand(zone_day: DataFrame, calendar: DataFrame, weather: DataFrame) -> DataFrame:
     """Observed weather dates with demand (zero when there was none).
 
@@ -53,8 +78,7 @@ def weather_demand(zone_day: DataFrame, calendar: DataFrame, weather: DataFrame)
     day whatever the trip volume, so a single ordered task is the right size.
     They count rows, not days, and so bridge gaps in the calendar.
     """
-    observed = calendar.select(F.col("date_key").alias("date")).join(weather, "date")
-    daily = observed.join(daily_demand(zone_day), "date", "left").select(
+    daily = observed_dates(calendar, weather).join(daily_demand(zone_day), "date", "left").select(
         "date",
         F.coalesce("trip_count", F.lit(0)).alias("trip_count"),
         F.coalesce("total_amount", F.lit(0)).cast(TOTAL).alias("total_amount"),

@@ -7,7 +7,7 @@ run on it exactly as on raw files.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from meterline.functions.expressions import period_of
 from meterline.plans.ledger import LEDGER, current
@@ -56,12 +56,12 @@ def _rides(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_trips(
-    spark: SparkSession, sf_dir: str, periods: DataFrame | None = None, inside: bool = True,
+    spark: SparkSession, sf_dir: str, marked: DataFrame | None = None,
 ) -> DataFrame:
     """Bronze trips. Line items are shuffled for orders and suppliers only.
 
-    With `periods` (column period), trips of those periods alone, or of all
-    others; the orders are filtered before the line items join them.
+    With `marked` (column period), a column of that name tells the trips of
+    those periods; the orders carry it through their one join with the line items.
 
     Customers are resolved on the (four times smaller) order side first. Both
     sides of the order join grow with the data and neither may ever be copied
@@ -75,9 +75,11 @@ def bronze_trips(
         "substring(string(date(o_orderdate)), 1, 7) as source_period",
         "bigint(substring(o_orderpriority, 1, 1)) as priority",
     )
-    if periods is not None:
-        chosen = periods.select(F.col("period").alias("source_period"))
-        orders = orders.join(chosen, "source_period", "left_semi" if inside else "left_anti")
+    more = []
+    if marked is not None:
+        chosen = marked.select(F.col("period").alias("source_period"), F.lit(True).alias("marked")).distinct()
+        orders = orders.join(chosen, "source_period", "left")
+        more = [F.coalesce("marked", F.lit(False)).alias("marked")]
     suppliers = _table(spark, sf_dir, "supplier").selectExpr(
         "s_suppkey as l_suppkey", "bigint(s_nationkey) as DOLocationID")
     trips = _rides(spark, sf_dir).join(orders.hint("merge"), "l_orderkey").selectExpr(
@@ -89,7 +91,7 @@ def bronze_trips(
         "coalesce(odd_payment, priority) as payment_type",
         "sha2(concat_ws('/', source_period, source_file), 256) as source_sha256",
     )
-    return trips.join(suppliers, "l_suppkey").select(*TRIPS.fieldNames())
+    return trips.join(suppliers, "l_suppkey").select(*TRIPS.fieldNames(), *more)
 
 
 def bronze_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,10 +144,11 @@ def bronze_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observations(raw_weather(spark, sf_dir))
 
 
-def corrected_trips(bronze: DataFrame) -> DataFrame:
-    """A later version of the trips: July wholly invalid, every second March row too."""
+def corrected_trips(bronze: DataFrame, which: Column | None = None) -> DataFrame:
+    """A later version of the trips (of those that `which` tells): July wholly invalid, every second March row too."""
     month = F.substring("source_period", 6, 2)
     broken = (month == "07") | ((month == "03") & (F.col("source_row") % 2 == 0))
+    broken = broken if which is None else which & broken
     return bronze.withColumn(
         "trip_distance", F.when(broken, -1.0).otherwise(F.col("trip_distance")))
 

@@ -59,16 +59,25 @@ def test_order_join_is_never_broadcast(spark):
     assert "SortMergeJoin [l_orderkey" in plan
 
 
-def test_only_changed_periods_are_built_again(spark):
-    """Periods are filtered on the orders, below the join with the line items."""
+def test_a_correction_is_carried_by_the_orders(spark):
+    """Line items join the orders once; the mark of the corrected periods is joined to the orders, below that."""
     plan = plan_of(QUERIES["period_replacement"](spark, FOLDER)).split("== Optimized Logical Plan ==")[1]
     plan = plan.split("== Physical Plan ==")[0].splitlines()
     depth = lambda line: len(line) - len(line.lstrip(" :+-"))
-    joins = [i for i, line in enumerate(plan) if "Join" in line and "l_orderkey" in line]
-    filters = [i for i, line in enumerate(plan) if "Join LeftSemi" in line or "Join LeftAnti" in line]
-    assert len(joins) == 2 and len(filters) == 2
-    for join, chosen in zip(joins, filters):
-        assert chosen > join and depth(plan[chosen]) > depth(plan[join])
+    join, = [i for i, line in enumerate(plan) if "Join" in line and "l_orderkey" in line]
+    mark, = [i for i, line in enumerate(plan) if "Join LeftOuter" in line and "source_period" in line]
+    assert mark > join and depth(plan[mark]) > depth(plan[join])
+    assert sum("lineitem" in line or "l_orderkey" in line and "Relation" in line for line in plan) == 1
+
+
+def test_totals_are_reconciled_in_one_pass(spark, monkeypatch):
+    """Trips are classified for one settled aggregate; nothing else reads the line items but the weather."""
+    settled, real = {}, catalogue.settle
+    monkeypatch.setattr(catalogue, "settle", lambda df, label: settled.setdefault(label, plan_of(df)) and real(df, label))
+    plan = plan_of(QUERIES["check_reconciliation"](spark, FOLDER))
+    assert set(settled) == {"weather", "totals"} and "lineitem" not in plan
+    scans = [s for s in settled["totals"].split("== Physical Plan ==")[1].splitlines() if "FileScan" in s and "lineitem" in s]
+    assert len(scans) == 1
 
 
 def test_every_check_finds_planted_faults(spark):
