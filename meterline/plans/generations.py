@@ -32,9 +32,9 @@ def write_trips(
     """Fact and quality rows of the periods in `entries`; the entries with their new folders and counts, fact, statuses."""
     by_period = F.col("source_period").alias("period")
     together(
-        lambda: store.write_gold("fct_trips", run_id, trip_fact(staged).select("*", by_period)),
-        lambda: store.write_gold(
-            "mart_quality", run_id, status_counts(staged).select("*", by_period).repartition("period")),
+        # Tasks read bronze files of a period each, which are large or were rebalanced: no shuffle.
+        lambda: store.write_gold("fct_trips", run_id, trip_fact(staged).select("*", by_period), rebalance=False),
+        lambda: store.write_gold("mart_quality", run_id, status_counts(staged).select("*", by_period)),
     )
     entries = [e | {"gold_run": run_id} for e in entries]
     statuses = store.read_gold("mart_quality", entries, STATUS_COUNTS)
@@ -47,7 +47,7 @@ def write_trips(
 
 def write_days(store: Store, run_id: str, fact: DataFrame) -> None:
     days = zone_daily(fact).withColumn("period", period_of(F.col("date")))
-    store.write_gold("mart_zone_daily", run_id, days.repartition("period"))
+    store.write_gold("mart_zone_daily", run_id, days)
 
 
 def mart_plans(zone_day: DataFrame, quality: DataFrame, raw_zones: DataFrame, weather: DataFrame) -> dict[str, DataFrame]:

@@ -30,6 +30,9 @@ from meterline.sources.zones import checked_zones
 # Raise this whenever a rule or schema changes: the next run then rebuilds every period.
 LOGIC_VERSION = "1"
 
+#: Files smaller than this on average are brought together when bronze is written.
+SMALL_FILE = 32 * 1024 * 1024
+
 RUNS = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("start_time", T.TimestampNTZType()),
@@ -71,6 +74,11 @@ def _schema(row: Row) -> T.StructType:
     return T.StructType.fromJson(json.loads(row["schema_json"]))
 
 
+def many_small(lengths: list[int], periods: int) -> bool:
+    """Whether raw files are so many and small that copying them file by file would give small bronze files."""
+    return len(lengths) > 2 * periods and sum(lengths) < SMALL_FILE * len(lengths)
+
+
 class ChecksFailed(RuntimeError):
     """A check of severity error found violations; nothing was published."""
 
@@ -262,11 +270,13 @@ class Refresh:
         if trips:
             rows = bronze_files(spark, trips).withColumn("period", F.col("source_period")).observe(
                 seen, F.count(F.lit(1)).alias("rows"))
-            jobs.append(lambda: store.write_bronze("trips", run_id, rows))
+            jobs.append(lambda: store.write_bronze("trips", run_id, rows, many_small([
+                f["length"] for s, p in keys if s == "trips" for f in inputs[s, p]["files"]],
+                sum(s == "trips" for s, _ in keys))))
         if weather:
             jobs.append(lambda: store.write_bronze(
                 "weather", run_id,
-                checked_weather(spark, weather, self.station).repartition("period")))
+                checked_weather(spark, weather, self.station), rebalance=True))
         if ("zones", "zones") in keys:
             path = inputs["zones", "zones"]["files"][0]["path"]
             jobs.append(lambda: store.write_bronze(
@@ -315,7 +325,7 @@ class Refresh:
             lambda: generations.write_days(store, run_id, fact),
             lambda: store.write_gold(
                 "trip_findings", run_id,
-                findings.withColumn("period", F.col("source_period")).repartition("period")),
+                findings.withColumn("period", F.col("source_period"))),
         )
         return entries
 

@@ -126,15 +126,26 @@ class Store:
 
     # --- bronze ------------------------------------------------------------------------
 
-    def write_bronze(self, source: str, run_id: str, rows: DataFrame) -> None:
+    def write_bronze(self, source: str, run_id: str, rows: DataFrame, rebalance: bool = False) -> None:
         """`rows` carry a `period` column, which names the folder.
 
         Row groups are small enough that a file of any size splits well.
         """
-        rows.write.option("compression", "zstd").option(
+        self._by_period(rows, rebalance).write.option("compression", "zstd").option(
             "parquet.block.size", ROW_GROUP_BYTES
         ).partitionBy("period").parquet(f"{self.root}/bronze/{source}/run={run_id}")
 
+    @staticmethod
+    def _by_period(rows: DataFrame, rebalance: bool) -> DataFrame:
+        """With `rebalance`, rows dealt anew by period and measured size.
+
+        Spark merges small periods into one task and splits a period beyond its
+        advisory partition size over several, so a period gets about as many
+        files as its bytes ask for. Rows whose tasks already hold large pieces
+        of few periods, such as a scan of large files, need no such shuffle.
+        """
+        return rows.hint("rebalance", F.col("period")) if rebalance else rows
+
     def read_bronze(self, source: str, entries: list[dict]) -> DataFrame:
         """Columns are matched by name; folder names never become columns."""
         return self._read(BRONZE_SCHEMAS[source], [
@@ -166,12 +177,12 @@ class Store:
 
     # --- gold --------------------------------------------------------------------------
 
-    def write_gold(self, table: str, run_id: str, rows: DataFrame) -> None:
+    def write_gold(self, table: str, run_id: str, rows: DataFrame, rebalance: bool = True) -> None:
         """`rows` carry a `period` column; schema-stable columns stay in the files.
 
         Trip ids never repeat, so no dictionary is tried for them.
         """
-        rows.write.option("compression", "zstd").option(
+        self._by_period(rows, rebalance).write.option("compression", "zstd").option(
             "parquet.enable.dictionary#trip_id", "false"
         ).option("parquet.block.size", ROW_GROUP_BYTES).partitionBy("period").parquet(f"{self.root}/gold/{table}/run={run_id}")
 

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterline.plans import commits as log
-from meterline.plans.refresh import Refresh
+from meterline.plans.refresh import Refresh, many_small
 from meterline.plans.store import COMMITS, ENTRY, Commit, Store
 from meterline.plans.tables import local_rows
 from tests.inputs import register_month
@@ -100,3 +100,30 @@ def test_folders_of_failed_runs_go(spark, tmp_path):
         f"{tmp_path}/gold/fct_trips/run=failed")
     assert store.vacuum(1) == [f"file:{tmp_path}/gold/fct_trips/run=failed/period=p1"]
     assert not list((tmp_path / "gold").rglob("*.parquet"))
+
+
+def test_files_follow_the_size_of_a_period(spark, tmp_path):
+    """Forty tasks with rows of all twelve months: a file per small month, several for the hot one."""
+    store = Store(spark, f"file:{tmp_path}")
+    month = F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id") % 12 + 1).cast("string")
+    rows = spark.range(0, 400_000, 1, 40).select(
+        F.concat(F.lit("p"), month).alias("period"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")  # so that few months share a reducer with the hot one
+    try:
+        for rebalance in (True, False):
+            store.write_gold("t", f"r{rebalance}", rows, rebalance)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    count = lambda run, p: len(list((tmp_path / "gold" / "t" / f"run={run}" / f"period={p}").glob("part-*")))
+    assert 3 <= count("rTrue", "p1") <= 12 and all(count("rTrue", f"p{m}") <= 3 for m in (2, 4, 6, 8, 10, 12))
+    assert count("rFalse", "p1") == 40 == count("rFalse", "p4")
+    read = spark.read.parquet(f"{tmp_path}/gold/t/run=rTrue")
+    assert read.count() == 400_000 and read.select("text").distinct().count() == 400_000
+    plan = store._by_period(rows, True)._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan and "Sort" not in plan
+
+
+def test_small_files_are_told_from_large_ones():
+    assert many_small([1000] * 30, 10) and not many_small([1000] * 20, 10) and not many_small([2**27] * 30, 10)
