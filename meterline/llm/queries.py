@@ -164,9 +164,9 @@ def _repair_sql() -> str:
         d as (select conv_id, turn, case when hit = 4 then 'user' else role end as role,
                      case hit when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
               from h, range(2) as copies(copy) where hit <> 0 and (copy = 0 or hit = 3)),
-        o as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as place,
-                     row_number() over (partition by conv_id, role, text order by turn nulls first) as nth,
-                     regexp_replace(text, '[\x20\x09-\x0D]+$', '') as body from d),
+        r as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as place from d),
+        o as (select *, row_number() over (partition by conv_id, role, text order by place) as nth,
+                     regexp_replace(text, '[\x20\x09-\x0D]+$', '') as body from r),
         f as (select *, case when body = '' then 'blank' when nth > 1 then 'duplicate'
                              when right(body, 1) not in ('.', '!', '?') then 'truncated' else '' end as fault,
                      lag(role) over (partition by conv_id order by place) as before from o),
