@@ -1,8 +1,11 @@
 """Benchmark decontamination: exact pieces by the pigeonhole principle, then Myers' distance.
 
-An item that occurs in a text with at most k edits, cut into k + 1 pieces, has
-a piece that occurs unchanged. One automaton finds all pieces of a block of
-items in one pass over a text, and only the places around hits are verified.
+An item is searched by its passages: windows of a fixed length, each starting
+half a window behind the one before; an item of one window or less is a passage
+itself. A passage that occurs in a text with at most k edits, cut into k + 1
+pieces, has a piece that occurs unchanged. One automaton finds all pieces of a
+block of items in one pass over a text, and only the places around hits are
+verified. A passage too short for any edit is searched as whole words.
 """
 from __future__ import annotations
 
@@ -13,10 +16,12 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from meterline.llm.common import ship, written
+
 #: Edits allowed per character of an item, and the shortest piece that is searched.
 EDIT_RATE, PIECE_CHARS = 0.06, 16
-#: Longer items are searched passage by passage; shorter ones only as a whole text.
-PASSAGE_CHARS, LEAST_CHARS = 512, 24
+#: Characters of a passage.
+PASSAGE_CHARS = 256
 #: Characters of items that one pass over the documents takes along.
 BLOCK_CHARS = 4_000_000
 _NO_WORD = re.compile(r"[\W_]+")
@@ -29,19 +34,9 @@ def normal(text: str | None) -> str:
 
 
 def passages(text: str) -> list[str]:
-    """`text` cut at blanks into passages of nearly equal length, if it is long."""
-    if len(text) <= 2 * PASSAGE_CHARS:
-        return [text]
-    out, start = [], 0
-    while start < len(text):
-        end = start + PASSAGE_CHARS
-        if len(text) - end < PASSAGE_CHARS // 2:
-            end = len(text)
-        elif (cut := text.find(" ", end, end + PASSAGE_CHARS // 4)) >= 0:
-            end = cut
-        out.append(text[start:end].strip())
-        start = end
-    return [p for p in out if p]
+    """The windows of `text`; the last one ends where the text does."""
+    last = max(0, len(text) - PASSAGE_CHARS)
+    return [text[i:i + PASSAGE_CHARS] for i in [*range(0, last, PASSAGE_CHARS // 2), last]]
 
 
 def budget(size: int) -> int:
@@ -92,17 +87,15 @@ class Matcher:
 
     def __init__(self, items: list[tuple[int, str]]):
         import ahocorasick
-        self.units, self.whole, found = [], defaultdict(list), defaultdict(list)
+        self.units, found = [], defaultdict(list)
         for item, text in items:
-            if not text:
-                continue
-            if len(text) < LEAST_CHARS:
-                self.whole[text].append(item)
-                continue
-            for passage in passages(text):
+            for passage in passages(text) if text else ():
                 errors = budget(len(passage))
-                for offset, piece in pieces(passage, errors):
-                    found[piece].append((len(self.units), offset))
+                if errors:
+                    for offset, piece in pieces(passage, errors):
+                        found[piece].append((len(self.units), offset))
+                else:
+                    found[f" {passage} "].append((len(self.units), -1))
                 self.units.append((item, passage, errors))
         self.automaton = ahocorasick.Automaton() if found else None
         for piece, places in found.items():
@@ -112,12 +105,14 @@ class Matcher:
 
     def occurrences(self, text: str) -> dict[int, tuple[int, int]]:
         """item -> (distance, end) of its best occurrence in the normal form `text`."""
-        out = {item: (0, len(text)) for item in self.whole.get(text, ())}
-        spans = defaultdict(list)
-        for end, (size, places) in self.automaton.iter(text) if self.automaton else ():
+        out, spans = {}, defaultdict(list)
+        for end, (size, places) in self.automaton.iter(f" {text} ") if self.automaton else ():
             for unit, offset in places:
-                _, passage, errors = self.units[unit]
-                start = end + 1 - size - offset
+                item, passage, errors = self.units[unit]
+                start = end - size - offset  # in `text`, which has no blank in front
+                if not errors:
+                    out[item] = min(out.get(item, (0, start + len(passage))), (0, start + len(passage)))
+                    continue
                 lo, hi = max(0, start - errors), start + len(passage) + errors
                 around = spans[unit]
                 if around and lo <= around[-1][1]:
@@ -152,22 +147,26 @@ def _search(items, key: str):
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """(doc_id, item_id, distance, end): every document that holds a benchmark item, or a passage of a long one.
-
-    Texts are compared as lower-case words. An item of n characters may differ
-    by EDIT_RATE * n edits; `end` is where its best occurrence ends in the
-    document's normal form. Documents are never shuffled: the items go to them
-    in blocks of about BLOCK_CHARS characters, each block one pass.
-
-    Null or empty items match nothing and null or empty texts hold nothing; an
-    item below LEAST_CHARS characters matches only a text equal to it; repeated
-    documents are each reported, repeated items once by their item_id; an item
+    """(doc_id, item_id, distance, end): every document that holds a passage of a benchmark item.
+
+    Texts are compared as lower-case words. A passage of n characters may
+    differ by EDIT_RATE * n edits, as long as its pieces keep PIECE_CHARS
+    characters, so one below twice that has to occur as it is, between blanks.
+    `distance` and `end` are those of the item's best passage, `end` in the
+    document's normal form. So any run of one and a half passages of an item is
+    found, and a shorter item wherever it stands in a text. Documents are never
+    shuffled: the items go to them in blocks of about BLOCK_CHARS characters,
+    each block one pass. Of several blocks, each is collected, sent, searched
+    and let go of before the next.
+
+    Null or empty items match nothing and null or empty texts hold nothing; repeated documents are each reported, repeated items once by their item_id; an item
     without item_id is reported without one; other columns are ignored; empty
     tables give no rows.
     """
     import uuid
 
     spark = docs.sparkSession
+    ship(spark)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     base = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(
         F.length("text") > 0)
@@ -179,6 +178,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
         rows = placed.where(F.col("block") == block).select("item_id", "text").distinct().collect()
         shared = spark.sparkContext.broadcast([(r["item_id"], normal(r["text"])) for r in rows])
         found = base.mapInArrow(_search(shared, uuid.uuid4().hex), "doc_id long, item_id long, distance long, end long")
+        if blocks > 1:
+            found = written(found, "contaminated")
+            shared.unpersist()
         out = found if out is None else out.unionByName(found)
     return out
 
