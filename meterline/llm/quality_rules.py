@@ -26,10 +26,12 @@ MEASURES = {
     "repeat_share": (False, 0.98, 0.25),
     "upper_share": (False, 0.85, 1.0),
 }
+SKETCHED = (*MEASURES, "n_words")
 REACH = 4.0
 #: Where a group has next to no spread: a share may exceed the quantile by this
-#: part of it, and any measure by one word of the fewest that pass the base rules.
-EVEN, GRAIN = 0.25, 1 / 50
+#: part of it, and any measure by one word in a document of the group's shorter
+#: ones, which are those at this rank of the word counts.
+EVEN, SHORTER = 0.25, 0.15
 #: Accuracy of the sketches; ranks are off by about half a percent.
 SKETCH = 800
 MIN_GROUP = 200
@@ -81,19 +83,21 @@ def thresholds(counts: DataFrame, min_group: int = MIN_GROUP, reach: float = REA
     language, and a language of fewer those of all documents.
     """
     groups = counts.where("not base_failed").groupBy("lang", "source").agg(
-        F.count("*").alias("n"), *[F.kll_sketch_agg_double(F.col(m), F.lit(SKETCH)).alias(m) for m in MEASURES])
+        F.count("*").alias("n"), *[F.kll_sketch_agg_double(F.col(m).cast("double"), F.lit(SKETCH)).alias(m)
+                                   for m in SKETCHED])
     groups = written(groups, "sketches", compact=True)
     by_lang = groups.groupBy("lang").agg(
-        F.sum("n").alias("n"), *[F.kll_merge_agg_double(m, F.lit(SKETCH)).alias(m) for m in MEASURES])
-    overall = groups.agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(m, F.lit(SKETCH)).alias(m) for m in MEASURES])
+        F.sum("n").alias("n"), *[F.kll_merge_agg_double(m, F.lit(SKETCH)).alias(m) for m in SKETCHED])
+    overall = groups.agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(m, F.lit(SKETCH)).alias(m) for m in SKETCHED])
 
     def fences(df: DataFrame, level: str) -> DataFrame:
         out = []
+        grain = 1 / F.greatest(F.lit(1.0), F.kll_sketch_get_quantile_double(F.col("n_words"), F.lit(SHORTER)))
         for m, (below, rank, part) in MEASURES.items():
             q = F.kll_sketch_get_quantile_double(F.col(m), F.array(F.lit(1 - rank), F.lit(0.5), F.lit(rank)))
             even = F.lit(0.0) if below else EVEN * q[2]
-            up = F.greatest(reach * part * (q[2] - q[1]), even, F.lit(GRAIN))
-            down = F.greatest(reach * part * (q[1] - q[0]), F.lit(GRAIN))
+            up = F.greatest(reach * part * (q[2] - q[1]), even, grain)
+            down = F.greatest(reach * part * (q[1] - q[0]), grain)
             out.append(F.struct((q[0] - down if below else F.lit(None).cast("double")).alias("low"),
                                 (q[2] + up).alias("high")).alias(m))
         return df.select(*[c for c in ("lang", "source") if c in df.columns],
@@ -115,19 +119,20 @@ def judge(docs: DataFrame, min_group: int = MIN_GROUP, reach: float = REACH) ->
     3-word windows. kept: not base_failed, and every measure inside the fences
     of its language and source. A null or empty text has no words and fails;
     null languages and sources form groups of their own; repeated rows count
-    each time; other columns are ignored; an empty table gives no rows.
+    each time. Ranks of the sketches are off by about half a percent and depend
+    on the order of their rows, so a document that close to a fence may be
+    judged otherwise in another run. Other columns are ignored; an empty table gives no rows.
     """
     counts = base_counts(docs).withColumn("base_failed", (F.col("n_words") < 50) | (
         100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     counts = written(counts.select("*", *[c.alias(m) for m, c in _measures().items()]), "counts", compact=True)
     fences = thresholds(counts, min_group, reach).select(
-        F.coalesce("lang", F.lit("\0")).alias("_l"), F.coalesce("source", F.lit("\0")).alias("_s"),
+        F.col("lang").alias("_l"), F.col("source").alias("_s"),
         *[f"{s}_{m}" for m in MEASURES for s in ("low", "high")])
     inside = reduce(lambda a, b: a & b, [
         F.col(m).between(F.coalesce(F.col(f"low_{m}"), F.lit(float("-inf"))), F.col(f"high_{m}"))
         for m in MEASURES])
-    joined = counts.join(fences, (F.coalesce("lang", F.lit("\0")) == F.col("_l"))
-                         & (F.coalesce("source", F.lit("\0")) == F.col("_s")), "left")
+    joined = counts.join(fences, F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")), "left")
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & F.coalesce(inside, F.lit(True))).alias("kept"), *MEASURES)

@@ -149,7 +149,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """(text, toxic, same) of at most `rows` labelled documents outside the held-out fold.
+    """(text, toxic, same) of at most `rows` labelled documents outside the held-out fold; one text of each doc_id.
 
     `same` is shared by most copies of a text (two minimum hashes of its long
     words), so that a text in many copies counts as few pieces of evidence.
@@ -159,7 +159,7 @@ def _training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     chosen = chosen.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(
         F.xxhash64("doc_id"), "doc_id").limit(rows)
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).join(
-        F.broadcast(chosen), "doc_id")
+        F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     words = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.length(w) >= 5)
     return picked.select("text", "toxic", words.alias("words")).select(
         "text", "toxic", F.xxhash64(

@@ -53,7 +53,7 @@ def test_thresholds_follow_their_group(spark):
     rows = [(i, "en", s, share + (i % 7) / 1000) for i in range(900)
             for s, share in (("symbols", 2.0), ("plain", 0.0))] + [(1, "en", "tiny", 0.0)]
     made = spark.createDataFrame(rows, "doc_id long, lang string, source string, symbol_share double").select(
-        "*", F.lit(False).alias("base_failed"),
+        "*", F.lit(False).alias("base_failed"), F.lit(50).cast("long").alias("n_words"),
         *[F.lit(0.0).alias(m) for m in q.MEASURES if m != "symbol_share"])
     t = {r["source"]: r["high_symbol_share"] for r in q.thresholds(made).collect()}
     assert 2.4 < t["symbols"] < 2.7 and t["plain"] < 0.6
@@ -75,7 +75,7 @@ def test_fences_are_as_wide_as_their_group(spark):
             for i in range(1010) for s, spread in (("even", 0.01), ("mixed", 0.05))]
     made = spark.createDataFrame(
         rows, "doc_id long, lang string, source string, symbol_share double, word_length double").select(
-        "*", F.lit(False).alias("base_failed"),
+        "*", F.lit(False).alias("base_failed"), F.lit(50).cast("long").alias("n_words"),
         *[F.lit(0.0).alias(m) for m in q.MEASURES if m not in ("symbol_share", "word_length")])
     t = {r["source"]: r for r in q.thresholds(made).collect()}
     assert 0.11 < t["even"]["high_symbol_share"] < 0.16 < 0.25 < t["mixed"]["high_symbol_share"] < 0.3
@@ -84,6 +84,53 @@ def test_fences_are_as_wide_as_their_group(spark):
     assert all(r["high_repeat_share"] < 0.05 for r in t.values())
 
 
+def test_the_floor_follows_the_lengths_of_a_group(spark):
+    rows = [(i, "en", s, n) for i in range(300) for s, n in (("short", 60 + i % 5), ("long", 900 + i % 90))]
+    made = spark.createDataFrame(rows, "doc_id long, lang string, source string, n_words long").select(
+        "*", F.lit(False).alias("base_failed"), *[F.lit(0.0).alias(m) for m in q.MEASURES])
+    t = {r["source"]: r["high_symbol_share"] for r in q.thresholds(made).collect()}
+    assert 1 / 62 < t["short"] < 1 / 59 and 1 / 925 < t["long"] < 1 / 899
+
+
+def test_null_and_odd_group_names_stay_apart(spark):
+    names = [(None, None), ("\0", None), (None, "\0"), ("\0", "\0"), ("", "")]
+    docs = spark.createDataFrame([(i, "w " * 60, *names[i % 5]) for i in range(10)],
+                                 "doc_id long, text string, lang string, source string")
+    assert sorted(r["doc_id"] for r in q.judge(docs).collect()) == list(range(10))
+
+
+def test_verdicts_equal_exact_quantiles(spark):
+    """Fences from sorted values instead of sketches; documents within a rank's error of a fence may go either way."""
+    docs = documents(spark, SF)
+    rows = [r.asDict() for r in q.judge(docs).join(docs.select("doc_id", "lang", "source"), "doc_id").collect()]
+    passed = [r for r in rows if not r["base_failed"]]
+    sizes = Counter((r["lang"], r["source"]) for r in passed)
+    langs = Counter(r["lang"] for r in passed)
+
+    def at(values, rank):
+        return values[min(len(values) - 1, max(0, round(rank * len(values)) - 1))]
+
+    def inside(r, off):
+        own = sizes[r["lang"], r["source"]] >= q.MIN_GROUP
+        group = [x for x in passed if (not own or x["source"] == r["source"]) and (
+            langs[r["lang"]] < q.MIN_GROUP or x["lang"] == r["lang"])]
+        key = (own and r["source"], langs[r["lang"]] >= q.MIN_GROUP and r["lang"], off)
+        if key not in known:
+            grain = 1 / at(sorted(x["n_words"] for x in group), q.SHORTER + off)
+            known[key] = {}
+            for m, (below, rank, part) in q.MEASURES.items():
+                v = sorted(x[m] for x in group)
+                low, mid, high = at(v, 1 - rank - off), at(v, 0.5 + off), at(v, rank + off)
+                up = max(q.REACH * part * (high - mid), 0 if below else q.EVEN * high, grain)
+                down = max(q.REACH * part * (mid - low), grain)
+                known[key][m] = (low - down if below else float("-inf"), high + up)
+        return all(a <= r[m] <= b for m, (a, b) in known[key].items())
+    known = {}
+    clear = [r for r in passed if inside(r, 0.02) == inside(r, 0) == inside(r, -0.02)]
+    assert len(clear) > 0.8 * len(passed)
+    assert [r["doc_id"] for r in clear if r["kept"] != inside(r, 0)] == []
+
+
 def test_no_python_in_the_plan(spark):
     plan = q.judge(documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
