@@ -1,6 +1,9 @@
 """URL filtering: listed host and path rules, else association rules mined by FP-growth."""
 from __future__ import annotations
 
+import math
+import re
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -54,17 +57,55 @@ def url_items(url: Column) -> Column:
         .otherwise(F.expr("cast(array() as array<string>)"))
 
 
+def rule_tokens(rules: list[tuple[str, str]]) -> list[str]:
+    """The tokens that hosts and paths of listed rules bring into every url they fit.
+
+    Such a token goes with a label because the label was given for it; it says
+    nothing about other urls.
+    """
+    out = set()
+    for text, _ in rules:
+        host, _, path = text.lower().partition("/")
+        for kind, at, part in (("host:", r"\.", host), ("path:", r"[/._-]+", path)):
+            out |= {kind + x for x in re.split(at, re.sub("[0-9]+", "0", part)) if x}
+    return sorted(out)
+
+
+def token_classes(labelled: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
+    """(item, token_class, n): the tokens that can be part of a rule.
+
+    Tokens that occur in exactly the same labelled sets (told by two sums of
+    the sets' hashes) are one class, named by its least token: no rule can tell
+    them apart. Tokens of too few blocked urls are left out. There are at most
+    (tokens of a url) / min_support of them.
+    """
+    sets = labelled.groupBy("items").agg(F.count("*").alias("n"), F.count_if("blocked").alias("k"))
+    total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    each = sets.select(F.explode("items").alias("item"), "n", "k", *[
+        F.xxhash64(F.lit(seed), "items").cast("decimal(38,0)").alias(name) for seed, name in ((1, "low"), (2, "high"))])
+    tokens = each.groupBy("item").agg(*[F.sum(c).alias(c) for c in ("n", "k", "low", "high")]).where(
+        F.col("k") >= math.ceil(min_support * total))
+    same = tokens.groupBy("n", "k", "low", "high").agg(F.min("item").alias("token_class"))
+    return tokens.join(same, ["n", "k", "low", "high"]).select("item", "token_class", "n")
+
+
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT,
          min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """(rule_id, items, confidence, support): token sets that imply blocking.
+    """(rule_id, items, confidence, support): sets of token classes that imply blocking.
 
-    `labelled` has items and blocked. All rows are mined. A rule is dropped if
-    a part of its tokens implies blocking with no less confidence.
+    `labelled` has items and blocked. All rows are mined, each with the classes
+    of its tokens (see `token_classes`), so that a url of many tokens in many
+    copies is one item and not all subsets of its tokens. A rule must raise the
+    share of blocked urls, and is dropped if a part of its classes implies
+    blocking with no less confidence.
     """
-    baskets = labelled.where(F.size("items") > 0).select(
-        F.when(F.col("blocked"), F.concat("items", F.array(F.lit(BLOCK)))).otherwise(F.col("items")).alias("items"))
+    names = sorted(r["token_class"] for r in token_classes(labelled, min_support).select("token_class").distinct().collect())
+    kept = F.filter("items", lambda x: x.isin(names)) if names else F.expr("cast(array() as array<string>)")
+    baskets = labelled.select(F.when(F.col("blocked"), F.concat(kept, F.array(F.lit(BLOCK)))).otherwise(kept).alias("items"))
+    usual = labelled.agg(F.avg(F.col("blocked").cast("double"))).first()[0] or 0.0
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    rules = written(model.associationRules.where(F.col("consequent")[0] == BLOCK).select(
+    rules = written(model.associationRules.where((F.col("consequent")[0] == BLOCK) & (
+            F.col("confidence") > usual) & (F.size("antecedent") > 0)).select(
         F.array_sort("antecedent").alias("items"), "confidence", "support").withColumn(
         "rule_id", F.sha2(F.array_join("items", "\n"), 256)), "rules")
     held = rules.select(F.explode("items").alias("anchor"), F.col("items").alias("longer"),
@@ -76,19 +117,24 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT,
     return rules.join(beaten, F.col("rule_id") == F.col("weaker"), "left_anti")
 
 
-def index(rules: DataFrame, labelled: DataFrame) -> DataFrame:
-    """`rules` with `anchor`, the rarest of their items: the key of the inverted index."""
-    counts = labelled.select(F.explode("items").alias("item")).groupBy("item").count()
-    anchors = rules.select("rule_id", F.explode("items").alias("item")).join(counts, "item").groupBy("rule_id").agg(
-        F.min(F.struct("count", "item"))["item"].alias("anchor"))
+def index(rules: DataFrame, classes: DataFrame) -> DataFrame:
+    """`rules` with `anchor`, the rarest of their classes: the key of the inverted index."""
+    counts = classes.groupBy("token_class").agg(F.min("n").alias("n"))
+    anchors = rules.select("rule_id", F.explode("items").alias("token_class")).join(counts, "token_class").groupBy(
+        "rule_id").agg(F.min(F.struct("n", "token_class"))["token_class"].alias("anchor"))
     return rules.join(anchors, "rule_id")
 
 
-def matched(item_sets: DataFrame, rules: DataFrame) -> DataFrame:
-    """(items, rule_id, confidence): the most confident indexed rule that each distinct set holds."""
-    found = item_sets.select("items", F.explode("items").alias("anchor")).join(
+def matched(item_sets: DataFrame, rules: DataFrame, classes: DataFrame) -> DataFrame:
+    """(items, rule_id, confidence): the most confident indexed rule that each distinct set holds.
+
+    A set holds a class if it has any of its tokens.
+    """
+    held = item_sets.select("items", F.explode("items").alias("item")).join(
+        classes.select("item", "token_class"), "item").groupBy("items").agg(F.collect_set("token_class").alias("held"))
+    found = held.select("items", "held", F.explode("held").alias("anchor")).join(
         rules.select("anchor", "rule_id", "confidence", F.col("items").alias("needed")), "anchor").where(
-        F.size(F.array_except("needed", "items")) == 0)
+        F.size(F.array_except("needed", "held")) == 0)
     best = found.groupBy("items").agg(F.max(F.struct("confidence", "rule_id")).alias("b"))
     return best.select("items", F.col("b.rule_id").alias("rule_id"), F.col("b.confidence").alias("confidence"))
 
@@ -99,13 +145,16 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], min_support: float = M
 
     Urls that a listed rule decides are the labels: FP-growth mines token sets
     that go with blocking, and these judge the other urls, which are allowed if
-    no mined rule matches. A null url or one without `://` has an empty host
+    no mined rule matches. The tokens of the listed rules themselves are not
+    mined, as they would only carry those rules over to other hosts. A null url or one without `://` has an empty host
     and path and is allowed; repeated rows are judged alike; null page_ids are
     carried along; other columns are ignored; without labels nothing is mined.
     """
     url = F.col("url").cast("string")
+    restated = rule_tokens(rules)
+    items = F.filter(url_items(url), lambda x: ~x.isin(restated)) if restated else url_items(url)
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(url).alias("host"),
-                        path_of(url).alias("path"), url_items(url).alias("items"))
+                        path_of(url).alias("path"), items.alias("items"))
     rule, verdict = listed_rule(F.col("host"), F.col("path"), rules)
     base = written(base.withColumn("rule", rule).withColumn("_listed", verdict), "urls")
     labelled = base.where("_listed is not null").select("items", (F.col("_listed") == "block").alias("blocked"))
@@ -113,8 +162,9 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], min_support: float = M
     if labelled.isEmpty():
         return base.select("page_id", "host", "path", "rule", F.lit("allow").alias("verdict"),
                            F.lit(None).cast("double").alias("mined_confidence"))
-    known = index(mine(labelled, min_support, min_confidence), labelled)
-    hits = matched(open_sets, known).select(F.col("items").alias("_items"), "confidence")
+    classes = written(token_classes(labelled, min_support), "classes")
+    known = index(mine(labelled, min_support, min_confidence), classes)
+    hits = matched(open_sets, known, classes).select(F.col("items").alias("_items"), "confidence")
     judged = base.where("_listed is null").join(hits, F.col("items") == F.col("_items"), "left")
     return base.where("_listed is not null").select(
         "page_id", "host", "path", "rule", F.col("_listed").alias("verdict"),
