@@ -3,13 +3,14 @@ from __future__ import annotations
 
 import hashlib
 import re
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from meterline.llm.common import written
+from meterline.llm.common import ship, written
 
 
 @dataclass(frozen=True)
@@ -19,7 +20,9 @@ class Template:
     `{role}` in `before` stands for the escaped role. `follows` maps a state (a
     role, or "" for the start) to the roles allowed next; a conversation may
     end after a role of `ends`. `reserved` lists strings that must not occur in
-    a text as they are; the template's own marks are reserved as well.
+    a text as they are; the template's own marks are reserved as well. A
+    template that cannot be read back (no `{role}` with something behind it, no
+    closing mark, a backslash in a mark) is refused with a ValueError.
     """
     before: str = "<|im_start|>{role}\n"
     after: str = "<|im_end|>\n"
@@ -34,30 +37,63 @@ class Template:
 DEFAULT = Template()
 #: Characters of a formatted row; a longer conversation continues in further rows.
 PART_CHARS = 4_000_000
-_CODES = {"\\": "\\", "<": "l", "[": "b"}
+#: Codes behind the backslash that are taken where they are free.
+_CODES = {"<": "l", "[": "b", "\n": "n"}
+
+
+def _overlaps_itself(mark: str) -> bool:
+    return any(mark.startswith(mark[k:]) for k in range(1, len(mark)))
 
 
 class Marks:
-    """Escaping and parsing under a template."""
+    """Escaping and parsing under a template.
+
+    The first character of a reserved string in a text becomes a backslash and
+    a code. No reserved string begins with a code or holds a backslash, so none
+    can arise from the escapes.
+    """
 
     def __init__(self, template: Template):
-        starts = "|".join(re.escape(r) for r in sorted(template.reserved, key=len, reverse=True))
-        self._hide = re.compile(r"\\" + (f"|(?=(?:{starts}))." if starts else ""), re.S)
-        self._show = re.compile(r"\\(.)", re.S)
-        self._decode = {code: char for char, code in _CODES.items()}
-        head, _, tail = template.before.partition("{role}")
+        head, hole, tail = template.before.partition("{role}")
+        if not (hole and tail and template.after):
+            raise ValueError("a template needs {role}, something behind it, and a closing mark")
+        reserved = {r for r in (*template.reserved, head, template.after) if r}
+        if _overlaps_itself(template.after):
+            reserved.add(template.after[0])  # the end of a text and the mark could form an earlier mark
+        in_role = {"\n", tail[0]}
+        if any("\\" in r for r in reserved | in_role):
+            raise ValueError("marks and reserved strings must not hold a backslash")
+        firsts = {r[0] for r in reserved | in_role}
+        self._codes = {"\\": "\\"} | {c: k for c, k in _CODES.items() if c in firsts and k not in firsts}
+        free = (k for k in string.ascii_letters + string.digits if k not in firsts and k not in _CODES.values())
+        for char in sorted(firsts - self._codes.keys()):
+            code = next(free, None)
+            if code is None:
+                raise ValueError("too many reserved strings to escape")
+            self._codes[char] = code
+        starts = "|".join(re.escape(r) for r in sorted(reserved, key=len, reverse=True))
+        self._hide = re.compile(rf"\\|(?=(?:{starts})).", re.S)
+        self._in_role = re.compile("[" + "".join(map(re.escape, sorted(in_role))) + "]")
+        self._show = re.compile(r"\\(.?)", re.S)
+        self._decode = {code: char for char, code in self._codes.items()}
         self.turn = re.compile(re.escape(head) + r"([^\n]*?)" + re.escape(tail) + r"(.*?)" + re.escape(template.after),
                                re.S)
 
     def escaped(self, text: str) -> str:
         """No reserved string is left; every change is undone by `plain`."""
-        return self._hide.sub(lambda m: "\\" + _CODES[m.group()], text)
+        return self._hide.sub(lambda m: "\\" + self._codes[m.group()], text)
 
     def role(self, role: str) -> str:
-        return self.escaped(role).replace("\n", "\\n")
+        """Escaped, and without line breaks and whatever begins the mark behind it."""
+        return self._in_role.sub(lambda m: "\\" + self._codes[m.group()], self.escaped(role))
 
     def plain(self, text: str) -> str:
-        return self._show.sub(lambda m: "\n" if m.group(1) == "n" else self._decode[m.group(1)], text)
+        """Undoes `escaped` and `role`; raises ValueError at a code that they do not write."""
+        def shown(m):
+            if m.group(1) not in self._decode:
+                raise ValueError(f"text with the code {m.group(1)!r} cannot be read back")
+            return self._decode[m.group(1)]
+        return self._show.sub(shown, text)
 
 
 def segments(role: str, text: str, template: Template, marks: Marks) -> list[tuple[str, bool]]:
@@ -135,6 +171,8 @@ def format_conversations(turns: DataFrame, template: Template = DEFAULT, part_ch
     conv_id form one conversation; repeated rows are turns of their own; other
     columns are ignored; an empty table gives no rows.
     """
+    Marks(template)
+    ship(turns.sparkSession)
     base = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("role").cast("string").alias("role"),
         F.col("text").cast("string").alias("text"), F.col("turn").alias("turn"))
@@ -189,6 +227,7 @@ def read_back(formatted: DataFrame, template: Template = DEFAULT) -> DataFrame:
     ones are brought together and streamed in order. Raises ValueError at text
     that the template cannot have produced.
     """
+    ship(formatted.sparkSession)
     whole = formatted.where("part = 0 and last")
     parts = formatted.where("not (part = 0 and last)").repartition("conv_id").sortWithinPartitions("conv_id", "part")
     return whole.mapInArrow(_read(template), _DIGESTS).unionByName(parts.mapInArrow(_read(template), _DIGESTS))

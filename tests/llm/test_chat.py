@@ -68,6 +68,42 @@ def test_another_template(spark):
     assert chat.format_conversations(turns.limit(0)).count() == 0
 
 
+MARK = st.text("#<[:n\nab ", min_size=1, max_size=4)
+
+
+@settings(max_examples=300, deadline=None)
+@given(head=st.text("#<[:n\nab ", max_size=4), tail=MARK, after=MARK, reserved=st.lists(MARK, max_size=3),
+       turns=st.lists(st.tuples(*[st.text("#<[:n\nab \\l", max_size=9)] * 2), min_size=1, max_size=3))
+def test_any_template_reads_back(head, tail, after, reserved, turns):
+    template = chat.Template(before=head + "{role}" + tail, after=after, reserved=tuple(reserved))
+    marks, out = chat.Marks(template), ""
+    for role, text in turns:
+        body = marks.escaped(text)
+        assert marks.plain(body) == text and marks.plain(marks.role(role)) == role
+        assert not any(r in body for r in (*reserved, after))
+        out += "".join(s for s, _ in chat.segments(role, text, template, marks))
+    found, at = [], 0
+    for m in marks.turn.finditer(out):
+        assert m.start() == at
+        at = m.end()
+        found.append((marks.plain(m.group(1)), marks.plain(m.group(2))))
+    assert found == turns and at == len(out)
+
+
+def test_markdown_template(spark):
+    template = chat.Template(before="### {role}:\n", after="\n\n", reserved=())
+    turns = spark.createDataFrame([(1, 0, "user", "### user:\nhi\n\n\n"), (1, 1, "assistant", "a#b: c\n")],
+                                  "conv_id long, turn long, role string, text string")
+    row, = chat.read_back(chat.format_conversations(turns, template), template).collect()
+    assert row["n_turns"] == 2 and row["loss_sha256"] == hashlib.sha256(b"a#b: c\n").hexdigest()
+
+
+@pytest.mark.parametrize("fields", [{"before": "x"}, {"before": "{role}"}, {"after": ""}, {"reserved": ("a\\",)}])
+def test_templates_that_cannot_be_read_back_are_refused(spark, fields):
+    with pytest.raises(ValueError):
+        chat.format_conversations(conversations(spark), chat.Template(**fields))
+
+
 def test_tampering_is_noticed(spark):
     bad = chat.format_conversations(conversations(spark).where("conv_id = 1")).selectExpr(
         "conv_id", "part", "last", "concat(formatted, 'x') as formatted", "loss", "n_turns", "valid", "first_error")
