@@ -148,9 +148,13 @@ def pack(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", window: int = 1
 
 
 def sequences(pieces: DataFrame, window: int = 1024, padding_id: int = 0) -> DataFrame:
-    """(sequence_id, ids, n_tokens): full sequences of `window` ids out of `pack(…, with_ids=True)`."""
+    """(sequence_id, ids, n_tokens): whole sequences out of `pack(…, with_ids=True)`.
+
+    Each is padded to `window` ids, but for those whose length is a power of two.
+    """
     rows = pieces.groupBy("sequence_id").agg(
         F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("p"), F.sum("length").alias("n_tokens"))
     ids = F.flatten(F.transform("p", lambda x: x["ids"]))
     padded = F.concat(ids, F.array_repeat(F.lit(padding_id), F.lit(window) - F.col("n_tokens").cast("int")))
-    return rows.select("sequence_id", padded.alias("ids"), "n_tokens")
+    even = F.col("n_tokens").bitwiseAND(F.col("n_tokens") - 1) == 0
+    return rows.select("sequence_id", F.when(even, ids).otherwise(padded).alias("ids"), "n_tokens")

@@ -64,11 +64,18 @@ def test_every_id_lies_in_one_piece(spark):
 def test_full_sequences(spark):
     docs = awkward(spark)
     rows = packing.sequences(packing.pack(docs, with_ids=True)).collect()
-    assert all(len(r["ids"]) == 1024 for r in rows)
+    assert all(len(r["ids"]) == (r["n_tokens"] if r["n_tokens"].bit_count() == 1 else 1024) for r in rows)
     total = sum(len(tokens.library(BYTE).encode(r["text"] or "").ids) + 1 for r in docs.collect())
     assert sum(r["n_tokens"] for r in rows) == total
 
 
+def test_sequences_of_a_power_of_two_are_not_padded(spark):
+    pieces = spark.createDataFrame([(1, 0, 3, [7, 8, 9]), (1, 3, 1, [0]), (2, 0, 3, [5, 6, 0]), (3, 0, 8, [4] * 8)],
+                                   "sequence_id long, offset long, length long, ids array<int>")
+    found = {r["sequence_id"]: (r["ids"], r["n_tokens"]) for r in packing.sequences(pieces, 8, 1).collect()}
+    assert found == {1: ([7, 8, 9, 0], 4), 2: ([5, 6, 0, 1, 1, 1, 1, 1], 3), 3: ([4] * 8, 8)}
+
+
 def test_many_shards(spark, monkeypatch):
     monkeypatch.setattr(packing, "SHARD_PIECES", 20)
     check(documents(spark), packing.pack(documents(spark)))
