@@ -8,9 +8,11 @@ circular shift of its input by one more place. Both are bijections of the
 Cost and completeness: a pair at the threshold shares none of the 64 bands of 8
 coordinates with probability (1 - 0.8^8)^64 = 8e-6, a pair at 0.9 with 1e-16.
 Documents that share a band, directly or through others, form a cluster; within
-a cluster every pair is compared on full sets. Large clusters are cut into
-blocks, and each pair of blocks is one bounded task that returns a spanning
-forest, never the pairs themselves.
+a cluster every pair is compared on full sets, but for pairs that verified
+links tie together already: in clusters of more than one block each document is
+first compared with the hub it shares most bands with, and then only blocks
+of different components meet. Each pair of blocks is one bounded task that
+returns a spanning forest, never the pairs themselves.
 """
 from __future__ import annotations
 
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from meterline.llm.common import connected, written
 
@@ -139,16 +141,16 @@ def similar_pairs(left: list[np.ndarray], right: list[np.ndarray], percent: int)
     column = rank[index]
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
-    common = np.zeros((len(left), len(right)), np.float32)
+    common = np.zeros((len(left), len(right)), np.int64)
     total = int(column[-1]) + 1 if len(column) else 0
     for start in range(0, total, _COLUMNS):
         lo, hi = np.searchsorted(column, [start, start + _COLUMNS])
         m = np.zeros((len(sets), min(_COLUMNS, total - start)), np.float32)
         m[owner[lo:hi], column[lo:hi] - start] = 1
-        common += m[:len(left)] @ m[len(left):].T
+        common += (m[:len(left)] @ m[len(left):].T).astype(np.int64)  # exact: a strip counts to _COLUMNS at most
     union = sizes[:len(left), None] + sizes[None, len(left):] - common
     for a in range(len(left)):
-        hits = np.flatnonzero(100 * common[a] >= percent * union[a])
+        hits = np.flatnonzero((common[a] > 0) & (100 * common[a] >= percent * union[a]))
         if len(hits):
             yield np.column_stack([np.full(len(hits), a), hits])
 
@@ -168,6 +170,67 @@ def _verify(width: int, percent: int):
     return run
 
 
+def _n_blocks() -> Column:
+    return F.greatest(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_DOCS)).cast("int")
+
+
+def _place(n: str) -> Column:
+    return F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+
+
+def _compared(tasks: DataFrame, base: DataFrame, width: int, percent: int) -> DataFrame:
+    """Spanning forests (u, v) of the links between the blocks `first` and `second` of each task.
+
+    Rows of `tasks` are (task, first, second, node, block); texts come from `base`.
+    """
+    # Both sides grow with the corpus, so neither is ever copied to every executor, small or large.
+    return base.join(tasks.hint("merge"), base["doc_id"] == tasks["node"]).select(
+        "task", "first", "second", "doc_id", "text", "block").groupBy("task", "first", "second").applyInPandas(
+        _verify(width, percent), "u long, v long")
+
+
+def _starred(members: DataFrame, near: DataFrame, base: DataFrame, width: int, percent: int) -> DataFrame:
+    """(node, root) of components verified between documents of clusters beyond one block and their hubs."""
+    large = members.groupBy("root").agg(_n_blocks().alias("n_blocks")).where("n_blocks > 1").select("root")
+    hubs = near.groupBy("u").agg(F.max_by("v", F.struct(F.col("n"), -F.col("v"))).alias("task"))
+    rays = written(members.join(large, "root").join(hubs, F.col("node") == F.col("u")).select(
+        "task", "node", "n_shingles"), "rays")
+    sizes = rays.groupBy("task").agg(_n_blocks().alias("n_blocks"))
+    outer = rays.join(sizes, "task").select(
+        "task", F.lit(0).alias("first"), (_place("n_blocks") + 1).alias("second"), "node",
+        (_place("n_blocks") + 1).alias("block"))
+    inner = outer.select("task", "first", "second").distinct().select(
+        "task", "first", "second", F.col("task").alias("node"), F.lit(0).alias("block"))
+    return connected(_compared(outer.unionByName(inner), base, width, percent), "stars")
+
+
+def _unresolved(members: DataFrame, stars: DataFrame) -> DataFrame:
+    """Tasks for all pairs of a cluster that `stars` does not tie together already.
+
+    A component of at least one block has blocks of its own, the others of a
+    cluster share blocks. Blocks of the same component do not meet.
+    """
+    known = stars.select(F.col("node").alias("_node"), F.col("root").alias("_component"))
+    parted = members.join(known, F.col("node") == F.col("_node"), "left").select(
+        "root", "node", "n_shingles", F.coalesce("_component", "node").alias("component"))
+    own = parted.groupBy("root", "component").agg(F.count("*").alias("n_docs"), _n_blocks().alias("n_own"),
+                                                  F.sum("n_shingles").alias("n_shingles"))
+    large = (F.col("n_docs") >= BLOCK_DOCS) | (F.col("n_shingles") >= BLOCK_SHINGLES)
+    shared = own.where(~large).groupBy("root").agg(F.greatest(
+        F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES), F.ceil(F.sum("n_docs") / BLOCK_DOCS)).cast("int").alias("n_shared"))
+    sizes = own.select("root", "component", "n_own", large.alias("large")).join(shared, "root", "left")
+    placed = written(parted.join(sizes, ["root", "component"]).select(
+        "root", "node", F.when(F.col("large"), F.col("component")).alias("owner"),
+        F.when(F.col("large"), F.concat_ws(":", "component", _place("n_own"))).otherwise(
+            F.concat_ws(":", F.lit("shared"), _place("n_shared"))).alias("block")), "placed")
+    blocks = placed.select("root", "owner", "block").distinct()
+    others = blocks.select("root", F.col("owner").alias("other_owner"), F.col("block").alias("other"))
+    pairs = blocks.join(others, "root").where("not coalesce(owner = other_owner, false)").select(
+        F.col("root").alias("task"), F.col("block").alias("_block"), "other")
+    return placed.join(pairs, (F.col("root") == F.col("task")) & (F.col("block") == F.col("_block"))).select(
+        "task", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "node", "block")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS,
                     rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of `docs` (doc_id, text).
@@ -191,24 +254,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         F.col("r.bands").alias("bands")), "classes")
     bucketed = classes.select("doc_id", F.explode("bands").alias("bucket"))
     hubs = bucketed.groupBy("bucket").agg(F.min("doc_id").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    near = bucketed.join(hubs, "bucket").where("doc_id <> hub").select(
-        F.col("doc_id").alias("u"), F.col("hub").alias("v"))
+    near = written(bucketed.join(hubs, "bucket").where("doc_id <> hub").groupBy(
+        F.col("doc_id").alias("u"), F.col("hub").alias("v")).agg(F.count("*").alias("n")), "near")
     clusters = connected(near, "clusters")
-    clusters = written(clusters.union(clusters.select(F.col("root"), F.col("root")).distinct()).join(
+    members = written(clusters.union(clusters.select(F.col("root"), F.col("root")).distinct()).join(
         classes.select(F.col("doc_id").alias("node"), "n_shingles"), "node").groupBy("node").agg(
         F.min("root").alias("root"), F.max("n_shingles").alias("n_shingles")), "members")
-    blocks = clusters.groupBy("root").agg(F.greatest(
-        F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_DOCS)).cast("int").alias("n_blocks"))
-    placed = clusters.join(blocks, "root").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
-    # Both sides grow with the corpus, so neither is ever copied to every executor, small or large.
-    tasks = base.join(placed.hint("merge"), base["doc_id"] == placed["node"]).select(
-        "root", "doc_id", "text", "block",
-        F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other")).select(
-        "root", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"),
-        "doc_id", "text", "block")
-    links = tasks.groupBy("root", "first", "second").applyInPandas(_verify(width, percent), "u long, v long")
-    roots = connected(links, "links")
+    stars = _starred(members, near, base, width, percent)
+    links = _compared(_unresolved(members, stars), base, width, percent)
+    roots = connected(links.union(stars.select(F.col("node").alias("u"), F.col("root").alias("v"))), "links")
     component = classes.select("key", "doc_id").join(
         roots, F.col("doc_id") == F.col("node"), "left").select(
         "key", F.coalesce("root", "doc_id").alias("component_id"))
@@ -221,11 +275,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
 
 
 def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs` that stay: one document of each group.
+    """The rows of `docs` that stay: one of each group of near duplicates, the one with the smallest doc_id.
 
-    A row without doc_id stays; of rows that repeat a doc_id one stays.
+    Rows are judged by their texts, not by their ids: of rows that repeat a
+    doc_id only true copies go, and a row without doc_id goes if it is a copy of
+    another row. Rows without words resemble nothing and stay.
     """
-    gone = near_duplicates(docs, width, percent).where("not kept").select(F.col("doc_id").alias("__op_gone")).distinct()
-    left = docs.join(gone, docs["doc_id"] == gone["__op_gone"], "left_anti")
-    return left.where("doc_id is null").unionByName(
-        left.where("doc_id is not null").dropDuplicates(["doc_id"]))
+    rows = written(docs.withColumn("__op_row", F.monotonically_increasing_id()), "rows")
+    groups = near_duplicates(rows.select(F.col("__op_row").alias("doc_id"), "text"), width, percent).select(
+        F.col("doc_id").alias("__op_node"), F.col("component_id").alias("__op_group"))
+    named = written(rows.select("__op_row", "doc_id").join(groups, F.col("__op_row") == F.col("__op_node")).select(
+        F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"),
+                 F.col("__op_row").alias("row")).alias("place"), "__op_group"), "named")
+    first = named.groupBy("__op_group").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1")
+    gone = named.join(first, "__op_group").where("place.row <> first.row").select(F.col("place.row").alias("__op_gone"))
+    return rows.join(gone, F.col("__op_row") == F.col("__op_gone"), "left_anti").select(
+        *[F.col(f"`{c}`") for c in docs.columns])

@@ -74,6 +74,43 @@ def test_hot_group_over_many_blocks(spark, monkeypatch):
     assert max(sizes.count(c) for c in set(sizes)) > 80
 
 
+def test_large_components_that_only_bands_tie(spark, monkeypatch):
+    """A cluster of several components, some larger than a block; nothing within one is compared twice."""
+    monkeypatch.setattr(near, "BLOCK_DOCS", 8)
+    base = copies(1, 200, 9)[0][1].split()
+    rows = []
+    for family in range(6):
+        text = base[:100 + 2 * family] + [f"f{family}w{i}" for i in range(28 - 4 * family)] + base[160:]
+        for i in range((40, 25, 3, 2, 30, 1)[family]):
+            one = list(text)
+            one[i % len(one)] = f"x{family}y{i}"
+            rows.append((family * 1000 + i, " ".join(one)))
+    want = check(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert 1 < len({c for _, c in want.values()}) < len(rows)
+    members = spark.createDataFrame([(1, i, 5) for i in range(1, 101)], "root long, node long, n_shingles long")
+    stars = spark.createDataFrame([(i, 1) for i in range(2, 91)], "node long, root long")
+    tasks = near._unresolved(members, stars).collect()
+    assert {r["node"] for r in tasks if r["first"] == r["second"]} == set(range(91, 101))
+    assert all("shared" in r["first"] + r["second"] for r in tasks)
+    assert near._unresolved(members, stars.union(spark.createDataFrame([(i, 1) for i in range(91, 101)]))).count() == 0
+
+
+def test_intersections_beyond_single_precision():
+    left, right = np.arange(200_001, dtype=np.uint64), np.arange(40_000, 250_001, dtype=np.uint64)
+    common, union = 160_001, 250_001
+    for percent in (63, 64, 65):
+        found = list(near.similar_pairs([left], [right], percent))
+        assert bool(found) == (100 * common >= percent * union)
+
+
+def test_rows_of_one_id_are_judged_by_their_texts(spark):
+    a, b = copies(1, 40, 1)[0][1], copies(1, 40, 2)[0][1]
+    docs = spark.createDataFrame([(5, a, "x"), (5, b, "y"), (7, a + " tail", "z"), (None, b, "n"), (9, None, "e"),
+                                  (9, None, "e"), (4, "apart from all others it is", "o")],
+                                 "doc_id long, text string, __op_node string")
+    assert sorted(r["__op_node"] for r in near.keep_first(docs).collect()) == ["e", "e", "o", "x", "y"]
+
+
 def test_awkward_documents(spark):
     want = check(awkward(spark), width=5)
     assert want[2][1] == 1 and want[9][1] == 8 and want[7][1] == 6 and want[4][1] == 4
