@@ -152,18 +152,40 @@ def _instance(first: Column, last: Column, value: Column, start: Column, end: Co
                     F.filter(patterns, lambda p: p.rlike(r"\p{L}")).alias("patterns"), F.lit(seed).alias("seed"))
 
 
+def _leading(items: Column, holds) -> Column:
+    """How many of the sorted `items` come before the first that does not meet `holds`, by halving."""
+    start = F.struct(F.lit(0).alias("lo"), F.size(items).alias("hi"))
+    halvings = F.sequence(F.lit(1), F.ceil(F.log2(F.size(items) + 1)).cast("int") + 1)
+
+    def halve(a, _):
+        middle = ((a["lo"] + a["hi"]) / 2).cast("int")
+        return let(middle, lambda m: F.when(a["lo"] >= a["hi"], a).when(
+            holds(F.get(items, m)), F.struct((m + 1).alias("lo"), a["hi"].alias("hi"))).otherwise(
+            F.struct(a["lo"].alias("lo"), m.alias("hi"))))
+    return F.aggregate(halvings, start, halve, lambda a: a["lo"])
+
+
 def _instances(parts: Column) -> Column:
-    """The tokens of `parts.found` under each span of `parts.base` as one seed, and the other tokens one by one."""
-    def under(b, o):
-        return (b["start"] < o["end"]) & (o["start"] < b["end"])
+    """The tokens of `parts.found` under each span of `parts.base` as one seed, and the other tokens one by one.
+
+    Tokens lie in order and apart, so those under a span are a slice of them.
+    """
+    found = parts["found"]
     groups = F.filter(F.transform(parts["base"], lambda b: F.struct(
-        b["start"].alias("start"), b["end"].alias("end"), F.filter(parts["found"], lambda o: under(b, o)).alias("o"))),
-        lambda g: F.size(g["o"]) > 0)
-    seeds = F.transform(groups, lambda g: _instance(
-        g["o"][0], F.element_at(g["o"], -1), F.array_join(F.transform(g["o"], lambda o: o["value"]), " "),
-        g["start"], g["end"], True))
-    others = F.filter(parts["found"], lambda o: ~F.exists(parts["base"], lambda b: under(b, o)))
-    return F.concat(seeds, F.transform(others, lambda o: _instance(o, o, o["value"], o["from"], o["to"], False)))
+        b["start"].alias("start"), b["end"].alias("end"),
+        _leading(found, lambda o: o["end"] <= b["start"]).alias("lo"),
+        _leading(found, lambda o: o["start"] < b["end"]).alias("hi"))), lambda g: g["lo"] < g["hi"])
+
+    def build(g):
+        seeds = F.transform(g, lambda s: _instance(
+            F.get(found, s["lo"]), F.get(found, s["hi"] - 1),
+            F.array_join(F.transform(F.slice(found, s["lo"] + 1, s["hi"] - s["lo"]), lambda o: o["value"]), " "),
+            s["start"], s["end"], True))
+        under = F.flatten(F.transform(g, lambda s: F.sequence(s["lo"], s["hi"] - 1)))
+        others = F.array_except(F.sequence(F.lit(0), F.size(found) - 1), under)
+        return F.concat(seeds, F.transform(others, lambda i: let(F.get(found, i), lambda o: _instance(
+            o, o, o["value"], o["from"], o["to"], False))))
+    return F.when(F.size(found) > 0, let(groups, build))
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -241,17 +263,24 @@ def redact(docs: DataFrame, min_support: int = MIN_SUPPORT, min_confidence: floa
     none = F.expr("cast(array() as array<struct<kind:string,start:int,end:int>>)")
     spans = F.array_sort(F.transform(F.concat("__op_base", F.coalesce("__op_extra", none)), lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
     def step(acc, s):
         fresh = s["start"] >= acc["at"]
         lead = F.when(fresh, F.concat(
             F.substring(F.col("__op_text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), s["kind"], F.lit("]"))
         ).otherwise(F.lit(""))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], lead).alias("out"))
-    text = F.aggregate(spans, start, step, lambda acc: F.concat(
-        acc["out"], F.substring(F.col("__op_text"), acc["at"] + 1, F.length("__op_text"))))
-    d = d.withColumn("__op_new", F.when(F.size(spans) == 0, F.col("__op_text")).otherwise(text))
+
+    def run(acc, first):
+        # Appending copies the text so far, so it is built in runs of spans.
+        part = F.aggregate(F.slice("__op_spans", first, RUN), F.struct(acc["at"].alias("at"), F.lit("").alias("out")), step)
+        return let(part, lambda p: F.struct(p["at"].alias("at"), F.concat(acc["out"], F.array(p["out"])).alias("out")))
+    text = F.aggregate(
+        F.sequence(F.lit(1), F.size("__op_spans"), F.lit(RUN)),
+        F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out")), run,
+        lambda acc: F.concat(F.array_join(acc["out"], ""),
+                             F.substring(F.col("__op_text"), acc["at"] + 1, F.length("__op_text"))))
+    d = d.withColumn("__op_spans", spans)
+    d = d.withColumn("__op_new", F.when(F.size("__op_spans") == 0, F.col("__op_text")).otherwise(text))
     changed = F.col("text").isNotNull() & (F.col("__op_new") != F.col("__op_text"))
     out = {"text": F.when(changed, F.col("__op_new")).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:

@@ -111,6 +111,22 @@ def test_copies_lend_no_weight(spark):
     assert {r["pattern"] for r in patterns.collect()} == {"b"}
 
 
+def test_many_identifiers_of_one_text(spark):
+    """Spans, instances and redaction of a text of tens of thousands of identifiers."""
+    n = 20_000
+    text = " ".join(f"mail u{i}x@mail.example or AB-{i:05d}" for i in range(n))
+    docs = spark.createDataFrame([(1, text), (2, "mail u1@mail.example +49 (30) 1234567, 12.5.7.9 x12345")],
+                                 "doc_id long, text string")
+    scanned = {r["doc_id"]: r for r in p.scan(docs).collect()}
+    assert len(scanned[1]["base"]) == n and len(scanned[1]["occurrences"]) == 2 * n
+    assert sum(o["seed"] for o in scanned[1]["occurrences"]) == n
+    assert [(o["value"], o["seed"]) for o in scanned[2]["occurrences"]] == [
+        ("u1@mail.example", True), ("12.5.7.9", True), ("1234567", True), ("x12345", False)]
+    out = {r["doc_id"]: r["text"] for r in p.redact(docs).collect()}
+    assert out[1].count("[email]") == n and "@" not in out[1]
+    assert out[2] == "mail [email] [phone], [ip] x12345"
+
+
 def test_redaction(spark):
     docs = planted(spark).withColumn("n_chars", F.length("text")).withColumn("__op", F.lit(1))
     out = {r["doc_id"]: r for r in p.redact(docs).collect()}
