@@ -1,11 +1,14 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-A text is cut into clauses and its words are mapped to symbols: insults,
-threats, targets, negations, reported speech, others. Three transducers
-(negation with a limited scope, reported speech, target) are composed into one
-machine that rewrites each insult or threat to the pattern it stands in, such
-as a targeted, a negated or a reported insult. A document is scored by the
-weights of the patterns its clauses match, never by a word outside of them.
+A text is cut into clauses. Weighted acceptors over the characters of a word
+(`Spelling`) rewrite it to a symbol: an insult, with the largest weight of the
+arcs on its way, a threat, a target, a negation, a verb of saying, or another
+word. Three transducers over symbols (negation with a limited scope, reported
+speech, target) are composed into one machine that rewrites each insult or
+threat to the pattern it stands in, such as a targeted, a negated or a reported
+insult; a second machine reads the clause from its end for targets that follow.
+A document is scored by the weights of the patterns its clauses match, never by
+a word outside of them.
 
 The insult lexicon (words and word beginnings) and the pattern weights are
 learned from labelled documents; the words of the other classes are listed.
@@ -83,6 +86,14 @@ def targeted() -> Transducer:
     return Transducer((False, True), step)
 
 
+def targeted_behind() -> Transducer:
+    """Read from the end of the clause: marks what stands before a person, unless it is marked, with `y`."""
+    def step(state, symbol):
+        state = state or symbol[0] == "Y"
+        return state, symbol + "y" if symbol[0] in "IT" and state and symbol[-1] != "y" else symbol
+    return Transducer((False, True), step)
+
+
 def composed(first: Transducer, second: Transducer) -> Transducer:
     """The machine that hands each output of `first` to `second`."""
     def step(state, symbol):
@@ -99,23 +110,60 @@ START = GRAMMAR.states[0]
 #: Every pattern an insult or threat can be rewritten to, in a fixed order.
 PATTERNS = tuple(h + n + r + y for h in "IT" for n in ("", "n") for r in ("", "r") for y in ("", "y"))
 FEATURES = PATTERNS + ("any",)
+BEHIND = targeted_behind().table(SYMBOLS + PATTERNS)
+
+
+class Spelling:
+    """A weighted acceptor over characters, as a trie.
+
+    `=word` entries give their weight to the arc that ends the word, the others
+    to the arc of their last character, after which any characters follow. The
+    weight of a word is the largest on its way, 0 if it meets none.
+    """
+
+    def __init__(self, entries: dict[str, float]):
+        self.arcs: list[dict[str, int]] = [{}]
+        self.passing, self.ending = [0.0], [0.0]
+        for entry, weight in entries.items():
+            node = 0
+            for char in entry.removeprefix("="):
+                if char not in self.arcs[node]:
+                    self.arcs[node][char] = len(self.arcs)
+                    self.arcs.append({})
+                    self.passing.append(0.0)
+                    self.ending.append(0.0)
+                node = self.arcs[node][char]
+            at = self.ending if entry.startswith("=") else self.passing
+            at[node] = max(at[node], weight)
+
+    def weight(self, word: str) -> float:
+        node, best = 0, 0.0
+        for char in word:
+            node = self.arcs[node].get(char)
+            if node is None:
+                return best
+            best = max(best, self.passing[node])
+        return max(best, self.ending[node])
+
+
+CLOSED = {symbol: Spelling({"=" + w: 1.0 for w in words.split()}) for symbol, words in WORDS.items()}
 
 
 class Lexicon(dict):
-    """Word -> (symbol, weight), filled as words are met; bounded."""
+    """Word -> (symbol, weight) by the acceptors, insults first; filled as words are met, bounded."""
 
     def __init__(self, insults: dict[str, float], entries: int = 500_000):
         super().__init__()
-        self.insults, self.entries = insults, entries
-        self.closed = {w: (symbol, 1.0) for symbol, words in WORDS.items() for w in words.split()}
-        self.sizes = sorted({len(k) for k in insults if not k.startswith("=")})
+        self.entries = entries
+        self.acceptors = {"I": Spelling(insults)} | CLOSED
 
     def __missing__(self, word: str):
-        weight = self.insults.get("=" + word, 0.0)
-        for size in self.sizes:
-            if size <= len(word):
-                weight = max(weight, self.insults.get(word[:size], 0.0))
-        found = ("I", weight) if weight > 0 else self.closed.get(word, ("o", 0.0))
+        found = ("o", 0.0)
+        for symbol, acceptor in self.acceptors.items():
+            weight = acceptor.weight(word)
+            if weight > 0:
+                found = (symbol, weight)
+                break
         if len(self) >= self.entries:
             self.clear()
         self[word] = found
@@ -128,11 +176,16 @@ def matches(text: str, lexicon: Lexicon) -> Iterator[tuple[str, float]]:
         words = [lexicon[w] for w in _WORD.findall(clause)]
         if not any(s in "IT" for s, _ in words):
             continue
-        state = START
+        state, marked = START, []
         for symbol, weight in words:
             state, out = TABLE[state, symbol]
+            marked.append((out, weight))
+        state, found = False, []
+        for symbol, weight in reversed(marked):
+            state, out = BEHIND[state, symbol]
             if out[0] in "IT":
-                yield out, weight
+                found.append((out, weight))
+        yield from reversed(found)
 
 
 def features(text: str, lexicon: Lexicon) -> list[float]:

@@ -1,3 +1,4 @@
+import math
 import random
 from zlib import crc32
 
@@ -39,6 +40,40 @@ def test_composition_equals_the_machines_in_turn():
     assert out == single and set(out) - set(t.SYMBOLS) <= set(t.PATTERNS)
 
 
+def test_targets_count_on_either_side():
+    assert patterns("fool, you") == ["Iy"] and patterns("not a fool, are you") == ["Iny"]
+    assert patterns("fool. you") == ["I"] and patterns("fool you fool") == ["Iy", "Iy"]
+
+
+def test_spelling_takes_the_largest_weight_on_the_way():
+    machine = t.Spelling({"=ab": 0.5, "abc": 0.7, "abcd": 0.2, "=abcde": 0.9, "b": 0.1})
+    assert [machine.weight(w) for w in ("", "a", "ab", "abx", "abc", "abcd", "abcdx", "abcde", "b", "bb", "c")] == [
+        0, 0, 0.5, 0, 0.7, 0.7, 0.7, 0.9, 0.1, 0.1, 0]
+
+
+def test_scores_equal_a_plain_reading_of_the_clauses():
+    """Brute force: every insult and threat judged by looking at the words of its clause."""
+    rng, closed = random.Random(8), {s: set(w.split()) for s, w in t.WORDS.items()}
+    words = ["fool", "rotten", "kill", "you", "not", "said", "plain", "word", "rot", "foolish"]
+    model = t.Model(LEX, tuple(rng.uniform(-1, 2) for _ in t.FEATURES), -0.5)
+    for _ in range(300):
+        clauses = [[rng.choice(words) for _ in range(rng.randrange(9))] for _ in range(rng.randrange(4))]
+        sums = dict.fromkeys(t.PATTERNS, 0.0)
+        for clause in clauses:
+            for i, word in enumerate(clause):
+                weight = 1.0 if word == "fool" else 0.9 if word.startswith("rott") else 0.0
+                head = "I" if weight else "T" if word in closed["T"] else ""
+                if head:
+                    negated = any(w in closed["N"] for w in clause[max(0, i - t.NEGATION_SCOPE):i])
+                    said = any(w in closed["R"] for w in clause[:i])
+                    aimed = any(w in closed["Y"] for w in clause)
+                    sums[head + "n" * negated + "r" * said + "y" * aimed] += weight or 1.0
+        values = [math.log1p(v) for v in sums.values()] + [float(any(sums.values()))]
+        z = model.bias + sum(w * v for w, v in zip(model.weights, values))
+        text = ". ".join(" ".join(c) for c in clauses)
+        assert model.score(t.features(text, t.Lexicon(LEX))) == pytest.approx(1 / (1 + math.exp(-z)))
+
+
 def test_held_out_accuracy(spark):
     docs, labels = documents(spark, SF), spark.read.parquet(f"{SF}/labels.parquet")
     scores = {r["doc_id"]: r for r in t.score(docs, labels).collect()}
