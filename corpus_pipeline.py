@@ -1,7 +1,9 @@
 """A corpus from raw documents to packed training sequences, in five stages.
 
 Each stage reads what its predecessor wrote. Stages 1 to 4 return the columns
-of `documents`; the last returns one row per packed piece.
+of `documents`; the last returns one row per packed piece, with its token ids;
+`packing.sequences` joins them to padded sequences. Null texts and ids, repeated
+rows and empty tables pass every stage as its operator states.
 """
 from __future__ import annotations
 
@@ -28,7 +30,7 @@ def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs)
+    return packing.pack(docs, with_ids=True)
 
 
 STAGES = [
