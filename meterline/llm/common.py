@@ -69,9 +69,10 @@ def connected(edges: DataFrame, label: str) -> DataFrame:
 
     Alternates two contractions until nothing changes: every node's larger
     neighbours are tied to its smallest one, then its smaller ones are. Only
-    ids move; a node with many neighbours is reduced by partial aggregates and
-    its rows can be split over tasks in the join. Every round is written to the
-    shared folder. Null ends and self loops are dropped.
+    ids move; a node with many neighbours is reduced by partial aggregates, and
+    as its smallest neighbour is written before the join, adaptive execution can
+    split its rows over tasks there. Every round is written to the shared
+    folder. Null ends and self loops are dropped.
     """
     e = edges.select("u", "v").where("u <> v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
@@ -79,7 +80,7 @@ def connected(edges: DataFrame, label: str) -> DataFrame:
     seen = None
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), label, compact=True)
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
         lower = large.groupBy("u").agg(F.min("v").alias("m"))
