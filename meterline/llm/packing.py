@@ -15,6 +15,8 @@ from meterline.llm.tokens import Encoder, _SETTLED, batches_of, vocabulary_path
 
 #: Ends that one task packs on average; more of them hardly reduce the padding.
 SHARD_PIECES = 20_000
+#: Characters that are encoded at a time; a distinct unit of them is looked up once.
+RUN_CHARS = 8_000_000
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -89,21 +91,23 @@ def _cut(vocabulary: str, window: int, closing_id: int, with_ids: bool):
         encoder = _SETTLED["encoder", path]
         closing = int(closing_id).to_bytes(4, "little")
         for batch in batches:
-            ids = batch.column(0)
-            for first, texts in batches_of(batch.column(1)):
-                rows = []
-                for k, code in enumerate(encoder.encode(texts)):
-                    code += closing
-                    total, doc = len(code) // 4, ids[first + k].as_py()
-                    for start in range(0, total, window):
-                        piece = code[4 * start:4 * (start + window)]
-                        rows.append((doc, start, len(piece) // 4, crc32(piece), total, piece))
-                columns = list(zip(*rows))
-                arrays = [pa.array(c, pa.int64()) for c in columns[:5]]
+            docs = batch.column(0)
+            for first, texts in batches_of(batch.column(1), RUN_CHARS):
+                ids, ends = encoder.ids(texts, closing)
+                totals = np.diff(ends, prepend=0)
+                counts = -(-totals // window)
+                doc = np.repeat(np.arange(len(texts)), counts)
+                start = window * (np.arange(len(doc)) - (np.cumsum(counts) - counts)[doc])
+                length = np.minimum(window, totals[doc] - start)
+                stops = np.cumsum(length)
+                code = memoryview(ids).cast("B")
+                sums = [crc32(code[4 * a:4 * b]) for a, b in zip((stops - length).tolist(), stops.tolist())]
+                arrays = [docs.take(pa.array(first + doc)), pa.array(start), pa.array(length),
+                          pa.array(sums, pa.int64()), pa.array(totals[doc])]
                 names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
                 if with_ids:
-                    arrays.append(pa.array([np.frombuffer(p, "<u4").astype(np.int32) for p in columns[5]],
-                                           pa.list_(pa.int32())))
+                    arrays.append(pa.ListArray.from_arrays(pa.array(np.append(0, stops), pa.int32()),
+                                                           pa.array(ids.view("<i4"))))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
     return run

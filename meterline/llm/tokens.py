@@ -5,7 +5,9 @@ pre-token crosses, and in the vocabularies used here the blank belongs to the
 text behind it or is dropped. So the pieces between such borders are encoded
 independently of each other. Pieces of common letters are cut into pre-tokens
 here and merged by the library's model; all others are encoded by the library
-whole. Either way the result stays in a table of bounded size.
+whole. Either way the result stays in a table of bounded size. Counts are added
+up text by text; for ids, many texts are cut at once and Arrow finds their
+distinct pieces and puts the ids together.
 """
 from __future__ import annotations
 
@@ -14,6 +16,7 @@ import re
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -22,7 +25,6 @@ _SETTLED: dict = {}
 TABLE_ENTRIES = 300_000
 #: Longer pieces are encoded each time and not kept.
 KEPT_CHARS = 48
-_ODD_BLANKS = re.compile(r"[^\S \n]|  |\n\n| \n|\n |^[ \n]|[ \n]$")
 
 
 def library(path: str):
@@ -136,57 +138,114 @@ class Counter:
         return [sum(map(look, t.replace("\n", " ").split(" "))) for t in texts]
 
 
-#: Letters, digits and marks that the byte-level rule cuts into runs; an
+#: Letters, digits and marks, which the byte-level rule cuts into runs; an
 #: apostrophe may begin a contraction and is left to the library.
-_ENCODED = re.compile(r"[!-&(-~À-ÖØ-öø-ÿĀ-ſ]+")
-_ENCODED_PARTS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿĀ-ſ]+|[0-9]+|[^A-Za-zÀ-ÖØ-öø-ÿĀ-ſ0-9]+")
+_LETTER, _DIGIT, _MARK = "[A-Za-zÀ-ÖØ-öø-ÿĀ-ſ]", "[0-9]", "[!-&(-/:-@[-`{-~]"
+_RUN = re.compile(f" ?(?:{_LETTER}+|{_DIGIT}+|{_MARK}+)")
+_SPACE, _OTHER = 0, 4
+
+
+def _character_kinds() -> np.ndarray:
+    """The kind of every code point up to U+3000, the last white space; behind it that of all others."""
+    kinds = np.full(0x3002, _OTHER, np.uint8)
+    characters = "".join(map(chr, range(0x3001)))
+    for kind, pattern in enumerate([r"\s", _LETTER, _DIGIT, _MARK]):
+        kinds[[m.start() for m in re.finditer(pattern, characters)]] = kind
+    return kinds
+
+
+_KINDS = _character_kinds()
+#: The kinds of single bytes; those of longer characters are filled in behind.
+_BYTE_KINDS = _KINDS[:256].tobytes()
+
+
+def _byte_kinds(utf8: bytes) -> np.ndarray:
+    """The kind of the character that each byte belongs to."""
+    code, kind = np.frombuffer(utf8, np.uint8), np.frombuffer(bytearray(utf8.translate(_BYTE_KINDS)), np.uint8)
+    first = np.flatnonzero(code >= 0xC0)
+    lead = code[first].astype(np.int32)
+    point = (lead & 0x1F) << 6 | code[first + 1] & 0x3F
+    long = lead >= 0xE0
+    point[long] = (point[long] & 0x3FF) << 6 | code[first[long] + 2] & 0x3F
+    point[lead >= 0xF0] = len(_KINDS)
+    found = _KINDS[np.minimum(point, len(_KINDS) - 1)]
+    for i, least in enumerate((0xC0, 0xC0, 0xE0, 0xF0)):
+        kind[first[lead >= least] + i] = found[lead >= least]
+    return kind
+
+
+def _units(texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """Units that are encoded independently of each other, and which of them stand for the ends of the texts.
+
+    A blank between two other characters leads the unit behind it, a newline
+    between two others is one by itself; no pre-token crosses these borders.
+    What lies between them is cut into runs of letters, digits and marks if it
+    holds nothing else, and no beginning of a special string. A newline behind
+    each text, which is no part of it, keeps the texts apart.
+    """
+    encoded = [t.encode("utf-8") for t in texts]
+    utf8 = b"\n".join(encoded) + b"\n"
+    ends = np.cumsum([len(t) + 1 for t in encoded]) - 1
+    code, kind = np.frombuffer(utf8, np.uint8), _byte_kinds(utf8)
+    space = kind == _SPACE
+    newline = code == ord("\n")
+    alone = (code == ord(" ")) | newline
+    alone[0] = alone[ends] = False
+    alone[1:] &= ~space[:-1]
+    alone[:-1] &= ~space[1:]
+
+    border = alone.copy()
+    border[1:] |= (alone & newline)[:-1]
+    border[0] = border[ends] = border[ends[:-1] + 1] = True
+    run = np.zeros(len(code), bool)
+    run[1:] = (kind[1:] != kind[:-1]) & ~space[1:] & ~space[:-1]
+    odd = (kind == _OTHER) | (space & ~alone)
+    odd[:-1] |= (code[:-1] == ord("<")) & (code[1:] == ord("|"))
+    starts = np.flatnonzero(border)
+    whole = np.zeros(len(starts), bool)
+    whole[np.searchsorted(starts, np.flatnonzero(odd), "right") - 1] = True
+    run &= ~np.repeat(whole, np.diff(starts, append=len(code)))
+    starts = np.flatnonzero(border | run)
+    units = pa.LargeStringArray.from_buffers(
+        len(starts), pa.py_buffer(np.append(starts, len(code)).astype(np.int64)), pa.py_buffer(utf8))
+    return units.dictionary_encode(), np.searchsorted(starts, ends)
 
 
 class Encoder:
-    """Little-endian 32-bit ids of a byte-level vocabulary whose blanks lead their word."""
+    """Little-endian 32-bit ids of a byte-level vocabulary whose blanks lead their word.
+
+    Texts are cut many at a time, and each distinct unit of them is looked up once.
+    """
 
     def __init__(self, path: str, entries: int = TABLE_ENTRIES):
         self.tokenizer = library(path)
         self.model = self.tokenizer.model
-        self.first = Table(lambda piece: self._piece("", piece), entries)
-        self.after_blank = Table(lambda piece: self._piece(" ", piece), entries)
+        self.first, self.after_blank = Table(self._unit, entries), Table(self._unit, entries)
 
-    @staticmethod
-    def _packed(ids: list[int]) -> bytes:
+    def _unit(self, unit: str) -> bytes:
+        if "<|" not in unit and _RUN.fullmatch(unit):
+            ids = [t.id for t in self.model.tokenize(_spelled(unit))]
+        else:
+            ids = self.tokenizer.encode(unit, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _piece(self, lead: str, piece: str) -> bytes:
-        if "<|" in piece or not _ENCODED.fullmatch(piece):
-            return self._packed(self.tokenizer.encode(lead + piece, add_special_tokens=False).ids)
-        first, *rest = _ENCODED_PARTS.findall(piece)
-        if not rest:
-            return self._packed([t.id for t in self.model.tokenize(_spelled(lead + piece))])
-        head = self.after_blank[first] if lead else self.first[first]
-        return head + b"".join(map(self.first.__getitem__, rest))
+    def ids(self, texts: list[str], closing: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in one array, `closing` behind each, and where each text ends there."""
+        if not texts:
+            return np.empty(0, "<u4"), np.empty(0, np.int64)
+        units, last = _units(texts)
+        codes = [self.after_blank[u] if u[0] == " " else self.first[u]
+                 for u in units.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        index = units.indices.to_numpy().copy()
+        index[last] = len(codes)
+        taken = pa.array([*codes, closing], pa.large_binary()).take(pa.array(index))
+        _, offsets, ids = taken.buffers()
+        ends = np.frombuffer(offsets, np.int64, len(index) + 1)[last + 1] // 4
+        return np.frombuffer(ids, "<u4", ends[-1]) if ends[-1] else np.empty(0, "<u4"), ends
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return [self._text(t) for t in texts]
-
-    def _text(self, text: str) -> bytes:
-        """A text is cut at single blanks and newlines between other characters.
-
-        A blank leads the piece behind it, a newline between two others is one
-        by itself. A text with any other run of white space is cut at single
-        blanks only.
-        """
-        if not text:
-            return b""
-        first, after_blank = self.first.__getitem__, self.after_blank.__getitem__
-        if _ODD_BLANKS.search(text):
-            head, *rest = re.split(r"(?<=\S) (?=\S)", text)
-            return b"".join([first(head), *map(after_blank, rest)])
-        out = []
-        for line in text.split("\n"):
-            words = line.split(" ")
-            out.append(first("\n") if out else b"")
-            out.append(first(words[0]))
-            out.extend(map(after_blank, words[1:]))
-        return b"".join(out)
+        ids, ends = self.ids(texts)
+        return [ids[a:b].tobytes() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
 
 def batches_of(texts: pa.Array, limit: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:
