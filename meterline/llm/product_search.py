@@ -147,10 +147,15 @@ class Best:
 
 
 def best_of(q: Rotated, least: np.ndarray, c: Rotated, ids: np.ndarray, null: np.ndarray, size: int) -> Best:
-    """Searches candidates `c`, sorted by descending length, for the queries `q`."""
+    """Searches candidates `c`, sorted by descending length, for the queries `q`.
+
+    The tiles grow up to TILE: products with the first few give the thresholds that prune the others.
+    """
     best = Best(least, size)
-    for start in range(0, len(c), TILE):
-        tile = c.part(slice(start, start + TILE))
+    start = stop = 0
+    while stop < len(c):
+        start, stop = stop, stop + min(TILE, max(STRIP, stop))
+        tile = c.part(slice(start, stop))
         longest = tile.length[0]
         slack = 1e-9 * q.length * longest + 1e-6
         live = np.flatnonzero(q.length * longest >= best.least - slack)
